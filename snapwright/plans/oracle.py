@@ -217,3 +217,394 @@ def snapshot_text_select(source: str) -> str:
 
 def over_snapshot(final: str, extra: list[tuple[str, str]] | None = None) -> str:
     return with_ctes(SNAPSHOT_TABLES, SNAPSHOT_STEPS + (extra or []), final)
+
+
+# -- embedding -------------------------------------------------------------------------------------
+
+DIMENSION = 64
+
+
+def hashed_slots(source: str, keys: list[str], text: str, name: str) -> list[tuple[str, str]]:
+    """Two steps giving ``name``: one row per non-zero slot with its unit-length weight as a 4-byte float."""
+    listed = ", ".join(keys)
+    return [
+        (
+            f"{name}_counts",
+            f"""
+select {listed}, slot, count(*) as n from (
+ select {listed}, cast(('0x' || substr(md5(token), 1, 8)) as bigint) % {DIMENSION} as slot
+ from (select {listed}, unnest(string_split_regex(lower({text}), '[^\\p{{L}}\\p{{N}}]+')) as token from {source})
+ where token <> '') group by {listed}, slot""",
+        ),
+        (
+            name,
+            f"""
+select {listed}, slot,
+ cast(n / sqrt(cast(sum(n * n) over (partition by {listed}) as double)) as float) as weight from {name}_counts""",
+        ),
+    ]
+
+
+# -- nearest neighbours ----------------------------------------------------------------------------
+
+CENTROIDS = (
+    "centroids",
+    """
+select label as query_id, list(mean order by pos) as query_vector from (
+ select label, pos, avg(cast(embedding[pos] as double)) as mean
+ from embeddings, generate_series(1, 64) as g(pos) group by label, pos) group by label""",
+)
+
+
+def ranked(vectors: str, k: int) -> list[tuple[str, str]]:
+    """Exact cosine top k per centroid."""
+    return [
+        CENTROIDS,
+        (
+            "scored",
+            f"""
+select c.query_id, v.vec_id,
+ round(list_dot_product(cast(v.embedding as double[]), c.query_vector)
+  / sqrt(list_dot_product(cast(v.embedding as double[]), cast(v.embedding as double[]))
+   * list_dot_product(c.query_vector, c.query_vector)), 9) as similarity
+from centroids c, {vectors} v""",
+        ),
+        (
+            "ranked",
+            "select *, row_number() over (partition by query_id order by similarity desc, vec_id) as rank from scored",
+        ),
+    ]
+
+
+RANKED_FINAL = "select query_id, vec_id, round(similarity, 4) as similarity, cast(rank as integer) as rank from ranked where rank <= {k}"
+
+
+# -- one statement per registered query ------------------------------------------------------------
+
+SNAPSHOT_MIN = with_ctes(
+    ["resources", "services", "categories", "categories_services"],
+    [CORE],
+    f"""
+select s.id as service_id, r.id as resource_id, {joined('core.category_ids')} as category_ids,
+ {joined('core.category_names')} as category_names,
+ trim(concat_ws(' ', r.name || '.', 'Service: ' || coalesce(s.name, 'Unnamed Service') || '.',
+  {PIECES['categories']})) as prose
+from fx_services s join fx_resources r on r.id = s.resource_id and r.status = 1
+left join core on core.service_id = s.id where s.status = 1""",
+)
+
+PROSE_PIECES = with_ctes(
+    SNAPSHOT_TABLES,
+    SNAPSHOT_STEPS[:-1]
+    + [("pieces", "select " + ", ".join(f"{text} as {name}" for name, text in PIECES.items()) + JOINED)],
+    "select piece, text, count(*) as n from ("
+    + " union all ".join(f"select '{name}' as piece, {name} as text from pieces" for name in PIECES)
+    + ") where text is not null group by piece, text",
+)
+
+TAXONOMY_REMAP = with_ctes(
+    ["eligibilities", "eligibilities_services"],
+    [CLASSIFIED],
+    """
+select e.id, e.name, c.resolved_name, count(*) as n_links from fx_eligibilities e
+join classified c on c.id = e.id join fx_eligibilities_services l on l.eligibility_id = e.id
+group by e.id, e.name, c.resolved_name""",
+)
+
+TAXONOMY_BUCKET = with_ctes(
+    ["eligibilities", "eligibilities_services"],
+    [CLASSIFIED],
+    """
+select c.dimension, c.resolved_name, count(*) as n_links from classified c
+join fx_eligibilities_services l on l.eligibility_id = c.id group by c.dimension, c.resolved_name""",
+)
+
+CATEGORY_ROLLUP = with_ctes(
+    ["categories", "categories_services"],
+    [CORE],
+    f"select service_id, {joined('category_ids')} as category_ids, {joined('category_names')} as category_names from core",
+)
+
+WHITELABEL_ROLLUP = with_ctes(
+    ["categories", "categories_services"],
+    [WHITELABEL],
+    f"select service_id, {joined('whitelabel_category_ids')} as whitelabel_category_ids,"
+    f" {joined('whitelabel_category_names')} as whitelabel_category_names from whitelabel",
+)
+
+ELIGIBILITY_BY_DIMENSION = with_ctes(
+    ["eligibilities", "eligibilities_services"],
+    [CLASSIFIED, ELIGIBILITY_ARRAYS],
+    "select service_id, "
+    + ", ".join(f"{joined(f'eligibility_{d}')} as eligibility_{d}" for d in [*DIMENSIONS, "all"])
+    + " from eligibility_arrays",
+)
+
+PHONES_TEXT = with_ctes(["phones"], [PHONES], "select * from phone_rollup")
+INSTRUCTIONS_TEXT = with_ctes(["instructions"], [INSTRUCTIONS], "select * from instruction_rollup")
+DOCUMENTS_TEXT = with_ctes(["documents", "documents_services"], [DOCUMENTS], "select * from document_rollup")
+SCHEDULE_ROLLUP = with_ctes(
+    ["schedules", "schedule_days"],
+    [SCHEDULES],
+    "select schedule_id, service_id, resource_id, cast(to_json(schedule) as varchar) as schedule from schedule_rollup",
+)
+HOURS_TEXT = with_ctes(
+    ["schedules", "schedule_days"], [SCHEDULES], "select schedule_id, hours_known, hours_text from schedule_rollup"
+)
+
+ADDRESS_FALLBACK = over_snapshot(
+    """
+select service_id, address_id, count(*) as n_rows, max(cast(latitude as double)) as latitude
+from snapshot group by service_id, address_id"""
+)
+SCHEDULE_FALLBACK = with_ctes(
+    SNAPSHOT_TABLES,
+    SNAPSHOT_STEPS[:-1],
+    "select s.id as service_id, sh.schedule_id as service_schedule_id, rh.schedule_id as resource_schedule_id,"
+    f" count(*) as n_rows {JOINED} group by s.id, sh.schedule_id, rh.schedule_id",
+)
+HOURS_CHOICE = with_ctes(
+    SNAPSHOT_TABLES,
+    SNAPSHOT_STEPS[:-1] + [("chosen", f"select s.id as service_id, {PIECES['hours']} as hours {JOINED}")],
+    "select service_id, hours, count(*) as n_rows from chosen group by service_id, hours",
+)
+CONTACT_CHOICE = with_ctes(
+    ["resources", "services"],
+    [],
+    f"""
+select s.id as service_id, {PIECES['email']} as email, {PIECES['website']} as website
+from fx_services s join fx_resources r on r.id = s.resource_id and r.status = 1 where s.status = 1""",
+)
+
+LATER = f"updated_at > cast('{WATERMARK}' as timestamp)"
+
+INCREMENTAL_ROWS = over_snapshot(snapshot_text_select("snapshot") + f" where snapshot.{LATER}")
+DELETED_IDS = with_ctes(
+    ["services"], [], f"select id as service_id from fx_services where status <> 1 and {LATER}"
+)
+STALE_IDS = with_ctes(
+    ["services"], [], f"select id as service_id from fx_services where status is not null and {LATER}"
+)
+
+# Services before the watermark: later changes undone. The text runs in both engines.
+EARLIER_SERVICES = f"""
+select id, resource_id, program_id, case when {LATER} then concat('Old ', name) else name end as name,
+ alternate_name, short_description, long_description, eligibility, application_process, required_documents,
+ fee, wait_time, interpretation_services, email, url, case when {LATER} then 1 else status end as status,
+ verified_at, case when {LATER} then null else updated_at end as updated_at from fx_services"""
+
+MERGE_STEPS = [
+    ("earlier_services", EARLIER_SERVICES),
+    (
+        "old_addresses",
+        ADDRESS_ROWS[1].replace("fx_services s", "earlier_services s"),
+    ),
+    (
+        "old_snapshot",
+        SNAPSHOT_STEPS[-1][1]
+        .replace("fx_services s", "earlier_services s")
+        .replace("address_rows a", "old_addresses a"),
+    ),
+    ("fresh", f"select * from snapshot where {LATER}"),
+    (
+        "stale",
+        f"select service_id from fresh union select id from fx_services where status <> 1 and {LATER}",
+    ),
+    (
+        "merged",
+        "select * from old_snapshot where service_id not in (select service_id from stale)"
+        " union all select * from fresh",
+    ),
+]
+INCREMENTAL_MERGE = over_snapshot(snapshot_text_select("merged"), MERGE_STEPS)
+PUBLISH_ROUNDTRIP = over_snapshot(
+    f"""
+select service_id, count(*) as n_rows, cast({DIMENSION} as integer) as dimension, max(embedding_text) as last_text
+from merged group by service_id""",
+    MERGE_STEPS,
+)
+STREAM_REFRESH = over_snapshot(
+    "select service_id, count(*) as n_rows, max(embedding_text) as last_text from merged group by service_id",
+    MERGE_STEPS,
+)
+
+EMBED_OFFLINE = with_ctes(
+    [],
+    hashed_slots("documents", ["doc_id"], "text", "slots"),
+    "select doc_id, slot, round(cast(weight as double), 4) as weight from slots",
+)
+EMBED_DISTINCT = with_ctes(
+    [],
+    hashed_slots("conversations", ["conv_id", "turn"], "text", "slots"),
+    "select conv_id, turn, slot, round(cast(weight as double), 4) as weight from slots",
+)
+EMBED_DIM_CHECK = f"select cast({DIMENSION} as integer) as dimension, count(*) as n_rows from pages"
+
+KNN_EXACT = with_ctes([], ranked("embeddings", 10), RANKED_FINAL.format(k=10))
+KNN_FILTERED = with_ctes(
+    [], ranked("(select * from embeddings where label = 3)", 5), RANKED_FINAL.format(k=5)
+)
+KNN_SINGLE = """
+with mean as (select list(m order by pos) as q from (
+ select pos, avg(cast(embedding[pos] as double)) as m from embeddings, generate_series(1, 64) as g(pos) group by pos)),
+scored as (select vec_id, label, round(list_dot_product(cast(embedding as double[]), q)
+  / sqrt(list_dot_product(cast(embedding as double[]), cast(embedding as double[])) * list_dot_product(q, q)), 9)
+  as similarity from embeddings, mean)
+select vec_id, label, round(similarity, 4) as similarity from scored order by scored.similarity desc, vec_id limit 10"""
+
+ARRAY_FILTER = over_snapshot(
+    """
+select * from (select service_id, address_id,
+ coalesce(list_contains(eligibility_age, 'I am a Senior'), false) as member,
+ coalesce(list_has_any(eligibility_housing, ['Homeless', 'Re-Entry']), false) as overlap,
+ coalesce(list_has_all(eligibility_all, ['Men', 'Women']), false) as contained from snapshot)
+where member or overlap or contained"""
+)
+GEO_BOX = over_snapshot(
+    """
+select service_id, address_id, cast(latitude as double) as latitude, cast(longitude as double) as longitude
+from snapshot where latitude between 37.2 and 37.6 and longitude between -122.5 and -122.1"""
+)
+OPEN_AT = over_snapshot(
+    """
+select service_id, address_id, cast(to_json(schedule) as varchar) as schedule from snapshot
+where len([z for z in schedule if z.day = 'Monday' and z.open_mins <= 870 and z.close_mins >= 870]) > 0"""
+)
+SERVICE_LOOKUP = over_snapshot(
+    "select service_id, resource_id, address_id, embedding_text from snapshot where resource_id = 5 or service_id = 42"
+)
+
+COLLECTION_ROUNDTRIP = with_ctes(
+    [],
+    hashed_slots("(select doc_id, text from documents where lang = 'en')", ["doc_id"], "text", "doc_slots")
+    + hashed_slots("benchmark", ["item_id"], "text", "query_slots")
+    + [
+        ("doc_norms", "select doc_id, sqrt(sum(cast(weight as double) ** 2)) as length from doc_slots group by doc_id"),
+        ("query_norms", "select item_id, sqrt(sum(cast(weight as double) ** 2)) as length from query_slots group by item_id"),
+        (
+            "products",
+            """
+select item_id, doc_id, sum(cast(q.weight as double) * cast(d.weight as double)) as product
+from query_slots q join doc_slots d on d.slot = q.slot group by item_id, doc_id""",
+        ),
+        (
+            "scored",
+            """
+select qn.item_id as query_id, cast(dn.doc_id as varchar) as doc_id,
+ round(coalesce(p.product, 0) / (qn.length * dn.length), 9) as similarity
+from query_norms qn cross join doc_norms dn
+left join products p on p.item_id = qn.item_id and p.doc_id = dn.doc_id""",
+        ),
+        (
+            "ranked",
+            "select *, row_number() over (partition by query_id order by similarity desc, doc_id) as rank from scored",
+        ),
+    ],
+    """
+select query_id, r.doc_id, cast(rank as integer) as rank, round(similarity, 4) as similarity,
+ cast(length(d.text) as integer) as length, d.source
+from ranked r join documents d on cast(d.doc_id as varchar) = r.doc_id where rank <= 5""",
+)
+
+# -- metadata --------------------------------------------------------------------------------------
+
+
+def iso(column: str) -> str:
+    return (
+        f"strftime({column}, '%Y-%m-%dT%H:%M:%S') || case when strftime({column}, '%f') = '000000' then ''"
+        f" else '.' || strftime({column}, '%f') end"
+    )
+
+
+META = (
+    "meta",
+    f"""
+select d.doc_id, d.source as source_filename, p.url as source_url, l.quality as page_number,
+ cast(d.doc_id % 5 as integer) as chunk_index, d.n_chars as token_count, l.toxic = 1 as is_toxic,
+ case when d.doc_id % 7 <> 0 then 'brochure' end as document_type, {iso('e.ts')} as extracted_date,
+ case when d.doc_id % 2 = 0 then d.doc_id end as extracted_related_service_id,
+ d.lang as extracted_service_type,
+ case when d.doc_id % 4 <> 0 then '["' || d.source || '","' || d.lang || '"]' end as extracted_mentioned_services,
+ case when d.doc_id % 3 <> 0 then '555-' || d.doc_id end as extracted_contact_phone,
+ case when d.doc_id % 3 <> 0 and d.doc_id % 2 = 1 then d.lang || '@example.org' end as extracted_contact_email,
+ case when d.doc_id % 3 <> 0 then p.url end as extracted_contact_website,
+ case when d.doc_id % 6 <> 0 then '9am-5pm' end as extracted_service_details_hours_monday,
+ case when d.doc_id % 6 not in (0, 1) then 'until ' || (d.doc_id % 12) end as extracted_service_details_hours_tuesday,
+ case when d.doc_id % 5 = 0 then 'Free' end as extracted_service_details_cost,
+ '["' || d.lang || '","English"]' as extracted_service_details_languages
+from documents d left join labels l on l.doc_id = d.doc_id left join pages p on p.page_id = d.doc_id
+left join events e on e.event_id = d.doc_id""",
+)
+META_KINDS = {
+    "source_filename": "string", "source_url": "string", "page_number": "int", "chunk_index": "int",
+    "token_count": "int", "is_toxic": "bool", "document_type": "string", "extracted_date": "string",
+    "extracted_related_service_id": "int", "extracted_service_type": "string",
+    "extracted_mentioned_services": "string", "extracted_contact_phone": "string",
+    "extracted_contact_email": "string", "extracted_contact_website": "string",
+    "extracted_service_details_hours_monday": "string", "extracted_service_details_hours_tuesday": "string",
+    "extracted_service_details_cost": "string", "extracted_service_details_languages": "string",
+}
+METADATA_FLAT = with_ctes([], [META], "select * from meta")
+METADATA_ENTRIES = with_ctes(
+    [],
+    [META],
+    "select * from ("
+    + " union all ".join(
+        f"select doc_id, '{key}' as key, cast({key} as varchar) as value, '{kind}' as value_type from meta"
+        for key, kind in META_KINDS.items()
+    )
+    + ") where value is not null",
+)
+
+
+def json_object(pairs: dict[str, str]) -> str:
+    """JSON text of the present pairs; values are varchar or bigint expressions."""
+    items = ", ".join(f"'\"{key}\":' || cast(to_json({value}) as varchar)" for key, value in pairs.items())
+    return f"nullif('{{' || array_to_string([z for z in [{items}] if z is not null], ',') || '}}', '{{}}')"
+
+
+METADATA_SERIALISED = with_ctes(
+    [],
+    [
+        META,
+        (
+            "inner_texts",
+            "select *, "
+            + json_object(
+                {
+                    "phone": "extracted_contact_phone", "email": "extracted_contact_email",
+                    "website": "extracted_contact_website",
+                }
+            )
+            + " as contact, "
+            + json_object(
+                {
+                    "monday": "extracted_service_details_hours_monday",
+                    "tuesday": "extracted_service_details_hours_tuesday",
+                }
+            )
+            + " as hours from meta",
+        ),
+        (
+            "details",
+            "select *, "
+            + json_object(
+                {
+                    "hours": "hours", "cost": "extracted_service_details_cost",
+                    "languages": "extracted_service_details_languages",
+                }
+            )
+            + " as service_details from inner_texts",
+        ),
+    ],
+    "select doc_id, source_filename, source_url, page_number, chunk_index, token_count, is_toxic, document_type,"
+    " extracted_date, "
+    + json_object(
+        {
+            "related_service_id": "extracted_related_service_id", "service_type": "extracted_service_type",
+            "mentioned_services": "extracted_mentioned_services", "contact": "contact",
+            "service_details": "service_details",
+        }
+    )
+    + " as extracted from details",
+)
