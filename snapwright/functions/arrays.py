@@ -7,12 +7,16 @@ from pyspark.sql import functions as F
 
 
 def null_if_empty(array: Column) -> Column:
-    return F.when(F.size(array) > 0, array)
+    return F.nullif(array, F.array())
 
 
-def repeat_items(array: Column, value: str, times: str) -> Column:
-    """Expand an array of structs: field ``value`` repeated by count field ``times``, in order."""
-    return F.flatten(F.transform(array, lambda z: F.array_repeat(z[value], z[times].cast("int"))))
+def repeat_items(array: str, value: str, times: str, where: str = "true") -> Column:
+    """Expand an array of structs: field ``value`` repeated by count field ``times``, in order.
+
+    ``where`` is a condition on an item ``z`` that must hold.
+    """
+    kept = array if where == "true" else f"filter({array}, z -> {where})"
+    return F.expr(f"flatten(transform({kept}, z -> array_repeat(z.{value}, cast(z.{times} as int))))")
 
 
 def contains_value(array: Column, value) -> Column:

@@ -34,6 +34,19 @@ def key_counts(df: DataFrame, key: str) -> DataFrame:
     return df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
 
 
+def largest_groups(groups: dict[str, tuple[DataFrame, str]]) -> dict[str, int]:
+    """Rows of the largest key group of each (frame, key), in one job; 0 for an empty frame.
+
+    The product of two such numbers bounds the rows any key can give in a join, so most hot-key searches
+    are settled here.
+    """
+    each = [
+        key_counts(df, key).agg(F.coalesce(F.max("n"), F.lit(0)).alias("n")).select(F.lit(name).alias("name"), "n")
+        for name, (df, key) in groups.items()
+    ]
+    return {row["name"]: row["n"] for row in reduce(DataFrame.unionByName, each).collect()}
+
+
 def grid_hot(left_counts: DataFrame, right_counts: DataFrame, key: str, task_rows: int = TASK_ROWS) -> DataFrame:
     """Keys whose joined rows exceed ``task_rows``, with the slices to cut each side into."""
     both = left_counts.withColumnRenamed("n", "nl").join(right_counts.withColumnRenamed("n", "nr"), key)
@@ -73,6 +86,8 @@ def find_hot(requests: dict[str, DataFrame], limit: int = HOT_LIMIT) -> dict[str
     Up to ``limit`` hot keys come back as broadcast tables (None where there are none). Beyond the limit
     the tables are returned as they are and joined by shuffle.
     """
+    if not requests:
+        return {}
     tagged = [df.select(F.lit(name).alias("join"), "hot_key", "slices") for name, df in requests.items()]
     found = reduce(DataFrame.unionByName, tagged).limit(limit + 1).collect()
     if len(found) > limit:

@@ -68,40 +68,22 @@ def schedule_rollup(schedules: DataFrame, schedule_days: DataFrame) -> DataFrame
     A schedule without days has no row. Unknown days come last; equal days go by opening, then closing.
     """
     counted = schedule_days.groupBy("schedule_id", "day", "opens_at", "closes_at").agg(F.count("*").alias("n"))
-    rank = weekday_rank(F.col("day"))
+    day, opens, closes = F.col("day"), F.col("opens_at"), F.col("closes_at")
+    rank = weekday_rank(day)
     # NULLs sort first in arrays, so each sort field is preceded by its own is-null flag.
     entry = F.struct(
-        rank.isNull().alias("rank_null"), rank.alias("rank"),
-        F.col("opens_at").isNull().alias("open_null"), F.col("opens_at").alias("opens_at"),
-        F.col("closes_at").isNull().alias("close_null"), F.col("closes_at").alias("closes_at"),
-        F.col("day"), F.col("n"),
-    )
-    days = counted.groupBy("schedule_id").agg(F.sort_array(F.collect_list(entry)).alias("__days"))
-    hours = F.transform(
-        "__days",
-        lambda z: F.struct(
-            F.concat(
-                z["day"], F.lit(" "), hhmm_to_text(z["opens_at"]), F.lit(" - "), hhmm_to_text(z["closes_at"])
-            ).alias("text"),
-            z["n"].alias("n"),
-        ),
-    )
-    hours = F.filter(hours, lambda z: z["text"].isNotNull())
-    intervals = F.transform(
-        "__days",
-        lambda z: F.struct(
-            F.struct(
-                z["day"].alias("day"),
-                hhmm_to_minutes(z["opens_at"]).alias("open_mins"),
-                hhmm_to_minutes(z["closes_at"]).alias("close_mins"),
-            ).alias("interval"),
-            z["n"].alias("n"),
-        ),
+        rank.isNull(), rank, opens.isNull(), opens, closes.isNull(), closes, day.isNull(), day,
+        F.col("n").alias("n"),
+        F.concat(day, F.lit(" "), hhmm_to_text(opens), F.lit(" - "), hhmm_to_text(closes)).alias("text"),
+        F.struct(
+            day.alias("day"), hhmm_to_minutes(opens).alias("open_mins"), hhmm_to_minutes(closes).alias("close_mins")
+        ).alias("interval"),
     )
+    days = counted.groupBy("schedule_id").agg(F.sort_array(F.collect_list(entry)).alias("days"))
     rolled = days.select(
         F.col("schedule_id").alias("id"),
-        F.array_join(null_if_empty(repeat_items(hours, "text", "n")), ", ").alias("hours_text"),
-        repeat_items(intervals, "interval", "n").alias("schedule"),
+        F.array_join(null_if_empty(repeat_items("days", "text", "n", "z.text is not null")), ", ").alias("hours_text"),
+        repeat_items("days", "interval", "n").alias("schedule"),
     )
     return schedules.join(rolled, "id").select(
         F.col("id").alias("schedule_id"), "service_id", "resource_id", "hours_known", "hours_text", "schedule"
@@ -116,19 +98,17 @@ def eligibility_arrays(links: DataFrame, classified: DataFrame) -> DataFrame:
     counted = links.groupBy("service_id", "eligibility_id").agg(F.count("*").alias("n"))
     named = counted.join(classified.withColumnRenamed("id", "eligibility_id"), "eligibility_id")
     entry = F.struct(
-        F.col("resolved_name").isNull().alias("no_name"), F.col("resolved_name").alias("name"),
-        F.col("dimension"), F.col("n"),
+        F.col("resolved_name").isNull().alias("no_name"), F.col("resolved_name").alias("name"), "dimension", "n"
     )
-    grouped = named.groupBy("service_id").agg(F.sort_array(F.collect_list(entry)).alias("__names"))
-    names = F.col("__names")
+    grouped = named.groupBy("service_id").agg(F.sort_array(F.collect_list(entry)).alias("names"))
 
     def of(dimension: str) -> Column:
-        return null_if_empty(repeat_items(F.filter(names, lambda z: z["dimension"] == dimension), "name", "n"))
+        return null_if_empty(repeat_items("names", "name", "n", f"z.dimension = '{dimension}'"))
 
     return grouped.select(
         "service_id",
         *[of(dimension).alias(f"eligibility_{dimension}") for dimension in DIMENSIONS],
-        repeat_items(names, "name", "n").alias("eligibility_all"),
+        repeat_items("names", "name", "n").alias("eligibility_all"),
     )
 
 
@@ -140,11 +120,11 @@ def category_arrays(links: DataFrame, categories: DataFrame, id_range, prefix: s
     wanted = categories.filter(id_range.holds(F.col("id"))).select(F.col("id").alias("category_id"), "name")
     distinct_links = links.filter(id_range.holds(F.col("category_id"))).select("service_id", "category_id").distinct()
     grouped = distinct_links.join(wanted, "category_id").groupBy("service_id").agg(
-        F.collect_list(F.struct("category_id", "name")).alias("__links")
+        F.collect_list(F.struct("category_id", "name")).alias("links")
     )
 
     def distinct_sorted(field: str) -> Column:
-        return F.array_sort(F.array_distinct(F.transform("__links", lambda z: z[field])))
+        return F.array_sort(F.array_distinct(F.col(f"links.{field}")))
 
     return grouped.select(
         "service_id",

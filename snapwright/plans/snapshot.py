@@ -24,6 +24,7 @@ from snapwright.operators.joins import (
     grid_hot,
     grid_join,
     key_counts,
+    largest_groups,
     unbridged,
 )
 from snapwright.operators.rollups import (
@@ -216,30 +217,39 @@ def joined_rows(
         rolled.filter(F.col("service_id").isNull() & F.col("resource_id").isNotNull()), "resource"
     )
 
-    per_resource = key_counts(keys, "resource_id")
-    fallback_counts = key_counts(fallback, "resource_id")
-    hours_counts = key_counts(resource_hours, "resource_id")
-    address_counts = key_counts(linked, "service_id").unionByName(
-        homeless.join(fallback_counts, "resource_id").select("service_id", "n")
-    )
-    hot = find_hot(
+    schedules = catalog["schedules"]
+    most = largest_groups(
         {
-            "profile": grid_hot(per_resource, key_counts(catalog["resources"].select(F.col("id").alias("resource_id")), "resource_id"), "resource_id", task_rows),
-            "fallback": grid_hot(key_counts(homeless, "resource_id"), fallback_counts, "resource_id", task_rows),
-            "hours": grid_hot(per_resource, hours_counts, "resource_id", task_rows),
-            "fan_out": fan_hot(
-                [
-                    address_counts,
-                    key_counts(service_hours, "service_id"),
-                    keys.join(hours_counts, "resource_id").select("service_id", "n"),
-                ],
-                "service_id",
-                task_rows,
-            ),
+            "services": (keys, "resource_id"),
+            "linked": (bridge, "service_id"),
+            "fallback": (fallback, "resource_id"),
+            "service_hours": (schedules, "service_id"),
+            "resource_hours": (schedules.filter(F.col("service_id").isNull()), "resource_id"),
         }
     )
-
-    wide = grid_join(base, profile, "resource_id", hot["profile"])
+    per_resource = key_counts(keys, "resource_id")
+    fallback_counts = key_counts(fallback, "resource_id")
+    hours_counts = key_counts(resource_hours, "resource_id")
+    searches = {}
+    if most["services"] > task_rows:
+        once = profile.select("resource_id").distinct().withColumn("n", F.lit(1).cast("bigint"))
+        searches["profile"] = grid_hot(per_resource, once, "resource_id", task_rows)
+    if most["services"] * most["fallback"] > task_rows:
+        searches["fallback"] = grid_hot(key_counts(homeless, "resource_id"), fallback_counts, "resource_id", task_rows)
+    if most["services"] * most["resource_hours"] > task_rows:
+        searches["hours"] = grid_hot(per_resource, hours_counts, "resource_id", task_rows)
+    most_rows = [max(most["linked"], most["fallback"], 1), max(most["service_hours"], 1), max(most["resource_hours"], 1)]
+    if most_rows[0] * most_rows[1] * most_rows[2] > task_rows:
+        address_counts = key_counts(linked, "service_id").unionByName(
+            homeless.join(fallback_counts, "resource_id").select("service_id", "n")
+        )
+        shared_counts = keys.join(hours_counts, "resource_id").select("service_id", "n")
+        searches["fan_out"] = fan_hot(
+            [address_counts, key_counts(service_hours, "service_id"), shared_counts], "service_id", task_rows
+        )
+    hot = find_hot(searches)
+
+    wide = grid_join(base, profile, "resource_id", hot.get("profile"))
     rollups = [
         category_arrays(catalog["categories_services"], catalog["categories"], core_categories),
         *[
@@ -254,10 +264,10 @@ def joined_rows(
         wide = wide.join(rollup, "service_id", "left")
 
     address_rows = linked.unionByName(
-        grid_join(homeless, fallback, "resource_id", hot["fallback"]).drop("resource_id")
+        grid_join(homeless, fallback, "resource_id", hot.get("fallback")).drop("resource_id")
     )
-    shared_hours = grid_join(keys, resource_hours, "resource_id", hot["hours"]).drop("resource_id")
-    return fan_out(wide, "service_id", [address_rows, service_hours, shared_hours], hot["fan_out"])
+    shared_hours = grid_join(keys, resource_hours, "resource_id", hot.get("hours")).drop("resource_id")
+    return fan_out(wide, "service_id", [address_rows, service_hours, shared_hours], hot.get("fan_out"))
 
 
 def row_key() -> Column:
