@@ -23,11 +23,27 @@ BROADCAST_ROWS = 1_000_000
 HOT_SCHEMA = "hot_key bigint, slices array<bigint>"
 
 
-def broadcast_if_small(ids: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast an id list after counting it; past the bound leave the choice to the optimizer."""
-    if ids.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(ids)
-    return ids
+def broadcast_if_small(lists: dict[str, DataFrame], max_rows: int = BROADCAST_ROWS) -> dict[str, DataFrame]:
+    """Id lists, counted in one job; those within the bound are broadcast.
+
+    Past the bound the choice is left to the optimizer.
+    """
+    counted = [
+        df.limit(max_rows + 1).agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n")
+        for name, df in lists.items()
+    ]
+    sizes = {row["name"]: row["n"] for row in reduce(DataFrame.unionByName, counted).collect()}
+    return {name: F.broadcast(df) if sizes[name] <= max_rows else df for name, df in lists.items()}
+
+
+def keep_listed(df: DataFrame, *tests: tuple[Column, DataFrame]) -> DataFrame:
+    """Rows for which some (column, list of distinct ids) test holds, in one pass over ``df``."""
+    marked, found = df, F.lit(False)
+    for i, (column, ids) in enumerate(tests):
+        listed = ids.select(F.col(ids.columns[0]).alias(f"__id{i}"))
+        marked = marked.join(listed, column == F.col(f"__id{i}"), "left")
+        found = found | F.col(f"__id{i}").isNotNull()
+    return marked.filter(found).select(*df.columns)
 
 
 def key_counts(df: DataFrame, key: str) -> DataFrame:

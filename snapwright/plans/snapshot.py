@@ -23,6 +23,7 @@ from snapwright.operators.joins import (
     find_hot,
     grid_hot,
     grid_join,
+    keep_listed,
     key_counts,
     largest_groups,
     unbridged,
@@ -102,36 +103,43 @@ def reduced_to(catalog: SourceCatalog, services: DataFrame) -> SourceCatalog:
 
     The watermark filter sits on ``services`` alone, so the bridge tables are reduced here by semi-joins.
     """
-    service_ids = broadcast_if_small(services.select(F.col("id").alias("service_id")))
-    resource_ids = broadcast_if_small(services.select("resource_id").distinct())
+    bridge, schedules = catalog["addresses_services"], catalog["schedules"]
+    services_changed = services.select(F.col("id").alias("service_id"))
+    resources_touched = services.select("resource_id").distinct()
+    # A schedule of its own counts for its service only, so it is not looked up by resource.
+    shared_by = F.when(F.col("service_id").isNull(), F.col("resource_id"))
 
-    def of_services(name: str) -> DataFrame:
-        return catalog[name].join(service_ids, "service_id", "left_semi")
+    def needed_schedules(service_ids: DataFrame, resource_ids: DataFrame) -> DataFrame:
+        return keep_listed(schedules, (F.col("service_id"), service_ids), (shared_by, resource_ids))
 
-    def of_resources(df: DataFrame) -> DataFrame:
-        return df.join(resource_ids, "resource_id", "left_semi")
+    ids = broadcast_if_small(
+        {
+            "services": services_changed,
+            "resources": resources_touched,
+            "addresses": bridge.join(services_changed, "service_id", "left_semi").select("address_id").distinct(),
+            "schedules": needed_schedules(services_changed, resources_touched).select(
+                F.col("id").alias("schedule_id")
+            ),
+        }
+    )
+
+    def of_services(name: str) -> DataFrame:
+        return catalog[name].join(ids["services"], "service_id", "left_semi")
 
-    schedules = catalog["schedules"]
-    own = schedules.join(service_ids, "service_id", "left_semi")
-    shared = of_resources(schedules.filter(F.col("service_id").isNull()))
-    kept_schedules = own.select(*schedules.columns).unionByName(shared.select(*schedules.columns))
-    schedule_ids = broadcast_if_small(kept_schedules.select(F.col("id").alias("schedule_id")))
-    addresses = catalog["addresses"]
-    bridge = of_services("addresses_services")
-    address_ids = broadcast_if_small(bridge.select(F.col("address_id").alias("id")).distinct())
-    # An address may be both linked and a fallback, so it is kept once when either applies.
-    linked = addresses.join(address_ids, "id", "left_semi").select(*addresses.columns)
-    fallback = of_resources(addresses.join(address_ids, "id", "left_anti")).select(*addresses.columns)
     return catalog.replacing(
         services=services,
-        addresses=linked.unionByName(fallback),
-        addresses_services=bridge,
-        phones=of_resources(catalog["phones"]),
-        schedules=kept_schedules,
-        schedule_days=catalog["schedule_days"].join(schedule_ids, "schedule_id", "left_semi"),
+        addresses=keep_listed(
+            catalog["addresses"], (F.col("id"), ids["addresses"]), (F.col("resource_id"), ids["resources"])
+        ),
+        phones=catalog["phones"].join(ids["resources"], "resource_id", "left_semi"),
+        schedules=needed_schedules(ids["services"], ids["resources"]),
+        schedule_days=catalog["schedule_days"].join(ids["schedules"], "schedule_id", "left_semi"),
         **{
             name: of_services(name)
-            for name in ("instructions", "documents_services", "categories_services", "eligibilities_services")
+            for name in (
+                "addresses_services", "instructions", "documents_services", "categories_services",
+                "eligibilities_services",
+            )
         },
     )
 
