@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -111,21 +111,26 @@ def remote(factory: EncoderFactory, *, job_rate: float, tasks: int) -> EncoderFa
 def embed_column(text: Column, factory: EncoderFactory, batch_size: int = 25) -> Column:
     """Vector of a text column; NULL text gives NULL. Rows go to the encoder ``batch_size`` at a time."""
 
-    def vectors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = factory()
-        for series in batches:
-            present = series.dropna()
+        for batch in batches:
+            texts = batch.to_pylist()
+            present = [text for text in texts if text is not None]
             found: list = []
             for start in range(0, len(present), batch_size):
-                found.extend(encode(present.iloc[start : start + batch_size].tolist()))
-            result = pd.Series([None] * len(series), index=series.index, dtype=object)
-            for at, vector in zip(present.index, found, strict=True):
-                result.at[at] = np.asarray(vector, dtype=np.float32)
-            yield result
+                found.extend(encode(present[start : start + batch_size]))
+            if len(found) != len(present):
+                raise ValueError(f"encoder returned {len(found)} vectors for {len(present)} texts")
+            arrays = [np.asarray(vector, dtype=np.float32) for vector in found]
+            # One row per text, NULL texts included: lengths give the row ends, NULL rows none.
+            sizes = iter([len(vector) for vector in arrays])
+            ends = np.cumsum([0, *[0 if text is None else next(sizes) for text in texts]])
+            values = np.concatenate(arrays) if arrays else np.empty(0, dtype=np.float32)
+            missing = pa.array([text is None for text in texts], type=pa.bool_())
+            yield pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), pa.array(values), mask=missing)
 
-    vectors.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
     # A remote encoder is costly and need not repeat itself exactly, so the plan must not copy the call.
-    return F.pandas_udf(vectors, "array<float>").asNondeterministic()(text)
+    return F.arrow_udf(vectors, "array<float>").asNondeterministic()(text)
 
 
 def checked_dimension(vector: Column, dimension: int) -> Column:

@@ -12,12 +12,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from snapwright.functions.vectors import cosine, norm
 
@@ -31,9 +33,12 @@ MATRIX_CELLS = 4_000_000
 SETTLE_ROWS = 200_000
 
 
-def _unit(vectors: pd.Series | list) -> np.ndarray:
+def _unit(vectors) -> np.ndarray:
     """Rows scaled to unit length; zero rows stay zero."""
-    matrix = np.asarray(list(vectors), dtype=np.float64)
+    if isinstance(vectors, pa.Array):
+        matrix = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(vectors), -1)
+    else:
+        matrix = np.asarray(list(vectors), dtype=np.float64)
     length = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
     return np.divide(matrix, length, out=np.zeros_like(matrix), where=length > 0)
 
@@ -47,7 +52,17 @@ class _Best:
         self.pending = 0
 
     def add(self, query_ids, ids, similarity) -> None:
-        self.frames.append(pd.DataFrame({"query_id": query_ids, "vec_id": ids, "similarity": similarity}))
+        # Text ids stay Python objects, which Arrow takes in one piece.
+        plain = [a if a.dtype.kind in "iu" else a.astype(object) for a in map(np.asarray, (query_ids, ids))]
+        self.frames.append(
+            pd.DataFrame(
+                {
+                    "query_id": pd.Series(plain[0], dtype=plain[0].dtype),
+                    "vec_id": pd.Series(plain[1], dtype=plain[1].dtype),
+                    "similarity": similarity,
+                }
+            )
+        )
         self.pending += len(ids)
         if self.pending > SETTLE_ROWS:
             self.frames = [self.frame()]
@@ -133,14 +148,26 @@ def _nearest_broadcast(stored: DataFrame, held: list, k: int, schema: T.StructTy
     query_ids = np.array([row["query_id"] for row in held])
     matrix = _unit([row["query_vector"] for row in held])
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    return stored.mapInArrow(_scorer(query_ids, matrix, k, schema), schema)
+
+
+def _scorer(query_ids: np.ndarray, matrix: np.ndarray, k: int, schema: T.StructType, wanted: np.ndarray | None = None):
+    """Arrow batches of (vec_id, vector) to the task's best k per query.
+
+    ``wanted`` (cells x queries) names the pairs to score, by the batches' third column.
+    """
+    arrow_schema = to_arrow_schema(schema)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = _Best(k)
         for batch in batches:
-            if len(batch):
-                _score_into(best, query_ids, matrix, batch["vec_id"].to_numpy(), _unit(batch["vector"]))
-        yield best.frame()
+            if batch.num_rows:
+                mask = None if wanted is None else wanted[batch.column(2).to_numpy(zero_copy_only=False)]
+                ids = batch.column(0).to_numpy(zero_copy_only=False)
+                _score_into(best, query_ids, matrix, ids, _unit(batch.column(1)), mask)
+        yield pa.RecordBatch.from_pandas(best.frame(), schema=arrow_schema, preserve_index=False)
 
-    return stored.mapInPandas(score, schema)
+    return score
 
 
 def _nearest_blocked(stored: DataFrame, asked: DataFrame, k: int, schema: T.StructType, block_rows: int) -> DataFrame:
@@ -173,6 +200,8 @@ def _score_pairs(left: DataFrame, right: DataFrame, keys: list[str], k: int, sch
             )
         return best.frame()
 
+    # Fresh column identities, as both sides may come from the same frame.
+    left, right = (df.select(*[F.col(c).alias(c) for c in df.columns]) for df in (left, right))
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(score, schema)
 
 
@@ -238,25 +267,15 @@ class CellIndex:
         if not held:
             return _final_top(asked.sparkSession.createDataFrame([], schema), k)
         if len(held) > limit:
-            return self._nearest_joined(stored, asked, k, probes, schema)
+            return _final_top(self._nearest_joined(stored, asked, k, probes, schema), k)
         query_ids = np.array([row["query_id"] for row in held])
         matrix = _unit([row["query_vector"] for row in held])
         probed = np.argsort(-(matrix @ self.centres.T), axis=1, kind="stable")[:, :probes]
         wanted = np.zeros((len(self.centres), len(held)), dtype=bool)
         wanted[probed.T.ravel(), np.tile(np.arange(len(held)), probed.shape[1])] = True
 
-        def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            best = _Best(k)
-            for batch in batches:
-                if len(batch):
-                    _score_into(
-                        best, query_ids, matrix, batch["vec_id"].to_numpy(), _unit(batch["vector"]),
-                        mask=wanted[batch["cell"].to_numpy()],
-                    )
-            yield best.frame()
-
         read = [int(c) for c in np.unique(probed)]
-        return _final_top(stored.filter(F.col("cell").isin(read)).mapInPandas(score, schema), k)
+        return _final_top(stored.filter(F.col("cell").isin(read)).mapInArrow(_scorer(query_ids, matrix, k, schema, wanted), schema), k)
 
     def _nearest_joined(self, stored: DataFrame, asked: DataFrame, k: int, probes: int, schema: T.StructType) -> DataFrame:
         """Query sets past the broadcast bound: (cell, slice) groups of bounded size on both sides."""
