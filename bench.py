@@ -67,7 +67,7 @@ def main() -> None:
         table.read().count()
 
     def embed_documents():
-        consume(embed(documents, "text", hashed, dimension=1024))
+        consume(embed(documents, "text", hashed, dimension=1024, tasks=int(CPUS)))
 
     def knn_exact():
         consume(nearest(vectors, label_queries(vectors), 10))
@@ -78,7 +78,7 @@ def main() -> None:
 
     def knn_approx():
         index = CellIndex.train(vectors, 16)
-        consume(index.nearest(index.assign(vectors), label_queries(vectors), 10))
+        consume(index.nearest(index.assign(vectors), label_queries(vectors), 10, probes=8))
 
     def metadata_rows():
         consume(metadata_long(nested_metadata(spark, SF_DIR), ["doc_id"]))
@@ -98,7 +98,7 @@ def main() -> None:
 
     index = CellIndex.train(vectors, 16)
     exact = nearest(vectors, label_queries(vectors), 10)
-    found = index.nearest(index.assign(vectors), label_queries(vectors), 10)
+    found = index.nearest(index.assign(vectors), label_queries(vectors), 10, probes=8)
     print(
         json.dumps(
             {

@@ -128,19 +128,39 @@ def _entries(data_type: T.StructType, parent: Column | None, prefix: Column) ->
     return F.concat(*parts)
 
 
+def _may_collide(items: list[Leaf | Dynamic]) -> bool:
+    """Whether two items of a schema could give the same flattened key."""
+    fixed = [item.key for item in items if isinstance(item, Leaf)]
+    prefixes = [item.prefix for item in items if isinstance(item, Dynamic)]
+    if len(set(fixed)) < len(fixed):
+        return True
+    return any(
+        name.startswith(prefix)
+        for i, prefix in enumerate(prefixes)
+        for name in fixed + prefixes[:i] + prefixes[i + 1 :]
+    ) or any(_nests(item.data_type) for item in items if isinstance(item, Dynamic))
+
+
+def _nests(data_type: T.MapType) -> bool:
+    """Maps of maps or of structs: an inner key may spell out the same name as an outer one."""
+    return isinstance(data_type.valueType, (T.MapType, T.StructType))
+
+
 def metadata_entries(df: DataFrame, keep: Sequence[str] = (), out: str = "entries") -> DataFrame:
     """``keep`` columns plus an array of present (key, value, value_type); a later equal key wins."""
     schema = T.StructType([f for f in df.schema.fields if f.name not in keep])
     present = F.filter(_entries(schema, None, F.lit("")), lambda e: e["value"].isNotNull())
-    later = lambda i: F.slice(F.col("__keys"), i + 2, F.greatest(F.size("__keys"), F.lit(1)))
-    return (
-        df.select(*keep, present.alias("__all"))
-        .withColumn("__keys", F.transform("__all", lambda e: e["key"]))
-        .select(
-            *keep,
-            F.filter("__all", lambda e, i: ~F.array_contains(later(i), e["key"])).alias(out),
-        )
+    if not _may_collide(walk(schema)):
+        return df.select(*keep, present.alias(out))
+    # One pass from the back: an entry is kept unless its key was met already.
+    kept = F.aggregate(
+        F.reverse(present),
+        F.array().cast(f"array<{ENTRY}>"),
+        lambda met, e: F.when(F.exists(met, lambda m: m["key"] == e["key"]), met).otherwise(
+            F.concat(F.array(e), met)
+        ),
     )
+    return df.select(*keep, kept.alias(out))
 
 
 def metadata_map(df: DataFrame, keep: Sequence[str] = (), out: str = "metadata") -> DataFrame:

@@ -165,7 +165,8 @@ def _scorer(query_ids: np.ndarray, matrix: np.ndarray, k: int, schema: T.StructT
                 mask = None if wanted is None else wanted[batch.column(2).to_numpy(zero_copy_only=False)]
                 ids = batch.column(0).to_numpy(zero_copy_only=False)
                 _score_into(best, query_ids, matrix, ids, _unit(batch.column(1)), mask)
-        yield pa.RecordBatch.from_pandas(best.frame(), schema=arrow_schema, preserve_index=False)
+        found = pa.Table.from_pandas(best.frame(), schema=arrow_schema, preserve_index=False)
+        yield from found.combine_chunks().to_batches()
 
     return score
 

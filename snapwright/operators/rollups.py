@@ -5,26 +5,34 @@ array rollups keep NULL items and give NULL, not an empty array, when nothing ma
 
 Skew: repeated links are counted by (key, item) first, so a hot key reaches the last step as a few
 counted rows. Text rollups ordered by an id build runs of at most ``RUN`` consecutive ids and then join
-the runs, so no task sorts or holds a hot key's single rows; only the finished cell is ever whole.
+the runs, so no task sorts or holds a hot key's single rows; only the finished cell is ever whole. A caller
+that knows every group to be within ``RUN`` rows passes ``run=None`` and saves that extra shuffle.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapwright.functions.arrays import null_if_empty, repeat_items
 from snapwright.functions.hhmm import hhmm_to_minutes, hhmm_to_text, weekday_rank
+from snapwright.functions.predicates import IdRange
 from snapwright.operators.taxonomy import DIMENSIONS
 
 RUN = 4096
 
 
 def ordered_text(
-    rows: DataFrame, key: str, item: Column, order: Column, separator: str, out: str, run: int = RUN
+    rows: DataFrame, key: str, item: Column, order: Column, separator: str, out: str, run: int | None = RUN
 ) -> DataFrame:
     """Items joined in ascending ``order`` (an integer id); NULL items are skipped."""
     sep = separator.replace("'", "''")
+    if run is None:
+        joined = F.expr(f"listagg(__item, '{sep}') within group (order by __order asc nulls last)").alias(out)
+        return rows.select(key, item.alias("__item"), order.alias("__order")).groupBy(key).agg(joined)
     staged = rows.select(
         F.col(key), item.alias("__item"), order.alias("__order"),
         F.call_function("div", order, F.lit(run)).alias("__run"),
@@ -37,29 +45,30 @@ def ordered_text(
     )
 
 
-def phone_text(phones: DataFrame) -> DataFrame:
+def phone_text(phones: DataFrame, run: int | None = RUN) -> DataFrame:
     """Per resource ``number (type), ...`` by phone id; a phone without a type is left out."""
     item = F.concat("number", F.lit(" ("), "service_type", F.lit(")"))
-    return ordered_text(phones, "resource_id", item, F.col("id"), ", ", "phone_text")
+    return ordered_text(phones, "resource_id", item, F.col("id"), ", ", "phone_text", run)
 
 
-def instruction_text(instructions: DataFrame) -> DataFrame:
+def instruction_text(instructions: DataFrame, run: int | None = RUN) -> DataFrame:
     return ordered_text(
-        instructions, "service_id", F.col("instruction"), F.col("id"), " | ", "instructions_text"
+        instructions, "service_id", F.col("instruction"), F.col("id"), " | ", "instructions_text", run
     )
 
 
-def document_text(links: DataFrame, documents: DataFrame) -> DataFrame:
+def document_text(links: DataFrame, documents: DataFrame, run: int | None = RUN) -> DataFrame:
     """Per service ``url (description), ...`` by document id; a repeated link repeats the item."""
-    counted = links.groupBy("service_id", "document_id").agg(F.count("*").alias("__n"))
     known = documents.filter(F.col("url").isNotNull()).select(
         F.col("id").alias("document_id"),
         F.concat("url", F.coalesce(F.concat(F.lit(" ("), "description", F.lit(")")), F.lit(""))).alias("__doc"),
     )
-    item = F.array_join(F.array_repeat("__doc", F.col("__n").cast("int")), ", ")
-    return ordered_text(
-        counted.join(known, "document_id"), "service_id", item, F.col("document_id"), ", ", "documents_text"
-    )
+    item = F.col("__doc")
+    if run is not None:
+        links = links.groupBy("service_id", "document_id").agg(F.count("*").alias("__n"))
+        item = F.array_join(F.array_repeat("__doc", F.col("__n").cast("int")), ", ")
+    joined = links.join(known, "document_id")
+    return ordered_text(joined, "service_id", item, F.col("document_id"), ", ", "documents_text", run)
 
 
 def schedule_rollup(schedules: DataFrame, schedule_days: DataFrame) -> DataFrame:
@@ -112,22 +121,32 @@ def eligibility_arrays(links: DataFrame, classified: DataFrame) -> DataFrame:
     )
 
 
-def category_arrays(links: DataFrame, categories: DataFrame, id_range, prefix: str = "") -> DataFrame:
-    """Per service the sorted distinct ids and, independently, the sorted distinct names in a range.
+def category_arrays(links: DataFrame, categories: DataFrame, families: Mapping[str, IdRange]) -> DataFrame:
+    """Per service and family of ids: sorted distinct ids and, independently, sorted distinct names.
 
-    A NULL name is kept once, at the end.
+    ``families`` maps a column prefix to an id range; the ranges are read together in one pass. A family
+    without a link is NULL; a NULL name is kept once, at the end.
     """
-    wanted = categories.filter(id_range.holds(F.col("id"))).select(F.col("id").alias("category_id"), "name")
-    distinct_links = links.filter(id_range.holds(F.col("category_id"))).select("service_id", "category_id").distinct()
-    grouped = distinct_links.join(wanted, "category_id").groupBy("service_id").agg(
-        F.collect_list(F.struct("category_id", "name")).alias("links")
-    )
+
+    def any_range(column: Column) -> Column:
+        return reduce(lambda a, b: a | b, [ids.holds(column) for ids in families.values()])
+
+    wanted = categories.filter(any_range(F.col("id"))).select(F.col("id").alias("category_id"), "name")
+    distinct_links = links.filter(any_range(F.col("category_id"))).select("service_id", "category_id").distinct()
+    gathered = [
+        F.collect_list(F.when(ids.holds(F.col("category_id")), F.struct("category_id", "name"))).alias(f"{prefix}links")
+        for prefix, ids in families.items()
+    ]
+    grouped = distinct_links.join(wanted, "category_id").groupBy("service_id").agg(*gathered)
 
     def distinct_sorted(field: str) -> Column:
-        return F.array_sort(F.array_distinct(F.col(f"links.{field}")))
+        return null_if_empty(F.array_sort(F.array_distinct(F.col(field))))
 
     return grouped.select(
         "service_id",
-        distinct_sorted("category_id").alias(f"{prefix}category_ids"),
-        distinct_sorted("name").alias(f"{prefix}category_names"),
+        *[
+            distinct_sorted(f"{prefix}links.{field}").alias(f"{prefix}{name}")
+            for prefix in families
+            for field, name in (("category_id", "category_ids"), ("name", "category_names"))
+        ],
     )

@@ -455,9 +455,9 @@ select vec_id, label, round(similarity, 4) as similarity from scored order by sc
 ARRAY_FILTER = over_snapshot(
     """
 select * from (select service_id, address_id,
- coalesce(list_contains(eligibility_age, 'I am a Senior'), false) as member,
- coalesce(list_has_any(eligibility_housing, ['Homeless', 'Re-Entry']), false) as overlap,
- coalesce(list_has_all(eligibility_all, ['Men', 'Women']), false) as contained from snapshot)
+ coalesce(list_contains(eligibility_age, 'Youth (below 21 years old)'), false) as member,
+ coalesce(list_has_any(eligibility_health, ['Pregnant', 'Mental Illness']), false) as overlap,
+ coalesce(list_has_all(eligibility_all, ['Uninsured', 'Refugees']), false) as contained from snapshot)
 where member or overlap or contained"""
 )
 GEO_BOX = over_snapshot(

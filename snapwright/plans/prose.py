@@ -82,5 +82,22 @@ def prose_pieces() -> dict[str, Column]:
     }
 
 
-def prose() -> Column:
-    return assemble(*prose_pieces().values())
+# Pieces that differ between the rows of one service; the others are joined once per service.
+ROW_PIECES = ("hours", "location")
+
+
+def service_prose() -> list[Column]:
+    """The text before and after the row pieces, as columns ``prose_head`` and ``prose_tail``.
+
+    The head always holds the service sentence; the tail is NULL when it has no piece.
+    """
+    pieces = prose_pieces()
+    names = list(pieces)
+    first, last = names.index(ROW_PIECES[0]), names.index(ROW_PIECES[-1])
+    head = F.concat_ws(" ", *[pieces[name] for name in names[:first]])
+    tail = F.nullif(F.concat_ws(" ", *[pieces[name] for name in names[last + 1 :]]), F.lit(""))
+    return [head.alias("prose_head"), tail.alias("prose_tail")]
+
+
+def row_prose() -> Column:
+    return assemble(F.col("prose_head"), hours_sentence(), location_sentence(), F.col("prose_tail"))

@@ -99,7 +99,7 @@ def snapshot_min(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = service_wide(services, cat["programs"]).join(
         resource_wide(cat["resources"], cat["phones"]), "resource_id"
     )
-    categories = category_arrays(cat["categories_services"], cat["categories"], CORE_CATEGORIES)
+    categories = category_arrays(cat["categories_services"], cat["categories"], {"": CORE_CATEGORIES})
     text = assemble(
         F.concat("resource_name", F.lit(".")),
         sentence("Service: ", F.coalesce("service_name", F.lit("Unnamed Service"))),
@@ -157,15 +157,15 @@ def taxonomy_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("category_rollup", O.CATEGORY_ROLLUP)
 def category_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cat = fixture_catalog(spark, sf_dir)
-    rolled = category_arrays(cat["categories_services"], cat["categories"], CORE_CATEGORIES)
+    rolled = category_arrays(cat["categories_services"], cat["categories"], {"": CORE_CATEGORIES})
     return rolled.select("service_id", *[joined_text(c).alias(c) for c in rolled.columns[1:]])
 
 
 @register("whitelabel_rollup", O.WHITELABEL_ROLLUP)
 def whitelabel_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cat = fixture_catalog(spark, sf_dir)
-    ids = WHITE_LABELS["whitelabel"]
-    rolled = category_arrays(cat["categories_services"], cat["categories"], ids, "whitelabel_")
+    families = {f"{family}_": ids for family, ids in WHITE_LABELS.items()}
+    rolled = category_arrays(cat["categories_services"], cat["categories"], families)
     return rolled.select("service_id", *[joined_text(c).alias(c) for c in rolled.columns[1:]])
 
 
@@ -396,8 +396,8 @@ def knn_single(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("knn_approx")
 def knn_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = base_table(spark, sf_dir, "embeddings")
-    index = CellIndex.train(vectors, 8)
-    return hits(index.nearest(index.assign(vectors), label_queries(vectors), 10, probes=4))
+    index = CellIndex.train(vectors, 16)
+    return hits(index.nearest(index.assign(vectors), label_queries(vectors), 10, probes=8))
 
 
 @register("array_filter", O.ARRAY_FILTER)
@@ -406,9 +406,9 @@ def array_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     flag = lambda test: F.coalesce(test, F.lit(False))
     flagged = rows.select(
         "service_id", "address_id",
-        flag(contains_value(F.col("eligibility_age"), "I am a Senior")).alias("member"),
-        flag(overlaps(F.col("eligibility_housing"), ["Homeless", "Re-Entry"])).alias("overlap"),
-        flag(contains_all(F.col("eligibility_all"), ["Men", "Women"])).alias("contained"),
+        flag(contains_value(F.col("eligibility_age"), "Youth (below 21 years old)")).alias("member"),
+        flag(overlaps(F.col("eligibility_health"), ["Pregnant", "Mental Illness"])).alias("overlap"),
+        flag(contains_all(F.col("eligibility_all"), ["Uninsured", "Refugees"])).alias("contained"),
     )
     return flagged.filter("member or overlap or contained")
 

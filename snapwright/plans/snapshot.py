@@ -7,7 +7,7 @@ level on narrow rows and joined last, in one stage.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -29,6 +29,7 @@ from snapwright.operators.joins import (
     unbridged,
 )
 from snapwright.operators.rollups import (
+    RUN,
     category_arrays,
     document_text,
     eligibility_arrays,
@@ -37,7 +38,7 @@ from snapwright.operators.rollups import (
     schedule_rollup,
 )
 from snapwright.operators.taxonomy import DIMENSIONS, Taxonomy, classify
-from snapwright.plans.prose import prose
+from snapwright.plans.prose import row_prose, service_prose
 from snapwright.sources.catalog import SourceCatalog
 
 # Id ranges of the core categories and of the white-label family.
@@ -177,7 +178,7 @@ def service_wide(services: DataFrame, programs: DataFrame) -> DataFrame:
     return own.join(program, "program_id", "left")
 
 
-def resource_wide(resources: DataFrame, phones: DataFrame) -> DataFrame:
+def resource_wide(resources: DataFrame, phones: DataFrame, run: int | None = RUN) -> DataFrame:
     """Active resources with their phone text, one row each."""
     own = resources.filter(is_active(F.col("status"))).select(
         F.col("id").alias("resource_id"), F.col("name").alias("resource_name"),
@@ -186,7 +187,7 @@ def resource_wide(resources: DataFrame, phones: DataFrame) -> DataFrame:
         F.col("long_description").alias("resource_long_description"),
         F.col("email").alias("resource_email"), F.col("website").alias("resource_website"),
     )
-    return own.join(phone_text(phones), "resource_id", "left")
+    return own.join(phone_text(phones, run), "resource_id", "left")
 
 
 def schedule_columns(rolled: DataFrame, owner: str) -> DataFrame:
@@ -205,14 +206,18 @@ def joined_rows(
     core_categories: IdRange = CORE_CATEGORIES,
     white_labels: Mapping[str, IdRange] = WHITE_LABELS,
     task_rows: int = TASK_ROWS,
+    per_service: Callable[[DataFrame], DataFrame] = lambda wide: wide,
 ) -> DataFrame:
-    """All inputs of a snapshot row side by side, before the output columns are chosen."""
+    """All inputs of a snapshot row side by side, before the output columns are chosen.
+
+    ``per_service`` is applied to the wide service rows before addresses and schedules multiply them; what
+    it drops is not carried through those joins.
+    """
     services = catalog["services"].filter(is_active(F.col("status")))
     taxonomy = taxonomy or Taxonomy.default(services.sparkSession)
     keys = services.select(F.col("id").alias("service_id"), "resource_id")
 
     base = service_wide(services, catalog["programs"])
-    profile = resource_wide(catalog["resources"], catalog["phones"])
 
     bridge = catalog["addresses_services"]
     linked = linked_addresses(bridge, catalog["addresses"])
@@ -233,8 +238,17 @@ def joined_rows(
             "fallback": (fallback, "resource_id"),
             "service_hours": (schedules, "service_id"),
             "resource_hours": (schedules.filter(F.col("service_id").isNull()), "resource_id"),
+            "phones": (catalog["phones"], "resource_id"),
+            "instructions": (catalog["instructions"], "service_id"),
+            "documents": (catalog["documents_services"], "service_id"),
         }
     )
+
+    def run_of(name: str) -> int | None:
+        """Text rollups go by runs of ids only where some group is large."""
+        return RUN if most[name] > min(RUN, task_rows) else None
+
+    profile = resource_wide(catalog["resources"], catalog["phones"], run_of("phones"))
     per_resource = key_counts(keys, "resource_id")
     fallback_counts = key_counts(fallback, "resource_id")
     hours_counts = key_counts(resource_hours, "resource_id")
@@ -258,18 +272,16 @@ def joined_rows(
     hot = find_hot(searches)
 
     wide = grid_join(base, profile, "resource_id", hot.get("profile"))
+    families = {"": core_categories, **{f"{family}_": ids for family, ids in white_labels.items()}}
     rollups = [
-        category_arrays(catalog["categories_services"], catalog["categories"], core_categories),
-        *[
-            category_arrays(catalog["categories_services"], catalog["categories"], ids, f"{family}_")
-            for family, ids in white_labels.items()
-        ],
+        category_arrays(catalog["categories_services"], catalog["categories"], families),
         eligibility_arrays(catalog["eligibilities_services"], classify(catalog["eligibilities"], taxonomy)),
-        instruction_text(catalog["instructions"]),
-        document_text(catalog["documents_services"], catalog["documents"]),
+        instruction_text(catalog["instructions"], run_of("instructions")),
+        document_text(catalog["documents_services"], catalog["documents"], run_of("documents")),
     ]
     for rollup in rollups:
         wide = wide.join(rollup, "service_id", "left")
+    wide = per_service(wide)
 
     address_rows = linked.unionByName(
         grid_join(homeless, fallback, "resource_id", hot.get("fallback")).drop("resource_id")
@@ -296,13 +308,20 @@ def build_snapshot(catalog: SourceCatalog, *, since: datetime | str | None = Non
     if since is not None:
         catalog = reduced_to(catalog, changed_services(catalog["services"], since))
     schema = snapshot_schema(options.get("white_labels", WHITE_LABELS))
-    rows = joined_rows(catalog, **options).select(
-        "*",
-        F.coalesce("service_schedule", "resource_schedule").alias("schedule"),
-        prose().alias("embedding_text"),
+
+    def per_service(wide: DataFrame) -> DataFrame:
+        kept = [name for name in schema.names if name in wide.columns]
+        return wide.select(*kept, *service_prose())
+
+    computed = {
+        "schedule": F.coalesce("service_schedule", "resource_schedule"),
+        "embedding_text": row_prose(),
+    }
+    rows = joined_rows(catalog, per_service=per_service, **options)
+    return rows.select(
         row_key().alias(KEY_COLUMN),
+        *[computed.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in schema],
     )
-    return rows.select(KEY_COLUMN, *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -62,7 +62,10 @@ def test_runs_do_not_change_the_text(spark):
     )
     wide = by_key(ordered_text(rows, "k", F.col("t"), F.col("i"), "|", "out"), "k")
     narrow = by_key(ordered_text(rows.repartition(7), "k", F.col("t"), F.col("i"), "|", "out", run=5), "k")
-    assert {k: r.out for k, r in wide.items()} == {k: r.out for k, r in narrow.items()}
+    plain = by_key(ordered_text(rows, "k", F.col("t"), F.col("i"), "|", "out", run=None), "k")
+    assert {k: r.out for k, r in wide.items()} == {k: r.out for k, r in narrow.items()} == {
+        k: r.out for k, r in plain.items()
+    }
     assert wide[1].out == "|".join(f"t{i}" for i in range(0, 1000, 3) if i % 11 != 0)
 
 
@@ -128,8 +131,9 @@ def test_category_arrays(spark):
         [(1, 6), (1, 5), (1, 5), (1, 7), (1, 8), (1, 202), (1, 0), (2, 202), (2, 400), (3, 5)],
         "service_id long, category_id long",
     )
-    got = by_key(category_arrays(links, categories, IdRange(0, 399, without=(202,)), "x_"), "service_id")
-    assert set(got) == {1, 3}
+    got = by_key(category_arrays(links, categories, {"x_": IdRange(0, 399, without=(202,)), "y_": IdRange(400, 500)}), "service_id")
+    assert set(got) == {1, 2, 3}
+    assert got[2].x_category_ids is None and got[2].y_category_names == ["out"] and got[1].y_category_ids is None
     assert got[1].x_category_ids == [0, 5, 6, 7, 8]
     assert got[1].x_category_names == ["a", "z", None]
 

@@ -165,7 +165,7 @@ def test_wide_row_is_shuffled_by_service_once(spark, stored):
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
     # The outermost joins sit directly on each other: none of their left inputs is exchanged again.
     spine = [line for line in plan if "SortMergeJoin [service_id" in line and "LeftOuter" in line]
-    assert len(spine) == 8
+    assert len(spine) == 7
     depth = [len(line) - len(line.lstrip(" :+-*")) for line in spine]
     assert depth == sorted(depth)
 
