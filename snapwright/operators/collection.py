@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapwright.operators.embed import EncoderFactory, embed
+from snapwright.operators.joins import BROADCAST_ROWS
 from snapwright.operators.retrieve import nearest
 from snapwright.sources.published import PublishedTable
 
@@ -46,8 +47,12 @@ class Collection:
         for key, value in (where or {}).items():
             stored = stored.filter(F.col("metadata")[key] == str(value))
         asked = embed(queries.select("query_id", "text"), "text", self.factory, dimension=self.dimension)
-        hits = nearest(stored, asked, k, vec_id="doc_id", query_vector="embedding")
-        return hits.withColumnRenamed("vec_id", "doc_id").join(stored.select("doc_id", "text", "metadata"), "doc_id")
+        hits = nearest(stored, asked, k, vec_id="doc_id", query_vector="embedding").withColumnRenamed("vec_id", "doc_id")
+        # At most k hits per query: few enough to go to the documents rather than shuffle those.
+        most = BROADCAST_ROWS // k
+        if queries.limit(most + 1).count() <= most:
+            hits = F.broadcast(hits)
+        return hits.join(stored.select("doc_id", "text", "metadata"), "doc_id")
 
     def delete(self) -> None:
         """Drop the collection."""

@@ -24,8 +24,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from snapwright.functions.vectors import cosine, norm
 
 DIGITS = 9
-# Most query-vector components held by every task at once (8 bytes each).
-BROADCAST_CELLS = 1_000_000
+# Most query vectors held by every task at once.
+BROADCAST_QUERIES = 4_096
 # Vector components per block in the blocked form.
 BLOCK_CELLS = 1_000_000
 # Similarities computed at once, and candidate rows kept before the best are sorted out.
@@ -121,27 +121,27 @@ def nearest(
     vector: str = "embedding",
     query_id: str = "query_id",
     query_vector: str = "query_vector",
-    broadcast_cells: int = BROADCAST_CELLS,
+    broadcast_queries: int = BROADCAST_QUERIES,
     block_cells: int = BLOCK_CELLS,
 ) -> DataFrame:
     """Exact k nearest vectors of every query: (query_id, vec_id, similarity, rank).
 
-    Query sets up to ``broadcast_cells`` components go to every task and the vectors are read in place.
-    Larger sets are cut, like the vectors, into blocks of bounded size that meet pairwise.
+    Up to ``broadcast_queries`` queries go to every task and the vectors are read in place. Larger query
+    sets are cut, like the vectors, into blocks of bounded size that meet pairwise; both frames are then
+    read more than once, so pass stored ones.
     """
     asked = queries.select(F.col(query_id).alias("query_id"), F.col(query_vector).alias("query_vector"))
     stored = vectors.select(F.col(vec_id).alias("vec_id"), F.col(vector).alias("vector")).filter(
         F.col("vector").isNotNull()
     )
     schema = _result_schema(asked, "query_id", stored, "vec_id")
-    first = asked.select(F.size("query_vector").alias("d")).head()
-    if first is None:
+    held = asked.limit(broadcast_queries + 1).collect()
+    if not held:
         return _final_top(asked.sparkSession.createDataFrame([], schema), k)
-    limit = max(1, broadcast_cells // max(1, first["d"]))
-    held = asked.limit(limit + 1).collect()
-    if len(held) <= limit:
+    if len(held) <= broadcast_queries:
         return _final_top(_nearest_broadcast(stored, held, k, schema), k)
-    return _final_top(_nearest_blocked(stored, asked, k, schema, max(1, block_cells // max(1, first["d"]))), k)
+    block_rows = max(1, block_cells // len(held[0]["query_vector"]))
+    return _final_top(_nearest_blocked(stored, asked, k, schema, block_rows), k)
 
 
 def _nearest_broadcast(stored: DataFrame, held: list, k: int, schema: T.StructType) -> DataFrame:
@@ -257,17 +257,16 @@ class CellIndex:
         cell: str = "cell",
         query_id: str = "query_id",
         query_vector: str = "query_vector",
-        broadcast_cells: int = BROADCAST_CELLS,
+        broadcast_queries: int = BROADCAST_QUERIES,
     ) -> DataFrame:
         """k nearest among the ``probes`` nearest cells of each query."""
         asked = queries.select(F.col(query_id).alias("query_id"), F.col(query_vector).alias("query_vector"))
         stored = assigned.select(F.col(vec_id).alias("vec_id"), F.col(vector).alias("vector"), F.col(cell).alias("cell"))
         schema = _result_schema(asked, "query_id", stored, "vec_id")
-        limit = max(1, broadcast_cells // self.centres.shape[1])
-        held = asked.limit(limit + 1).collect()
+        held = asked.limit(broadcast_queries + 1).collect()
         if not held:
             return _final_top(asked.sparkSession.createDataFrame([], schema), k)
-        if len(held) > limit:
+        if len(held) > broadcast_queries:
             return _final_top(self._nearest_joined(stored, asked, k, probes, schema), k)
         query_ids = np.array([row["query_id"] for row in held])
         matrix = _unit([row["query_vector"] for row in held])

@@ -39,7 +39,7 @@ def test_query(spark, sf_dir, connection, name):
     df = entry.queries()[name](spark, sf_dir)
     columns = sorted(df.columns)
     got = Counter(tuple(plain(row[c]) for c in columns) for row in df.collect())
-    assert got
+    assert got, "a check over no rows checks nothing"
     sql = entry.oracle_sql().get(name)
     if sql is None:
         return

@@ -146,3 +146,18 @@ def test_runs(spark, tmp_path):
 def test_scratch_folder_follows_the_session(spark):
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert scratch_root(spark).startswith(shared) and scratch_root(spark) != scratch_root(spark)
+
+
+def test_command_line(spark, tmp_path, capsys):
+    import json
+
+    from snapwright.__main__ import main
+
+    catalog = small_catalog(spark)
+    for name in catalog.names():
+        catalog[name].write.parquet(f"{tmp_path}/source/{name}")
+    given = ["--source", f"{tmp_path}/source", "--target", f"{tmp_path}/target", "--dimension", "8"]
+    assert main(given)["mode"] == "full"
+    assert main(given)["status"] == "skipped"
+    first, second = [json.loads(line) for line in capsys.readouterr().out.strip().splitlines()]
+    assert first["total_rows"] == 15 and second["table"] == f"{tmp_path}/target"

@@ -43,7 +43,7 @@ def listed(df):
     return found
 
 
-@pytest.mark.parametrize("cells", [{}, {"broadcast_cells": 12, "block_cells": 12 * 70}])
+@pytest.mark.parametrize("cells", [{}, {"broadcast_queries": 1, "block_cells": 12 * 70}])
 def test_exact_equals_brute_force(spark, data, cells):
     vectors, queries = data
     stored, asked = frame(spark, vectors).repartition(5), frame(spark, queries, "query_id", "query_vector")
@@ -93,7 +93,7 @@ def test_approximate_recall_and_joined_form(spark, data):
     # Looking into every cell is exact.
     assert recall(index.nearest(assigned, asked, 10, probes=6), exact) == 1.0
     held = index.nearest(assigned, asked, 10, probes=2)
-    joined = index.nearest(assigned, asked, 10, probes=2, broadcast_cells=12)
+    joined = index.nearest(assigned, asked, 10, probes=2, broadcast_queries=1)
     assert listed(held) == listed(joined)
 
 
