@@ -49,8 +49,7 @@ class Collection:
         asked = embed(queries.select("query_id", "text"), "text", self.factory, dimension=self.dimension)
         hits = nearest(stored, asked, k, vec_id="doc_id", query_vector="embedding").withColumnRenamed("vec_id", "doc_id")
         # At most k hits per query: few enough to go to the documents rather than shuffle those.
-        most = BROADCAST_ROWS // k
-        if queries.limit(most + 1).count() <= most:
+        if queries.count() * k <= BROADCAST_ROWS:
             hits = F.broadcast(hits)
         return hits.join(stored.select("doc_id", "text", "metadata"), "doc_id")
 

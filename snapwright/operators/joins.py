@@ -29,7 +29,7 @@ def broadcast_if_small(lists: dict[str, DataFrame], max_rows: int = BROADCAST_RO
     Past the bound the choice is left to the optimizer.
     """
     counted = [
-        df.limit(max_rows + 1).agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n")
+        df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n")
         for name, df in lists.items()
     ]
     sizes = {row["name"]: row["n"] for row in reduce(DataFrame.unionByName, counted).collect()}
