@@ -1,4 +1,7 @@
-"""The descriptive text of one snapshot row, assembled from optional sentences in a fixed order."""
+"""The descriptive text of one snapshot row, assembled from optional sentences in a fixed order.
+
+Fixed values: the sentence texts, their order and the default service name.
+"""
 
 from __future__ import annotations
 
