@@ -42,6 +42,7 @@ AROUND = frozenset(
 #: An element that says it is the content is not a surrounding one, whatever else it says.
 CONTENT = frozenset("article content main post entry story body text".split())
 _WORDS = re.compile(r"[A-Za-z]+")
+_CUT_TAG = re.compile(r"<[A-Za-z/!?][^>]*\Z")
 _SPLIT_CASE = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
@@ -59,15 +60,19 @@ class _Lines(HTMLParser):
     def _state(self) -> tuple[bool, bool, int]:
         return self.stack[-1][1:] if self.stack else (False, False, 0)
 
+    def _cut(self, at: int) -> None:
+        """End all elements from ``at`` on, links left open among them."""
+        self.link_depth -= sum(tag == "a" for tag, *_ in self.stack[at:])
+        del self.stack[at:]
+
     def _flush(self) -> None:
         silent, around, container = self._state()
         text = " ".join("".join(self.parts).split())
-        if text and not silent and not around:
+        if text:
             self.lines.append((text, self.tags, self.links, container))
+        if text or silent or around:
             self.tags = 0
         self.parts, self.links = [], 0
-        if silent or around:
-            self.tags = 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
@@ -81,7 +86,7 @@ class _Lines(HTMLParser):
             # A menu or header that was never closed ends where the article starts.
             at = next(i for i, (_, _, around, _) in enumerate(self.stack) if around)
             if self.stack[at][0] in ASIDE:
-                del self.stack[at:]
+                self._cut(at)
         if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and any(t == tag for t, *_ in self.stack[-3:]):
             self._close(tag, self.stack[-3:])
         silent, around, container = self._state()
@@ -115,22 +120,24 @@ class _Lines(HTMLParser):
         if any(t in CONTAINERS and t != tag for t, *_ in self.stack[at + 1 :]):
             return
         self._flush()
-        del self.stack[at:]
+        self._cut(at)
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
-        if tag == "a" and self.link_depth:
-            self.link_depth -= 1
         if tag in BLOCKS:
             self._flush()
         for at in range(len(self.stack) - 1, -1, -1):
             if self.stack[at][0] == tag:
-                del self.stack[at:]
+                self._cut(at)
                 return
             if tag not in BLOCKS and self.stack[at][0] in CONTAINERS:
                 return
 
     def handle_data(self, data: str) -> None:
+        silent, around, _ = self._state()
+        if silent or around:
+            self.parts.append(" ")
+            return
         self.parts.append(data)
         if self.link_depth:
             self.links += len(data)
@@ -165,6 +172,9 @@ def two_clusters(values: np.ndarray) -> float:
 
 def main_text(page: str, *, sigma: float = 1.0, link_share: float = 0.6) -> str:
     """The main text of one page."""
+    start = page.rfind("<")
+    if start >= 0 and _CUT_TAG.match(page, start):
+        page = page[:start]  # the page stops inside a tag
     parser = _Lines()
     parser.feed(page)
     parser.finish()

@@ -97,7 +97,7 @@ def write_archives(chunks: DataFrame, folder: str, *, file_bytes: int = 512 << 2
                             out = None
                         if out is None:
                             name, records, size = f"pages-{uuid.uuid4().hex}.warc.gz", 0, 0
-                            out = files.open_output_stream(join_path(root, name))
+                            out = files.open_output_stream(join_path(root, name), compression=None)
                         packer = zlib.compressobj(level, zlib.DEFLATED, 31)
                         records += 1
                         size += out.write(packer.compress(_head(row)))
@@ -190,7 +190,7 @@ def read_archives(spark: SparkSession, folder: str, *, chunk_bytes: int = CHUNK_
         files, root = open_folder(folder)
         for batch in batches:
             for name in batch.column("file").to_pylist():
-                with files.open_input_stream(join_path(root, name), buffer_size=1 << 20) as opened:
+                with files.open_input_stream(join_path(root, name), compression=None, buffer_size=1 << 20) as opened:
                     yield from _records(_Members(opened, 1 << 18), chunk_bytes, with_data)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
