@@ -29,23 +29,31 @@ class Collection:
         self.dimension = dimension
 
     def add_documents(self, documents: DataFrame) -> DataFrame:
-        """Store (doc_id, text, metadata), replacing documents with the same id. Returns the ids."""
-        rows = documents.select(
-            F.col("doc_id").cast("string").alias("doc_id"), "text", F.col("metadata").cast("map<string,string>")
-        )
+        """Store (doc_id, text, metadata), replacing documents with the same id. Returns the ids written, each once.
+
+        Of several rows of one id in a call the last by text (then by metadata) is stored. Rows without an id are an error.
+        """
+        metadata = F.col("metadata").cast("map<string,string>")
+        rows = documents.select(F.col("doc_id").cast("string").alias("doc_id"), "text", metadata.alias("metadata"))
+        entries = F.array_sort(F.map_entries("metadata"))
+        last = rows.groupBy("doc_id").agg(F.max(F.struct("text", entries.alias("entries"))).alias("row"))
+        rows = last.select(
+            F.when(F.col("doc_id").isNull(), F.raise_error(F.lit("a document has no id"))).otherwise(F.col("doc_id")).alias("doc_id"),
+            "row.text", F.map_from_entries("row.entries").alias("metadata"),
+        )
         rows = embed(rows, "text", self.factory, dimension=self.dimension)
-        nothing = rows.select("doc_id").limit(0)
-        commit = self.table.publish_changes(rows, nothing)
-        return self.table.spark.read.schema(COLLECTION_SCHEMA).parquet(commit.segments[-1]["rows"]).select("doc_id")
+        commit = self.table.publish_changes(rows, rows.select("doc_id").limit(0))
+        return self.table.spark.read.schema(COLLECTION_SCHEMA).parquet(commit.fresh).select("doc_id")
 
     def documents(self) -> DataFrame:
         return self.table.read()
 
-    def similarity_search(self, queries: DataFrame, k: int = 5, where: dict[str, str] | None = None) -> DataFrame:
+    def similarity_search(self, queries: DataFrame, k: int = 5, where: dict[str, str | bool | int | float] | None = None) -> DataFrame:
         """The k documents nearest to each (query_id, text), among those whose metadata equals ``where``."""
         stored = self.documents()
         for key, value in (where or {}).items():
-            stored = stored.filter(F.col("metadata")[key] == str(value))
+            # The same cast that stored the value, so that True finds what was stored from a boolean.
+            stored = stored.filter(F.col("metadata")[key] == F.lit(value).cast("string"))
         asked = embed(queries.select("query_id", "text"), "text", self.factory, dimension=self.dimension)
         hits = nearest(stored, asked, k, vec_id="doc_id", query_vector="embedding").withColumnRenamed("vec_id", "doc_id")
         # At most k hits per query: few enough to go to the documents rather than shuffle those.

@@ -6,11 +6,12 @@ the JVM. An encoder is made once per task by a factory, so clients are never shi
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
+import importlib
 import random
 import re
 import time
-from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -40,8 +41,12 @@ def register_encoder(name: str, make: Callable[..., EncoderFactory]) -> None:
 
 
 def encoder(name: str, **options) -> EncoderFactory:
+    """Factory of a registered encoder, or of ``module:function``, which is called like a registered one."""
+    if name not in _factories and ":" in name:
+        module, _, function = name.partition(":")
+        return getattr(importlib.import_module(module), function)(**options)
     if name not in _factories:
-        raise ValueError(f"Unsupported embedding provider: '{name}'")
+        raise ValueError(f"no encoder is registered as {name!r}; known: {', '.join(sorted(_factories))}, or module:function")
     return _factories[name](**options)
 
 
@@ -54,34 +59,39 @@ def _token_number(token: str) -> int:
 _TOKEN = re.compile(r"[^\W_]+")
 
 
-def hashed_counts(text: str, dimension: int) -> np.ndarray:
-    """Token counts folded into ``dimension`` slots by an md5 prefix, scaled to unit length."""
-    vector = np.zeros(dimension)
-    for token, count in Counter(_TOKEN.findall(text.lower())).items():
-        vector[_token_number(token) % dimension] += count
-    length = np.sqrt(vector @ vector)
-    return vector / length if length else vector
+def hashed_counts(texts: list[str], dimension: int) -> np.ndarray:
+    """Token counts folded into ``dimension`` slots by an md5 prefix, one row of unit length per text."""
+    tokens = [_TOKEN.findall(text.lower()) for text in texts]
+    slots = np.fromiter((_token_number(token) for own in tokens for token in own), np.int64) % dimension
+    rows = np.repeat(np.arange(len(texts)), [len(own) for own in tokens])
+    counts = np.bincount(rows * dimension + slots, minlength=len(texts) * dimension).reshape(len(texts), dimension).astype(float)
+    length = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
+    return np.divide(counts, length, out=counts, where=length > 0)
 
 
 def _hashed(dimension: int = 1024) -> EncoderFactory:
-    return lambda: lambda texts: [hashed_counts(text, dimension) for text in texts]
+    return lambda: lambda texts: hashed_counts(texts, dimension)
 
 
 register_encoder("hashed", _hashed)
 
 
+def waits(attempts: int, jitter=random.random) -> Iterator[float]:
+    """Seconds to wait before each further attempt: doubling from one, with jitter, up to the longest wait."""
+    return (min(2.0**n + jitter(), LONGEST_WAIT) for n in range(attempts))
+
+
 def with_retry(
     encode: Encoder, *, attempts: int = ATTEMPTS, sleep=time.sleep, jitter=random.random
 ) -> Encoder:
-    """Retry a throttled call after min(2^attempt + jitter, 60) seconds; other errors pass at once."""
+    """Call again, after a wait, while the service is throttled; other errors pass at once."""
 
     def encode_with_retry(texts: list[str]):
-        for attempt in range(attempts):
-            try:
+        for wait in waits(attempts, jitter):
+            with contextlib.suppress(Throttled):
                 return encode(texts)
-            except Throttled:
-                sleep(min(2**attempt + jitter(), LONGEST_WAIT))
-        raise RuntimeError("encoder throttled: exceeded max retries")
+            sleep(wait)
+        raise RuntimeError(f"still throttled after {attempts} attempts")
 
     return encode_with_retry
 
@@ -100,6 +110,10 @@ def with_rate(encode: Encoder, texts_per_second: float, *, sleep=time.sleep, clo
     return encode_at_rate
 
 
+def retrying(factory: EncoderFactory) -> EncoderFactory:
+    return lambda: with_retry(factory())
+
+
 def remote(factory: EncoderFactory, *, job_rate: float, tasks: int) -> EncoderFactory:
     """A rate-limited, retrying factory: the job's rate is shared evenly by ``tasks`` tasks.
 

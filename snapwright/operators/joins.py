@@ -3,7 +3,8 @@
 Every plan here has two forms. Key counts are taken first, by partial aggregation. Without hot keys the
 join is the plain one. With hot keys each hot key is cut into slices: a row of the cut side goes to the
 slice its content hashes to (so a retried task makes the same choice) and the other side is repeated
-once per slice. No row is dropped or capped in either form.
+once per slice. Rows that are equal are counted first and then numbered, and the number is hashed with the content, so
+they spread as well. Rows without a key never match and are spread over tasks. No row is dropped or capped in either form.
 """
 
 from __future__ import annotations
@@ -40,12 +41,33 @@ def keep_listed(df: DataFrame, *tests: tuple[Column, DataFrame]) -> DataFrame:
     """Rows for which some (column, list of distinct ids) test holds, in one pass over ``df``."""
     marked, found = df, F.lit(False)
     for i, (column, ids) in enumerate(tests):
-        listed = ids.select(F.col(ids.columns[0]).alias(f"__id{i}"))
-        marked = marked.join(listed, column == F.col(f"__id{i}"), "left")
+        listed = ids.select(F.col(ids.columns[0]).alias(f"__id{i}"), F.lit(0).cast("bigint").alias(f"__on{i}"))
+        marked = marked.withColumn("__spread", _spread(column, df.columns))
+        marked = marked.join(listed, (column == F.col(f"__id{i}")) & (F.col("__spread") == F.col(f"__on{i}")), "left")
         found = found | F.col(f"__id{i}").isNotNull()
     return marked.filter(found).select(*df.columns)
 
 
+def _spread(key: Column, columns: list[str]) -> Column:
+    """0 where there is a key; else a number by content, which sends keyless rows to many tasks."""
+    return F.when(key.isNull(), 1 + F.pmod(F.xxhash64(*columns), F.lit(4096))).otherwise(F.lit(0)).cast("bigint")
+
+
+def lookup(rows: DataFrame, table: DataFrame, key: str, hot: DataFrame | None = None) -> DataFrame:
+    """Left join to a table with one row per key. Keyless rows are spread; a hot key's rows are cut and its row repeated."""
+    own = rows.columns
+    names = [*own, *[c for c in table.columns if c != key]]
+    if hot is not None:
+        rows = _sliced(rows, key, hot, 2, lambda slices: slices[0], "__spread", own)
+        every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__slices")[0] - 1))
+        table = _with_slices(table, key, hot, 2).withColumn("__spread", every).drop("__slices")
+        rows = rows.withColumn("__spread", F.when(F.col(key).isNull(), _spread(F.col(key), own)).otherwise(F.col("__spread")))
+    else:
+        rows = rows.withColumn("__spread", _spread(F.col(key), own))
+        table = table.withColumn("__spread", F.lit(0).cast("bigint"))
+    return rows.join(table, [key, "__spread"], "left").select(*names)
+
+
 def key_counts(df: DataFrame, key: str) -> DataFrame:
     return df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
 
@@ -80,6 +102,12 @@ def grid_hot(left_counts: DataFrame, right_counts: DataFrame, key: str, task_row
     )
 
 
+def lookup_hot(rows: DataFrame, key: str, task_rows: int = TASK_ROWS) -> DataFrame:
+    """Keys with more than ``task_rows`` rows, with the slices to cut them into for a lookup."""
+    counted = key_counts(rows, key).filter(F.col("n") > task_rows)
+    return counted.select(F.col(key).cast("bigint").alias("hot_key"), F.array(F.ceil(F.col("n") / task_rows), F.lit(1).cast("bigint")).alias("slices"))
+
+
 def fan_hot(counts: list[DataFrame], key: str, task_rows: int = TASK_ROWS) -> DataFrame:
     """Keys whose product of branch counts exceeds ``task_rows``, with the slices per branch."""
     numbered = [c.withColumnRenamed("n", f"n{i}") for i, c in enumerate(counts)]
@@ -124,24 +152,35 @@ def _with_slices(df: DataFrame, key: str, hot: DataFrame, branches: int) -> Data
     )
 
 
-def _slice_of(columns: list[str], slices: Column) -> Column:
-    return F.pmod(F.xxhash64(*columns), slices)
+def _sliced(df: DataFrame, key: str, hot: DataFrame, branches: int, slices_of, out: str, columns: list[str]) -> DataFrame:
+    """``df`` with ``__slices`` and the slice ``out`` of each row; equal rows of a hot key are numbered and spread.
+
+    Rows of other keys are not touched: they have one slice.
+    """
+    marked = df.join(hot, F.col(key) == F.col("hot_key"), "left")
+    one = F.array_repeat(F.lit(1).cast("bigint"), branches)
+    cold = marked.filter(F.col("hot_key").isNull()).drop("hot_key", "slices")
+    cold = cold.withColumn("__slices", one).withColumn(out, F.lit(0).cast("bigint"))
+    own = marked.filter(F.col("hot_key").isNotNull()).drop("hot_key").withColumnRenamed("slices", "__slices")
+    counted = own.groupBy(*columns, "__slices").agg(F.count(F.lit(1)).alias("__n"))
+    numbered = counted.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__n"))))
+    cut = numbered.withColumn(out, F.pmod(F.xxhash64(*columns, "__copy"), slices_of(F.col("__slices"))))
+    return cold.unionByName(cut.drop("__n", "__copy"))
 
 
 def grid_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
     """Inner join on ``key``; hot keys become a grid of (left slice, right slice) cells."""
     if hot is None:
         return left.join(right, key)
+    zero = F.lit(0).cast("bigint")
     cut_left = (
-        _with_slices(left, key, hot, 2)
-        .withColumn("__a", _slice_of(left.columns, F.col("__slices")[0]))
-        .withColumn("__b", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__slices")[1] - 1)))
+        _sliced(left, key, hot, 2, lambda z: z[0], "__a", left.columns)
+        .withColumn("__b", F.explode(F.sequence(zero, F.col("__slices")[1] - 1)))
         .drop("__slices")
     )
     cut_right = (
-        _with_slices(right, key, hot, 2)
-        .withColumn("__b", _slice_of(right.columns, F.col("__slices")[1]))
-        .withColumn("__a", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__slices")[0] - 1)))
+        _sliced(right, key, hot, 2, lambda z: z[1], "__b", right.columns)
+        .withColumn("__a", F.explode(F.sequence(zero, F.col("__slices")[0] - 1)))
         .drop("__slices")
     )
     return cut_left.join(cut_right, [key, "__a", "__b"]).drop("__a", "__b")
@@ -168,8 +207,7 @@ def fan_out(base: DataFrame, key: str, branches: list[DataFrame], hot: DataFrame
         own = F.col("__slices")[i]
         div = lambda a, b: F.call_function("div", a, b)
         sliced = (
-            _with_slices(branch, key, hot, count)
-            .withColumn("__slice", _slice_of(branch.columns, own))
+            _sliced(branch, key, hot, count, lambda z, i=i: z[i], "__slice", branch.columns)
             .withColumn("__other", F.explode(F.sequence(zero, div(all_cells, own) - 1)))
             .withColumn(
                 "__cell",

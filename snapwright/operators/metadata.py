@@ -68,23 +68,50 @@ def walk(data_type: T.StructType, prefix: str = "", parent: Column | None = None
     return found
 
 
+#: Most keys of one map field that become columns; the rest of a map stays together as JSON text.
+MAP_COLUMNS = 1000
+
+
+def _keys_of(df: DataFrame, value: Column) -> list[str]:
+    """Distinct keys of a map column over all rows, in order, at most one more than ``MAP_COLUMNS``."""
+    keys = df.select(F.explode(F.map_keys(value).cast("array<string>")).alias("key")).distinct()
+    return [row["key"] for row in keys.orderBy("key").limit(MAP_COLUMNS + 1).collect()]
+
+
 def flatten_wide(
     df: DataFrame, keep: Sequence[str] = (), map_keys: Mapping[str, Sequence[str]] | None = None
 ) -> DataFrame:
     """Plain columns, NULL where a value is absent. ``keep`` columns pass through unchanged.
 
-    Map fields give columns only for the keys named in ``map_keys`` (by flattened field name).
-    Of two fields with the same flattened name the later one wins where it is present.
+    Every key of a map field becomes a column. Where ``map_keys`` names the keys (by flattened field name) those are
+    taken; otherwise one pass over the data finds them. Keys beyond those named, or beyond ``MAP_COLUMNS``, are kept as
+    JSON text in a column with the field's own name. Of two fields with the same flattened name the later one wins where
+    it is present.
     """
     columns: dict[str, list[tuple[Column, str]]] = {}
-    schema = T.StructType([f for f in df.schema.fields if f.name not in keep])
-    for item in walk(schema):
+
+    def add(item: Leaf | Dynamic) -> None:
         if isinstance(item, Leaf):
             columns.setdefault(item.key, []).append((item.value, item.kind))
-            continue
-        for key in (map_keys or {}).get(item.prefix[:-1], ()):
-            value, kind = _plain(item.value.getItem(key), item.data_type.valueType)
-            columns.setdefault(item.prefix + key, []).append((value, kind))
+            return
+        field, inner = item.prefix[:-1], item.data_type.valueType
+        named = (map_keys or {}).get(field)
+        keys = list(named) if named is not None else _keys_of(df, item.value)
+        for key in keys[:MAP_COLUMNS] if named is None else keys:
+            value = item.value.getItem(F.lit(key).cast(item.data_type.keyType))
+            if isinstance(inner, T.StructType):
+                for nested in walk(inner, f"{item.prefix}{key}_", value):
+                    add(nested)
+            elif isinstance(inner, T.MapType):
+                add(Dynamic(f"{item.prefix}{key}_", value, inner))
+            else:
+                columns.setdefault(item.prefix + key, []).append(_plain(value, inner))
+        if named is not None or len(keys) > MAP_COLUMNS:
+            rest = F.map_filter(item.value, lambda k, v: ~k.cast("string").isin(keys[:MAP_COLUMNS] if named is None else keys))
+            columns.setdefault(field, []).append((F.when(F.size(rest) > 0, F.to_json(rest, _JSON)), "string"))
+
+    for item in walk(T.StructType([f for f in df.schema.fields if f.name not in keep])):
+        add(item)
 
     def chosen(values: list[tuple[Column, str]]) -> Column:
         if len({kind for _, kind in values}) > 1:
@@ -152,14 +179,12 @@ def metadata_entries(df: DataFrame, keep: Sequence[str] = (), out: str = "entrie
     present = F.filter(_entries(schema, None, F.lit("")), lambda e: e["value"].isNotNull())
     if not _may_collide(walk(schema)):
         return df.select(*keep, present.alias(out))
-    # One pass from the back: an entry is kept unless its key was met already.
-    kept = F.aggregate(
-        F.reverse(present),
-        F.array().cast(f"array<{ENTRY}>"),
-        lambda met, e: F.when(F.exists(met, lambda m: m["key"] == e["key"]), met).otherwise(
-            F.concat(F.array(e), met)
-        ),
-    )
+    # Sorted by (key, place), an entry stays where the next one has another key; then back into the order of places.
+    placed = F.array_sort(F.transform(present, lambda e, i: F.struct(e["key"].alias("key"), i.alias("place"), e.alias("entry"))))
+    df = df.select(*keep, placed.alias("__placed"))
+    following = F.concat(F.transform(F.slice("__placed", 2, F.size("__placed")), lambda z: z["key"]), F.array(F.lit(None).cast("string")))
+    last = F.zip_with("__placed", following, lambda z, after: F.struct(z["place"].alias("place"), z["entry"].alias("entry"), (~z["key"].eqNullSafe(after)).alias("last")))
+    kept = F.transform(F.array_sort(F.filter(last, lambda z: z["last"])), lambda z: z["entry"])
     return df.select(*keep, kept.alias(out))
 
 

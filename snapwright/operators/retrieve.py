@@ -3,7 +3,8 @@
 A similarity is rounded to ``DIGITS`` before ranking and equal ones go by id, so the order does not
 depend on how the arithmetic was batched. Zero vectors have no direction and are never returned.
 
-Every task keeps only its own best k per query; what is shuffled is k rows per query and task.
+Every task keeps only its own best k per query; what is shuffled is k rows per query and task. Vectors are never moved:
+small query sets are sent to the tasks, large ones are stored once in the shared folder and read there chunk by chunk.
 """
 
 from __future__ import annotations
@@ -13,21 +14,26 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow.fs import FileSelector
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from snapwright.functions.vectors import cosine, norm
+from snapwright.functions.vectors import dot, norm
+from snapwright.sources.storage import open_folder, scratch_root, stored
 
 DIGITS = 9
-# Most query vectors held by every task at once.
+# Most query vectors sent to every task, and most components of them.
 BROADCAST_QUERIES = 4_096
-# Vector components per block in the blocked form.
-BLOCK_CELLS = 1_000_000
+BROADCAST_CELLS = 8_000_000
+# Vector components that a task holds at once, and those of one chunk of stored queries.
+BLOCK_CELLS = 4_000_000
+CHUNK_CELLS = 250_000
 # Similarities computed at once, and candidate rows kept before the best are sorted out.
 MATRIX_CELLS = 4_000_000
 SETTLE_ROWS = 200_000
@@ -77,18 +83,13 @@ class _Best:
         return ranked.groupby("query_id", sort=False).head(self.k)
 
 
-def _score_into(best: _Best, query_ids, queries, ids, vectors, mask=None) -> None:
-    """Offer a block of vectors to every query, a bounded similarity matrix at a time.
-
-    ``mask`` (vectors x queries) leaves out pairs.
-    """
+def _score_into(best: _Best, query_ids, queries, ids, vectors) -> None:
+    """Offer a block of vectors to every query, a bounded similarity matrix at a time."""
     step = max(1, MATRIX_CELLS // max(1, len(query_ids)))
     asked = queries.any(axis=1)[None, :]
     for start in range(0, len(ids), step):
         part = vectors[start : start + step]
         alive = part.any(axis=1)[:, None] & asked
-        if mask is not None:
-            alive &= mask[start : start + step]
         similarity = np.where(alive, np.round(part @ queries.T, DIGITS), -np.inf)
         if len(part) > best.k:
             # Everything tied with the k-th best stays in, so that ties are settled by id, not by chance.
@@ -108,8 +109,12 @@ def _result_schema(queries: DataFrame, query_id: str, vectors: DataFrame, vec_id
 
 
 def _final_top(partial: DataFrame, k: int) -> DataFrame:
-    order = W.partitionBy("query_id").orderBy(F.desc("similarity"), F.asc("vec_id"))
-    return partial.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    """Best k per query from the tasks' best, in two steps: first within groups of tasks, then over the groups."""
+    by = [F.desc("similarity"), F.asc("vec_id")]
+    grouped = partial.withColumn("__group", F.pmod(F.spark_partition_id(), F.lit(64)))
+    first = W.partitionBy("query_id", "__group").orderBy(*by)
+    partial = grouped.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= k).drop("__group")
+    return partial.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(*by))).filter(F.col("rank") <= k)
 
 
 def nearest(
@@ -123,94 +128,139 @@ def nearest(
     query_vector: str = "query_vector",
     broadcast_queries: int = BROADCAST_QUERIES,
     block_cells: int = BLOCK_CELLS,
+    chunk_cells: int = CHUNK_CELLS,
 ) -> DataFrame:
     """Exact k nearest vectors of every query: (query_id, vec_id, similarity, rank).
 
-    Up to ``broadcast_queries`` queries go to every task and the vectors are read in place. Larger query
-    sets are cut, like the vectors, into blocks of bounded size that meet pairwise; both frames are then
-    read more than once, so pass stored ones.
+    Up to ``broadcast_queries`` queries, and up to a bound on their components, go to every task. A larger query set
+    is stored in the shared folder; every task reads it once for each block of its vectors.
     """
+    asked, stored_vectors, schema = _columns(vectors, queries, vec_id, vector, query_id, query_vector)
+    held = _few(asked, broadcast_queries)
+    if held is None:
+        folder = _store_queries(asked)
+        score = _chunk_scorer(folder, k, schema, block_cells, chunk_cells)
+    else:
+        score = _scorer(*held, k, schema)
+    return _final_top(stored_vectors.mapInArrow(score, schema), k)
+
+
+def _columns(vectors, queries, vec_id, vector, query_id, query_vector, *more):
     asked = queries.select(F.col(query_id).alias("query_id"), F.col(query_vector).alias("query_vector"))
-    stored = vectors.select(F.col(vec_id).alias("vec_id"), F.col(vector).alias("vector")).filter(
-        F.col("vector").isNotNull()
-    )
-    schema = _result_schema(asked, "query_id", stored, "vec_id")
-    held = asked.limit(broadcast_queries + 1).collect()
-    if not held:
-        return _final_top(asked.sparkSession.createDataFrame([], schema), k)
-    if len(held) <= broadcast_queries:
-        return _final_top(_nearest_broadcast(stored, held, k, schema), k)
-    block_rows = max(1, block_cells // len(held[0]["query_vector"]))
-    return _final_top(_nearest_blocked(stored, asked, k, schema, block_rows), k)
+    asked = asked.filter(F.col("query_vector").isNotNull())
+    kept = vectors.select(F.col(vec_id).alias("vec_id"), F.col(vector).alias("vector"), *more).filter(F.col("vector").isNotNull())
+    return asked, kept, _result_schema(asked, "query_id", kept, "vec_id")
+
 
+def _few(asked: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """Ids and unit vectors of a query set that is small enough to send to every task; None for a larger one."""
+    first = asked.first()
+    if first is None:
+        return np.zeros(0, np.int64), np.zeros((0, 1))
+    most = min(most, max(1, BROADCAST_CELLS // max(1, len(first["query_vector"]))))
+    held = asked.limit(most + 1).collect()
+    if len(held) > most:
+        return None
+    return np.array([row["query_id"] for row in held]), _unit([row["query_vector"] for row in held])
 
-def _nearest_broadcast(stored: DataFrame, held: list, k: int, schema: T.StructType) -> DataFrame:
-    query_ids = np.array([row["query_id"] for row in held])
-    matrix = _unit([row["query_vector"] for row in held])
 
-    return stored.mapInArrow(_scorer(query_ids, matrix, k, schema), schema)
+def _store_queries(asked: DataFrame) -> str:
+    folder = f"{scratch_root(asked.sparkSession)}/queries"
+    asked.select("query_id", F.col("query_vector").cast("array<double>").alias("query_vector")).write.parquet(folder)
+    return folder
 
 
-def _scorer(query_ids: np.ndarray, matrix: np.ndarray, k: int, schema: T.StructType, wanted: np.ndarray | None = None):
+def _scorer(query_ids: np.ndarray, matrix: np.ndarray, k: int, schema: T.StructType, by_cell: dict[int, np.ndarray] | None = None):
     """Arrow batches of (vec_id, vector) to the task's best k per query.
 
-    ``wanted`` (cells x queries) names the pairs to score, by the batches' third column.
+    ``by_cell`` names, for each cell (the batches' third column), the queries to score there.
     """
     arrow_schema = to_arrow_schema(schema)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = _Best(k)
         for batch in batches:
-            if batch.num_rows:
-                mask = None if wanted is None else wanted[batch.column(2).to_numpy(zero_copy_only=False)]
-                ids = batch.column(0).to_numpy(zero_copy_only=False)
-                _score_into(best, query_ids, matrix, ids, _unit(batch.column(1)), mask)
-        found = pa.Table.from_pandas(best.frame(), schema=arrow_schema, preserve_index=False)
-        yield from found.combine_chunks().to_batches()
+            if batch.num_rows and len(query_ids):
+                _score_batch(best, query_ids, matrix, batch, by_cell)
+        yield from _found(best, arrow_schema)
 
     return score
 
 
-def _nearest_blocked(stored: DataFrame, asked: DataFrame, k: int, schema: T.StructType, block_rows: int) -> DataFrame:
-    """Blocks by id hash, so their sizes are even whatever the data; every pair of blocks is one group."""
-    query_blocks = -(-asked.count() // block_rows)
-    vector_blocks = max(1, -(-stored.count() // block_rows))
+def _score_batch(best: _Best, query_ids, matrix, batch, by_cell) -> None:
+    ids, vectors = batch.column(0).to_numpy(zero_copy_only=False), _unit(batch.column(1))
+    if by_cell is None:
+        _score_into(best, query_ids, matrix, ids, vectors)
+        return
+    cells = batch.column(2).to_numpy(zero_copy_only=False)
+    order = np.argsort(cells, kind="stable")
+    starts = np.flatnonzero(np.diff(cells[order], prepend=-1))
+    for start, end in zip(starts, [*starts[1:], len(order)], strict=True):
+        own, asking = order[start:end], by_cell.get(int(cells[order[start]]))
+        if asking is not None and len(asking):
+            _score_into(best, query_ids[asking], matrix[asking], ids[own], vectors[own])
 
-    def every(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    left = stored.withColumn("vb", F.pmod(F.xxhash64("vec_id"), F.lit(vector_blocks)).cast("int")).withColumn(
-        "qb", every(query_blocks)
-    )
-    right = asked.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int")).withColumn(
-        "vb", every(vector_blocks)
-    )
+def _found(best: _Best, arrow_schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    found = pa.Table.from_pandas(best.frame(), schema=arrow_schema, preserve_index=False)
+    yield from found.combine_chunks().to_batches()
+
 
-    return _score_pairs(left, right, ["qb", "vb"], k, schema)
+def _chunk_scorer(folder: str, k: int, schema: T.StructType, block_cells: int, chunk_cells: int, cells_of=None):
+    """Arrow batches of (vec_id, vector) to the best k per query and block, over all queries stored in ``folder``.
 
+    ``cells_of`` gives, for unit query vectors, the queries to score in each cell.
+    """
+    arrow_schema = to_arrow_schema(schema)
 
-def _score_pairs(left: DataFrame, right: DataFrame, keys: list[str], k: int, schema: T.StructType) -> DataFrame:
-    """Best k of each (vector block, query block) pair."""
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _gathered(batches, block_cells):
+            for asked in _stored_chunks(folder, chunk_cells):
+                best, matrix = _Best(k), _unit(asked.column(1))
+                query_ids = asked.column(0).to_numpy(zero_copy_only=False)
+                _score_batch(best, query_ids, matrix, block, None if cells_of is None else cells_of(matrix))
+                yield from _found(best, arrow_schema)
+
+    return score
 
-    def score(block: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
-        best = _Best(k)
-        if len(block) and len(wanted):
-            _score_into(
-                best, wanted["query_id"].to_numpy(), _unit(wanted["query_vector"]),
-                block["vec_id"].to_numpy(), _unit(block["vector"]),
-            )
-        return best.frame()
 
-    # Fresh column identities, as both sides may come from the same frame.
-    left, right = (df.select(*[F.col(c).alias(c) for c in df.columns]) for df in (left, right))
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(score, schema)
+def _gathered(batches: Iterator[pa.RecordBatch], cells: int) -> Iterator[pa.RecordBatch]:
+    """Batches joined up to ``cells`` vector components."""
+    held, size = [], 0
+    for batch in batches:
+        for at in range(0, batch.num_rows, 65_536):
+            part = batch.slice(at, 65_536)
+            held.append(part)
+            size += len(part.column(1).flatten())
+            if size >= cells:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def _stored_chunks(folder: str, cells: int) -> Iterator[pa.RecordBatch]:
+    """Stored queries, chunk by chunk, straight from the shared folder."""
+    files, root = open_folder(folder)
+    names = sorted(f.path for f in files.get_file_info(FileSelector(root)) if f.path.endswith(".parquet"))
+    for name in names:
+        with files.open_input_file(name) as opened:
+            stored = pq.ParquetFile(opened)
+            if not stored.metadata.num_rows:
+                continue
+            dimension = max(1, stored.metadata.row_group(0).column(1).num_values // stored.metadata.row_group(0).num_rows)
+            yield from stored.iter_batches(batch_size=max(1, cells // dimension), columns=["query_id", "query_vector"])
 
 
 def nearest_one(vectors: DataFrame, query: list[float], k: int = 5, *, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """Exact k nearest of one query vector, entirely in the JVM: every task keeps its own k."""
-    asked = F.array(*[F.lit(float(x)) for x in query])
+    length = float(np.sqrt(np.dot(query, query)))
+    # The query is scaled here, once, so that a row costs one product and its own length.
+    asked = F.array(*[F.lit(float(x) / length if length else 0.0) for x in query])
+    own = F.nullif(norm(F.col(vector)), F.lit(0.0))
+    similarity = dot(F.col(vector), asked) / own if length else F.lit(None).cast("double")
     return (
-        vectors.withColumn("similarity", F.round(cosine(F.col(vector), asked), DIGITS))
+        vectors.withColumn("similarity", F.round(similarity, DIGITS))
         .filter(F.col("similarity").isNotNull())
         .orderBy(F.desc("similarity"), F.asc(vec_id))
         .limit(k)
@@ -221,7 +271,7 @@ class CellIndex:
     """Vectors grouped into cells around trained centres; a search looks into a query's nearest cells only.
 
     Store the assigned frame partitioned by ``cell`` and a search reads just the probed folders. A cell may
-    hold any share of the vectors: its rows are scored where they lie and never gathered.
+    hold any share of the vectors: its rows are scored where they lie, by the queries that look into it alone.
     """
 
     def __init__(self, centres: np.ndarray):
@@ -233,6 +283,8 @@ class CellIndex:
         scaled = vectors.select(F.col(vector), length.alias("__norm")).filter(F.col("__norm") > 0).select(
             array_to_vector(F.transform(F.col(vector).cast("array<double>"), lambda x: x / F.col("__norm"))).alias("features")
         )
+        # Every round of the training reads the unit vectors; they are computed and stored once.
+        scaled = stored(scaled, "unit-vectors")
         model = KMeans(k=cells, seed=seed, maxIter=rounds, initSteps=2).fit(scaled)
         return cls(np.array(model.clusterCenters()))
 
@@ -259,52 +311,31 @@ class CellIndex:
         query_vector: str = "query_vector",
         broadcast_queries: int = BROADCAST_QUERIES,
     ) -> DataFrame:
-        """k nearest among the ``probes`` nearest cells of each query."""
-        asked = queries.select(F.col(query_id).alias("query_id"), F.col(query_vector).alias("query_vector"))
-        stored = assigned.select(F.col(vec_id).alias("vec_id"), F.col(vector).alias("vector"), F.col(cell).alias("cell"))
-        schema = _result_schema(asked, "query_id", stored, "vec_id")
-        held = asked.limit(broadcast_queries + 1).collect()
-        if not held:
-            return _final_top(asked.sparkSession.createDataFrame([], schema), k)
-        if len(held) > broadcast_queries:
-            return _final_top(self._nearest_joined(stored, asked, k, probes, schema), k)
-        query_ids = np.array([row["query_id"] for row in held])
-        matrix = _unit([row["query_vector"] for row in held])
-        probed = np.argsort(-(matrix @ self.centres.T), axis=1, kind="stable")[:, :probes]
-        wanted = np.zeros((len(self.centres), len(held)), dtype=bool)
-        wanted[probed.T.ravel(), np.tile(np.arange(len(held)), probed.shape[1])] = True
-
-        read = [int(c) for c in np.unique(probed)]
-        return _final_top(stored.filter(F.col("cell").isin(read)).mapInArrow(_scorer(query_ids, matrix, k, schema, wanted), schema), k)
-
-    def _nearest_joined(self, stored: DataFrame, asked: DataFrame, k: int, probes: int, schema: T.StructType) -> DataFrame:
-        """Query sets past the broadcast bound: (cell, slice) groups of bounded size on both sides."""
+        """k nearest among the ``probes`` nearest cells of each query.
+
+        Where those hold fewer than k vectors, the next cells are probed as well, until k are there or no cell is left.
+        """
+        asked, kept, schema = _columns(assigned, queries, vec_id, vector, query_id, query_vector, F.col(cell).alias("cell"))
+        counted = kept.filter(norm(F.col("vector")) > 0).groupBy("cell").count().collect()  # one row per centre
+        counts = np.zeros(len(self.centres), np.int64)
+        for row in counted:
+            counts[row["cell"]] = row["count"]
         centres = self.centres
-        block_rows = max(1, BLOCK_CELLS // centres.shape[1])
-
-        @F.pandas_udf("array<int>")
-        def nearest_centres(batch: pd.Series) -> pd.Series:
-            order = np.argsort(-(_unit(batch) @ centres.T), axis=1, kind="stable")[:, :probes]
-            return pd.Series(list(order.astype(np.int32)), index=batch.index)
-
-        probing = asked.withColumn("cell", F.explode(nearest_centres("query_vector")))
-        sizes = (
-            stored.groupBy("cell").agg(F.count("*").alias("nv"))
-            .join(probing.groupBy("cell").agg(F.count("*").alias("nq")), "cell")
-            .select("cell", F.ceil(F.col("nv") / block_rows).alias("vs"), F.ceil(F.col("nq") / block_rows).alias("qs"))
-        )
-        sizes = F.broadcast(sizes)  # at most one row per centre
-        zero = F.lit(0).cast("bigint")
-        left = (
-            stored.join(sizes, "cell").withColumn("vb", F.pmod(F.xxhash64("vec_id"), F.col("vs")))
-            .withColumn("qb", F.explode(F.sequence(zero, F.col("qs") - 1))).drop("vs", "qs")
-        )
-        right = (
-            probing.join(sizes, "cell").withColumn("qb", F.pmod(F.xxhash64("query_id"), F.col("qs")))
-            .withColumn("vb", F.explode(F.sequence(zero, F.col("vs") - 1))).drop("vs", "qs")
-        )
 
-        return _score_pairs(left, right, ["cell", "qb", "vb"], k, schema)
+        def cells_of(matrix: np.ndarray) -> dict[int, np.ndarray]:
+            order = np.argsort(-(matrix @ centres.T), axis=1, kind="stable")
+            before = np.cumsum(counts[order], axis=1) - counts[order]
+            probed = (np.arange(order.shape[1]) < probes) | (before < k)
+            return {c: np.flatnonzero(((order == c) & probed).any(axis=1)) for c in range(len(centres))}
+
+        held = _few(asked, broadcast_queries)
+        if held is None:
+            score = _chunk_scorer(_store_queries(asked), k, schema, BLOCK_CELLS, CHUNK_CELLS, cells_of)
+            return _final_top(kept.mapInArrow(score, schema), k)
+        query_ids, matrix = held
+        by_cell = cells_of(matrix) if len(query_ids) else {}
+        read = [c for c, asking in by_cell.items() if len(asking)]
+        return _final_top(kept.filter(F.col("cell").isin(read)).mapInArrow(_scorer(query_ids, matrix, k, schema, by_cell), schema), k)
 
 
 def recall(found: DataFrame, exact: DataFrame) -> float:

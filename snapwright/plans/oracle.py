@@ -114,7 +114,9 @@ SCHEDULES = (
 select s.id as schedule_id, s.service_id, s.resource_id, s.hours_known,
  string_agg(d.day || ' ' || {clock('d.opens_at')} || ' - ' || {clock('d.closes_at')}, ', ' {DAY_ORDER}) as hours_text,
  list({{'day': d.day, 'open_mins': {minutes('d.opens_at')}, 'close_mins': {minutes('d.closes_at')}}} {DAY_ORDER})
-  as schedule
+  as schedule,
+ case when s.hours_known = false then 'Call to confirm hours.'
+  else string_agg(d.day || ' ' || {clock('d.opens_at')} || ' - ' || {clock('d.closes_at')}, ', ' {DAY_ORDER}) || '.' end as said
 from fx_schedules s join fx_schedule_days d on d.schedule_id = s.id
 group by s.id, s.service_id, s.resource_id, s.hours_known""",
 )
@@ -144,52 +146,59 @@ PIECES: dict[str, str] = {
     "service_long": "s.long_description",
     "program": "'Program: ' || p.name || coalesce(' (' || p.alternate_name || ')', '')"
     " || coalesce('. ' || p.description, '') || '.'",
-    "categories": "case when len(core.category_names) > 0"
-    " then 'Categories: ' || coalesce(array_to_string(core.category_names, ', '), '') || '.' end",
+    "categories": "case when len(f.category_names) > 0"
+    " then 'Categories: ' || coalesce(array_to_string(f.category_names, ', '), '') || '.' end",
     "eligibility": "'Eligibility: ' || s.eligibility || '.'",
-    "eligibility_tags": "case when len(el.eligibility_all) > 0 then"
-    " 'Who this service is for: ' || coalesce(array_to_string(el.eligibility_all, ', '), '') || '.' end",
+    "eligibility_tags": "case when len(f.eligibility_all) > 0 then"
+    " 'Who this service is for: ' || coalesce(array_to_string(f.eligibility_all, ', '), '') || '.' end",
     "how_to_apply": "'How to apply: ' || s.application_process",
     "required_documents": "'Required documents: ' || s.required_documents || '.'",
     "fee": "'Fee: ' || s.fee || '.'",
     "wait_time": "'Wait time: ' || s.wait_time || '.'",
     "interpretation": "'Interpretation services available: ' || s.interpretation_services || '.'",
-    "hours": "case when sh.hours_known = false then 'Hours: Call to confirm hours.'"
-    " when sh.hours_text is not null then 'Hours: ' || sh.hours_text || '.'"
-    " when rh.hours_known = false then 'Hours: Call to confirm hours.'"
-    " when rh.hours_text is not null then 'Hours: ' || rh.hours_text || '.' end",
+    "hours": "'Hours: ' || coalesce(own.said, shared.said)",
     "location": "'Location: ' || a.address_1 || coalesce(', ' || a.address_2, '') || ', ' || a.city"
     " || ', ' || a.state_province || ' ' || a.postal_code || '.'",
-    "phone": "'Phone: ' || ph.phone_text || '.'",
+    "phone": "'Phone: ' || r.phone_text || '.'",
     "email": "'Email: ' || coalesce(s.email, r.email) || '.'",
     "website": "coalesce('Service website: ' || s.url || '.', 'Website: ' || r.website || '.')",
-    "instructions": "'Instructions: ' || i.instructions_text || '.'",
-    "related_documents": "'Related documents: ' || d.documents_text || '.'",
+    "instructions": "'Instructions: ' || f.instructions_text || '.'",
+    "related_documents": "'Related documents: ' || f.documents_text || '.'",
 }
 
+# What is known of each organisation, of each service, and of the hours of either, one result per owner.
+ORGANISATIONS = (
+    "organisations",
+    "select o.*, phone_text from fx_resources o left join phone_rollup t on t.resource_id = o.id where o.status = 1",
+)
+FACTS = (
+    "facts",
+    """
+select * from core full join whitelabel using (service_id) full join eligibility_arrays using (service_id)
+ full join instruction_rollup using (service_id) full join document_rollup using (service_id)""",
+)
+OWN_HOURS = ("own_hours", "select service_id, schedule_id, schedule, said from schedule_rollup where service_id is not null")
+SHARED_HOURS = (
+    "shared_hours",
+    "select resource_id, schedule_id, schedule, said from schedule_rollup where service_id is null and resource_id is not null",
+)
+
 JOINED = """
-from fx_services s
-join fx_resources r on r.id = s.resource_id and r.status = 1
-left join fx_programs p on p.id = s.program_id
-left join address_rows a on a.service_id = s.id
-left join phone_rollup ph on ph.resource_id = r.id
-left join schedule_rollup sh on sh.service_id = s.id
-left join schedule_rollup rh on rh.resource_id = r.id and rh.service_id is null
-left join instruction_rollup i on i.service_id = s.id
-left join document_rollup d on d.service_id = s.id
-left join core on core.service_id = s.id
-left join whitelabel on whitelabel.service_id = s.id
-left join eligibility_arrays el on el.service_id = s.id
-where s.status = 1"""
+from organisations r, fx_services s
+ left join fx_programs p on p.id = s.program_id left join facts f on f.service_id = s.id
+ left join own_hours own on own.service_id = s.id left join shared_hours shared on shared.resource_id = s.resource_id
+ left join address_rows a on a.service_id = s.id
+where r.id = s.resource_id and s.status = 1"""
 
 SNAPSHOT_STEPS = [
     CLASSIFIED, ELIGIBILITY_ARRAYS, CORE, WHITELABEL, PHONES, INSTRUCTIONS, DOCUMENTS, SCHEDULES, ADDRESS_ROWS,
+    ORGANISATIONS, FACTS, OWN_HOURS, SHARED_HOURS,
     (
         "snapshot",
         "select s.id as service_id, r.id as resource_id, a.address_id, s.verified_at, s.updated_at, a.latitude,"
-        " a.longitude, coalesce(sh.schedule, rh.schedule) as schedule, core.category_ids, core.category_names,"
-        " whitelabel.whitelabel_category_ids, whitelabel.whitelabel_category_names, "
-        + ", ".join(f"el.eligibility_{d}" for d in [*ELIGIBILITY, "all"])
+        " a.longitude, coalesce(own.schedule, shared.schedule) as schedule, f.category_ids, f.category_names,"
+        " f.whitelabel_category_ids, f.whitelabel_category_names, "
+        + ", ".join(f"f.eligibility_{d}" for d in [*ELIGIBILITY, "all"])
         + ", trim(concat_ws(' ', "
         + ", ".join(PIECES.values())
         + ")) as embedding_text"
@@ -285,12 +294,12 @@ SNAPSHOT_MIN = with_ctes(
     ["resources", "services", "categories", "categories_services"],
     [CORE],
     f"""
-select s.id as service_id, r.id as resource_id, {joined('core.category_ids')} as category_ids,
- {joined('core.category_names')} as category_names,
+select s.id as service_id, r.id as resource_id, {joined('f.category_ids')} as category_ids,
+ {joined('f.category_names')} as category_names,
  trim(concat_ws(' ', r.name || '.', 'Service: ' || coalesce(s.name, 'Unnamed Service') || '.',
   {PIECES['categories']})) as prose
 from fx_services s join fx_resources r on r.id = s.resource_id and r.status = 1
-left join core on core.service_id = s.id where s.status = 1""",
+left join core f on f.service_id = s.id where s.status = 1""",
 )
 
 PROSE_PIECES = with_ctes(
@@ -360,8 +369,19 @@ from snapshot group by service_id, address_id"""
 SCHEDULE_FALLBACK = with_ctes(
     SNAPSHOT_TABLES,
     SNAPSHOT_STEPS[:-1],
-    "select s.id as service_id, sh.schedule_id as service_schedule_id, rh.schedule_id as resource_schedule_id,"
-    f" count(*) as n_rows {JOINED} group by s.id, sh.schedule_id, rh.schedule_id",
+    "select s.id as service_id, own.schedule_id as service_schedule_id, shared.schedule_id as resource_schedule_id,"
+    f" count(*) as n_rows {JOINED} group by s.id, own.schedule_id, shared.schedule_id",
+)
+READING_ORDER = with_ctes(
+    SNAPSHOT_TABLES,
+    SNAPSHOT_STEPS[:-1],
+    f"""
+select resource_id, service_id, address_id, service_schedule_id, resource_schedule_id,
+ cast(row_number() over (partition by resource_id order by service_id, own_address nulls last, service_schedule_id nulls last,
+  resource_schedule_id nulls last, address_id nulls last) as integer) as row_number
+from (select r.id as resource_id, s.id as service_id, a.address_id, own.schedule_id as service_schedule_id,
+ shared.schedule_id as resource_schedule_id,
+ case when s.id in (select service_id from fx_addresses_services) then a.address_id end as own_address {JOINED})""",
 )
 HOURS_CHOICE = with_ctes(
     SNAPSHOT_TABLES,
@@ -402,7 +422,7 @@ MERGE_STEPS = [
     (
         "old_snapshot",
         SNAPSHOT_STEPS[-1][1]
-        .replace("fx_services s", "earlier_services s")
+        .replace("fx_services s\n", "earlier_services s\n")
         .replace("address_rows a", "old_addresses a"),
     ),
     ("fresh", f"select * from snapshot where {LATER}"),
@@ -440,6 +460,98 @@ EMBED_DISTINCT = with_ctes(
 )
 EMBED_DIM_CHECK = f"select cast({DIMENSION} as integer) as dimension, count(*) as n_rows from pages"
 
+# Vectors by text: "slot:weight" of every slot in use, weights in ten-thousandths.
+TEXT_VECTORS = [
+    ("texts", "select distinct embedding_text from snapshot"),
+    *hashed_slots("texts", ["embedding_text"], "embedding_text", "text_slots"),
+    (
+        "vectors",
+        "select embedding_text, string_agg(slot || ':' || cast(round(cast(weight as double) * 10000) as bigint), ',' order by slot) as vector"
+        " from text_slots group by embedding_text",
+    ),
+]
+PUBLISH_COMPACTED = over_snapshot(
+    "select z.*, coalesce(vector, '') as vector from (" + snapshot_text_select("snapshot") + ") z left join vectors using (embedding_text)", TEXT_VECTORS
+)
+EMBED_SNAPSHOT_DISTINCT = over_snapshot(
+    "select embedding_text, count(*) as n_rows, coalesce(max(vector), '') as vector from snapshot left join vectors using (embedding_text)"
+    " group by embedding_text",
+    TEXT_VECTORS,
+)
+RUN_LOG = over_snapshot(
+    """
+select cast(0 as bigint) as commit, count(*) as total_rows, cast(ceil(count(*) / 25.0) as bigint) as total_batches,
+ cast(null as bigint) as removed_ids, 'full' as mode, 'success' as status from snapshot
+union all select 1, 0, 0, null, 'incremental', 'skipped'"""
+)
+SEARCHED = [
+    (
+        "inside",
+        """
+select row_number() over () as row_id, embedding_text from snapshot
+where latitude between 37.1 and 37.8 and longitude between -122.6 and -122.1
+ and len([z for z in schedule if z.day = 'Thursday' and z.open_mins <= 945 and z.close_mins >= 945]) > 0""",
+    ),
+    *hashed_slots("inside", ["row_id"], "embedding_text", "row_slots"),
+    *hashed_slots("benchmark", ["item_id"], "text", "query_slots"),
+    (
+        "products",
+        """
+select item_id, row_id, sum(cast(q.weight as double) * cast(r.weight as double)) as product
+from query_slots q join row_slots r on r.slot = q.slot group by item_id, row_id""",
+    ),
+    ("row_norms", "select row_id, sqrt(sum(cast(weight as double) ** 2)) as length from row_slots group by row_id"),
+    ("query_norms", "select item_id, sqrt(sum(cast(weight as double) ** 2)) as length from query_slots group by item_id"),
+    (
+        "found",
+        """
+select q.item_id as query_id, round(coalesce(product, 0) / (q.length * r.length), 9) as similarity,
+ row_number() over (partition by q.item_id order by round(coalesce(product, 0) / (q.length * r.length), 9) desc) as rank
+from query_norms q cross join row_norms r left join products p on p.item_id = q.item_id and p.row_id = r.row_id""",
+    ),
+]
+SNAPSHOT_SEARCH = over_snapshot("select query_id, round(similarity, 4) as similarity, cast(rank as integer) as rank from found where rank <= 5", SEARCHED)
+
+UNIT = (
+    "unit",
+    """
+select vec_id, label, list_transform(embedding, lambda x: cast(x as double)
+ / sqrt(list_dot_product(cast(embedding as double[]), cast(embedding as double[])))) as e from embeddings""",
+)
+KNN_ALL_PAIRS = with_ctes(
+    [],
+    [
+        UNIT,
+        ("scored", "select q.vec_id as query_id, v.vec_id, round(list_dot_product(q.e, v.e), 9) as similarity from unit q, unit v"),
+        ("ranked", "select *, row_number() over (partition by query_id order by similarity desc, vec_id) as rank from scored"),
+    ],
+    RANKED_FINAL.format(k=10),
+)
+# Cells around the labels' mean vectors; a query looks into its four nearest cells, and into more until ten vectors are there.
+KNN_APPROX = with_ctes(
+    [],
+    [
+        UNIT, CENTROIDS,
+        ("centres", "select query_id as cell, list_transform(query_vector, lambda x: x / sqrt(list_dot_product(query_vector, query_vector))) as c from centroids"),
+        ("near", "select vec_id, e, cell, list_dot_product(e, c) as s from unit, centres"),
+        ("nearness", "select *, row_number() over (partition by vec_id order by s desc, cell) as place from near"),
+        ("placed", "select vec_id, e, cell from nearness where place = 1"),
+        ("sizes", "select cell, count(p.vec_id) as n from centres left join placed p using (cell) group by cell"),
+        (
+            "looked",
+            "select vec_id, e, cell, place, sum(n) over (partition by vec_id order by place rows between unbounded preceding and current row) - n as before"
+            " from nearness join sizes using (cell)",
+        ),
+        (
+            "scored",
+            "select q.vec_id as query_id, v.vec_id, round(list_dot_product(q.e, v.e), 9) as similarity"
+            " from looked q join placed v using (cell) where q.place <= 4 or q.before < 10",
+        ),
+        ("ranked", "select *, row_number() over (partition by query_id order by similarity desc, vec_id) as rank from scored"),
+    ],
+    RANKED_FINAL.format(k=10),
+)
+
 KNN_EXACT = with_ctes([], ranked("embeddings", 10), RANKED_FINAL.format(k=10))
 KNN_FILTERED = with_ctes(
     [], ranked("(select * from embeddings where label = 3)", 5), RANKED_FINAL.format(k=5)
@@ -468,43 +580,50 @@ from snapshot where latitude between 37.2 and 37.6 and longitude between -122.5
 OPEN_AT = over_snapshot(
     """
 select service_id, address_id, cast(to_json(schedule) as varchar) as schedule from snapshot
-where len([z for z in schedule if z.day = 'Monday' and z.open_mins <= 870 and z.close_mins >= 870]) > 0"""
+where len([z for z in schedule if z.day = 'Thursday' and z.open_mins <= 945 and z.close_mins >= 945]) > 0"""
 )
 SERVICE_LOOKUP = over_snapshot(
     "select service_id, resource_id, address_id, embedding_text from snapshot where resource_id = 5 or service_id = 42"
 )
 
-COLLECTION_ROUNDTRIP = with_ctes(
-    [],
-    hashed_slots("(select doc_id, text from documents where lang = 'en')", ["doc_id"], "text", "doc_slots")
-    + hashed_slots("benchmark", ["item_id"], "text", "query_slots")
-    + [
-        ("doc_norms", "select doc_id, sqrt(sum(cast(weight as double) ** 2)) as length from doc_slots group by doc_id"),
-        ("query_norms", "select item_id, sqrt(sum(cast(weight as double) ** 2)) as length from query_slots group by item_id"),
-        (
-            "products",
-            """
-select item_id, doc_id, sum(cast(q.weight as double) * cast(d.weight as double)) as product
-from query_slots q join doc_slots d on d.slot = q.slot group by item_id, doc_id""",
-        ),
-        (
-            "scored",
-            """
-select qn.item_id as query_id, cast(dn.doc_id as varchar) as doc_id,
- round(coalesce(p.product, 0) / (qn.length * dn.length), 9) as similarity
-from query_norms qn cross join doc_norms dn
-left join products p on p.item_id = qn.item_id and p.doc_id = dn.doc_id""",
-        ),
-        (
-            "ranked",
-            "select *, row_number() over (partition by query_id order by similarity desc, doc_id) as rank from scored",
-        ),
-    ],
-    """
-select query_id, r.doc_id, cast(rank as integer) as rank, round(similarity, 4) as similarity,
- cast(length(d.text) as integer) as length, d.source
-from ranked r join documents d on cast(d.doc_id as varchar) = r.doc_id where rank <= 5""",
-)
+def collection_search(source: str) -> str:
+    """Five nearest documents of ``source`` (doc_id, text) for every benchmark text."""
+    return with_ctes(
+        [],
+        hashed_slots(source, ["doc_id"], "text", "doc_slots")
+        + hashed_slots("benchmark", ["item_id"], "text", "query_slots")
+        + [
+            ("doc_norms", "select doc_id, sqrt(sum(cast(weight as double) ** 2)) as length from doc_slots group by doc_id"),
+            ("query_norms", "select item_id, sqrt(sum(cast(weight as double) ** 2)) as length from query_slots group by item_id"),
+            (
+                "products",
+                """
+    select item_id, doc_id, sum(cast(q.weight as double) * cast(d.weight as double)) as product
+    from query_slots q join doc_slots d on d.slot = q.slot group by item_id, doc_id""",
+            ),
+            (
+                "scored",
+                """
+    select qn.item_id as query_id, cast(dn.doc_id as varchar) as doc_id,
+     round(coalesce(p.product, 0) / (qn.length * dn.length), 9) as similarity
+    from query_norms qn cross join doc_norms dn
+    left join products p on p.item_id = qn.item_id and p.doc_id = dn.doc_id""",
+            ),
+            (
+                "ranked",
+                "select *, row_number() over (partition by query_id order by similarity desc, doc_id) as rank from scored",
+            ),
+        ],
+        """
+    select query_id, r.doc_id, cast(rank as integer) as rank, round(similarity, 4) as similarity,
+     cast(length(d.text) as integer) as length, d.source
+    from ranked r join documents d on cast(d.doc_id as varchar) = r.doc_id where rank <= 5""",
+    )
+
+
+COLLECTION_ROUNDTRIP = collection_search("(select doc_id, text from documents where lang = 'en')")
+KNN_FILTER_TYPED = collection_search("(select doc_id, text from documents join labels using (doc_id) where toxic = 1)")
+COLLECTION_IDS = "select cast(doc_id % 10 as integer) as turn, cast(doc_id as varchar) as doc_id from documents"
 
 # -- metadata --------------------------------------------------------------------------------------
 
@@ -516,22 +635,28 @@ def iso(column: str) -> str:
     )
 
 
+METADATA_WIDE_MAPS = """
+select doc_id, case when doc_id % 3 = 0 then lang end as seen_place_0, case when doc_id % 3 = 1 then lang end as seen_place_1,
+ case when doc_id % 3 = 2 then lang end as seen_place_2, case when lang = 'de' then doc_id end as by_lang_de_id,
+ case when lang = 'en' then doc_id end as by_lang_en_id, case when lang = 'es' then doc_id end as by_lang_es_id,
+ case when lang = 'fr' then doc_id end as by_lang_fr_id from documents"""
+
 META = (
     "meta",
     f"""
 select d.doc_id, d.source as source_filename, p.url as source_url, l.quality as page_number,
  cast(d.doc_id % 5 as integer) as chunk_index, d.n_chars as token_count, l.toxic = 1 as is_toxic,
- case when d.doc_id % 7 <> 0 then 'brochure' end as document_type, {iso('e.ts')} as extracted_date,
+ case when d.doc_id % 7 <> 0 then 'leaflet' end as document_type, {iso('e.ts')} as extracted_date,
  case when d.doc_id % 2 = 0 then d.doc_id end as extracted_related_service_id,
  d.lang as extracted_service_type,
  case when d.doc_id % 4 <> 0 then '["' || d.source || '","' || d.lang || '"]' end as extracted_mentioned_services,
- case when d.doc_id % 3 <> 0 then '555-' || d.doc_id end as extracted_contact_phone,
- case when d.doc_id % 3 <> 0 and d.doc_id % 2 = 1 then d.lang || '@example.org' end as extracted_contact_email,
+ case when d.doc_id % 3 <> 0 then 'ext. ' || d.doc_id end as extracted_contact_phone,
+ case when d.doc_id % 3 <> 0 and d.doc_id % 2 = 1 then d.lang || '@example.net' end as extracted_contact_email,
  case when d.doc_id % 3 <> 0 then p.url end as extracted_contact_website,
- case when d.doc_id % 6 <> 0 then '9am-5pm' end as extracted_service_details_hours_monday,
- case when d.doc_id % 6 not in (0, 1) then 'until ' || (d.doc_id % 12) end as extracted_service_details_hours_tuesday,
- case when d.doc_id % 5 = 0 then 'Free' end as extracted_service_details_cost,
- '["' || d.lang || '","English"]' as extracted_service_details_languages
+ case when d.doc_id % 6 <> 0 then 'from 8 to 4' end as extracted_service_details_hours_weekdays,
+ case when d.doc_id % 6 not in (0, 1) then 'before ' || (d.doc_id % 12) end as extracted_service_details_hours_saturday,
+ case when d.doc_id % 5 = 0 then 'none' end as extracted_service_details_cost,
+ '["' || d.lang || '","Welsh"]' as extracted_service_details_languages
 from documents d left join labels l on l.doc_id = d.doc_id left join pages p on p.page_id = d.doc_id
 left join events e on e.event_id = d.doc_id""",
 )
@@ -541,7 +666,7 @@ META_KINDS = {
     "extracted_related_service_id": "int", "extracted_service_type": "string",
     "extracted_mentioned_services": "string", "extracted_contact_phone": "string",
     "extracted_contact_email": "string", "extracted_contact_website": "string",
-    "extracted_service_details_hours_monday": "string", "extracted_service_details_hours_tuesday": "string",
+    "extracted_service_details_hours_weekdays": "string", "extracted_service_details_hours_saturday": "string",
     "extracted_service_details_cost": "string", "extracted_service_details_languages": "string",
 }
 METADATA_FLAT = with_ctes([], [META], "select * from meta")
@@ -579,8 +704,8 @@ METADATA_SERIALISED = with_ctes(
             + " as contact, "
             + json_object(
                 {
-                    "monday": "extracted_service_details_hours_monday",
-                    "tuesday": "extracted_service_details_hours_tuesday",
+                    "weekdays": "extracted_service_details_hours_weekdays",
+                    "saturday": "extracted_service_details_hours_saturday",
                 }
             )
             + " as hours from meta",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,10 +24,12 @@ from snapwright.operators.rollups import (
     phone_text,
     schedule_rollup,
 )
+from snapwright.operators.search import Wanted, search
 from snapwright.operators.taxonomy import Taxonomy, bucket_by, classify, rename_by
 from snapwright.plans import oracle as O
 from snapwright.plans.prose import email_sentence, hours_sentence, prose_pieces, website_sentence
 from snapwright.plans.run import Settings, embedded_snapshot, snapshot_table
+from snapwright.plans.run import run as run_once
 from snapwright.plans.snapshot import (
     CORE_CATEGORIES,
     WHITE_LABELS,
@@ -34,13 +37,14 @@ from snapwright.plans.snapshot import (
     changed_services,
     deleted_ids,
     joined_rows,
+    numbered_in_order,
     resource_wide,
     service_wide,
 )
 from snapwright.session import ship_package
 from snapwright.sources.fixtures import base_table, fixture_catalog
 from snapwright.sources.published import stale_ids
-from snapwright.sources.storage import scratch_root
+from snapwright.sources.storage import scratch_root, stored
 from snapwright.streaming.refresh import refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -230,6 +234,13 @@ def schedule_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("service_id", "service_schedule_id", "resource_schedule_id").agg(F.count("*").alias("n_rows"))
 
 
+@register("reading_order", O.READING_ORDER)
+def reading_order_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every row within its resource, in reading order."""
+    rows = numbered_in_order(joined_rows(fixture_catalog(spark, sf_dir)))
+    return rows.select("resource_id", "service_id", "address_id", "service_schedule_id", "resource_schedule_id", "row_number")
+
+
 @register("hours_choice", O.HOURS_CHOICE)
 def hours_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = joined_rows(fixture_catalog(spark, sf_dir)).withColumn("hours", hours_sentence())
@@ -285,6 +296,55 @@ def incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot_as_text(without_keys(old, gone, "service_id").unionByName(fresh))
 
 
+@register("snapshot_skewed", O.over_snapshot(O.snapshot_text_select("snapshot")))
+def snapshot_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot with every key above fifty rows treated as hot: sliced joins, fan-out and runs."""
+    return snapshot_as_text(build_snapshot(fixture_catalog(spark, sf_dir), task_rows=50))
+
+
+@register("snapshot_many_hot", O.over_snapshot(O.snapshot_text_select("snapshot")))
+def snapshot_many_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with more hot keys than are fetched, so that they are joined by shuffle."""
+    return snapshot_as_text(build_snapshot(fixture_catalog(spark, sf_dir), task_rows=50, hot_limit=0))
+
+
+def vector_text() -> Column:
+    used = F.filter(F.transform("embedding", lambda x, i: F.struct(i.alias("i"), x.cast("double").alias("x"))), lambda z: z["x"] != 0)
+    return F.array_join(F.transform(used, lambda z: F.concat(z["i"].cast("string"), F.lit(":"), F.round(z["x"] * 10000).cast("bigint").cast("string"))), ",")
+
+
+@register("publish_compacted", O.PUBLISH_COMPACTED)
+def publish_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eleven increments over an outdated table, past the number that starts merging; all columns and vectors."""
+    rows = stored(embedded_snapshot(build_snapshot(fixture_catalog(spark, sf_dir)), CHECK_SETTINGS), "rows")
+    table = snapshot_table(spark, scratch_root(spark), CHECK_SETTINGS)
+    table.publish_all(rows.withColumn("embedding_text", F.lit("outdated")))
+    for turn in range(11):
+        table.publish_changes(rows.filter(F.col("service_id") % 11 == turn), rows.select("service_id").limit(0))
+    kept = table.read()
+    return snapshot_as_text(kept.withColumn("embedding_text", F.col("embedding_text"))).join(
+        kept.select("embedding_text", vector_text().alias("vector")).distinct(), "embedding_text"
+    )
+
+
+@register("embed_snapshot_distinct", O.EMBED_SNAPSHOT_DISTINCT)
+def embed_snapshot_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot embedded with one call per distinct text."""
+    settings = Settings(dimension=O.DIMENSION, distinct_texts=True)
+    rows = embedded_snapshot(build_snapshot(fixture_catalog(spark, sf_dir)), settings)
+    return rows.groupBy("embedding_text").agg(F.count("*").alias("n_rows"), F.max(vector_text()).alias("vector"))
+
+
+@register("run_log", O.RUN_LOG)
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of a full run and of one that found nothing new."""
+    cat = fixture_catalog(spark, sf_dir)
+    table = snapshot_table(spark, scratch_root(spark), CHECK_SETTINGS)
+    for _ in range(2):
+        run_once(cat, table, CHECK_SETTINGS, now="2100-01-01 00:00:00")
+    return table.run_log()
+
+
 @register("publish_roundtrip", O.PUBLISH_ROUNDTRIP)
 def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full publish, incremental publish, then what a reader sees."""
@@ -317,6 +377,21 @@ def stream_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("stream_two_feeds", O.STREAM_REFRESH)
+def stream_two_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same changes by two streams into one table, each starting at its own batch 0."""
+    cat = fixture_catalog(spark, sf_dir)
+    root = scratch_root(spark)
+    table = snapshot_table(spark, f"{root}/table", CHECK_SETTINGS)
+    table.publish_all(embedded_snapshot(build_snapshot(cat.replacing(services=earlier_services(spark, sf_dir))), CHECK_SETTINGS))
+    changes = cat["services"].filter(F.col("updated_at") > F.lit(O.WATERMARK).cast("timestamp_ntz"))
+    for name, part in (("even", changes.filter("id % 2 = 0")), ("odd", changes.filter("id % 2 = 1"))):
+        part.write.parquet(f"{root}/{name}")
+        feed = spark.readStream.schema(changes.schema).parquet(f"{root}/{name}")
+        refresh(feed, cat, table, CHECK_SETTINGS, f"{root}/checkpoint-{name}").awaitTermination()
+    return table.read().groupBy("service_id").agg(F.count("*").alias("n_rows"), F.max("embedding_text").alias("last_text"))
+
+
 # -- embedding -------------------------------------------------------------------------------------
 
 HASHED = {"dimension": O.DIMENSION}
@@ -393,16 +468,58 @@ def knn_single(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_one(vectors, query, 10).select("vec_id", "label", F.round("similarity", 4).alias("similarity"))
 
 
-@register("knn_approx")
+def every_vector(vectors: DataFrame) -> DataFrame:
+    return vectors.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"))
+
+
+@register("knn_all_pairs", O.KNN_ALL_PAIRS)
+def knn_all_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = base_table(spark, sf_dir, "embeddings")
+    return hits(nearest(vectors, every_vector(vectors), 10))
+
+
+@register("knn_chunked", O.KNN_ALL_PAIRS)
+def knn_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with more queries than are sent to every task."""
+    vectors = base_table(spark, sf_dir, "embeddings")
+    return hits(nearest(vectors, every_vector(vectors), 10, broadcast_queries=10, block_cells=20_000, chunk_cells=5_000))
+
+
+@register("knn_approx", O.KNN_APPROX)
 def knn_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector as a query, in its four nearest of the cells around the labels' means."""
     vectors = base_table(spark, sf_dir, "embeddings")
-    index = CellIndex.train(vectors, 16)
-    return hits(index.nearest(index.assign(vectors), label_queries(vectors), 10, probes=8))
+    centres = label_queries(vectors).orderBy("query_id").collect()  # one row per label
+    index = CellIndex([row["query_vector"] for row in centres])
+    return hits(index.nearest(index.assign(vectors), every_vector(vectors), 10, probes=4))
+
+
+_PUBLISHED: dict[tuple[str, str], str] = {}
+
+
+def published(spark: SparkSession, sf_dir: str):
+    """The whole snapshot as a published table, made once per application and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PUBLISHED:
+        root = scratch_root(spark)
+        table = snapshot_table(spark, root, CHECK_SETTINGS)
+        table.publish_all(embedded_snapshot(build_snapshot(fixture_catalog(spark, sf_dir)), CHECK_SETTINGS))
+        _PUBLISHED[key] = root
+    return snapshot_table(spark, _PUBLISHED[key], CHECK_SETTINGS).read()
+
+
+@register("snapshot_search", O.SNAPSHOT_SEARCH)
+def snapshot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest to each benchmark text among the published rows inside a box and open on a Thursday afternoon."""
+    queries = base_table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    wanted = Wanted(box=(37.1, 37.8, -122.6, -122.1), open_on=("Thursday", 945))
+    found = search(published(spark, sf_dir), queries, 5, wanted, factory=encoder("hashed", **HASHED), dimension=O.DIMENSION)
+    return found.select("query_id", F.round("similarity", 4).alias("similarity"), "rank")
 
 
 @register("array_filter", O.ARRAY_FILTER)
 def array_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = build_snapshot(fixture_catalog(spark, sf_dir))
+    rows = published(spark, sf_dir)
     flag = lambda test: F.coalesce(test, F.lit(False))
     flagged = rows.select(
         "service_id", "address_id",
@@ -415,7 +532,7 @@ def array_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("geo_box", O.GEO_BOX)
 def geo_box(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = build_snapshot(fixture_catalog(spark, sf_dir))
+    rows = published(spark, sf_dir)
     inside = rows.filter(in_box(F.col("latitude"), F.col("longitude"), 37.2, 37.6, -122.5, -122.1))
     return inside.select(
         "service_id", "address_id", F.col("latitude").cast("double").alias("latitude"),
@@ -425,8 +542,8 @@ def geo_box(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("open_at", O.OPEN_AT)
 def open_at_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = build_snapshot(fixture_catalog(spark, sf_dir))
-    return rows.filter(open_at(F.col("schedule"), "Monday", 870)).select(
+    rows = published(spark, sf_dir)
+    return rows.filter(open_at(F.col("schedule"), "Thursday", 945)).select(
         "service_id", "address_id", schedule_to_json(F.col("schedule")).alias("schedule")
     )
 
@@ -434,7 +551,7 @@ def open_at_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("service_lookup", O.SERVICE_LOOKUP)
 def service_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of one resource and of one service by id."""
-    rows = build_snapshot(fixture_catalog(spark, sf_dir))
+    rows = published(spark, sf_dir)
     return rows.filter((F.col("resource_id") == 5) | (F.col("service_id") == 42)).select(
         "service_id", "resource_id", "address_id", "embedding_text"
     )
@@ -457,9 +574,44 @@ def collection_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("collection_ids", O.COLLECTION_IDS)
+def collection_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids that each of ten calls stored, past the number of segments that starts merging."""
+    documents = base_table(spark, sf_dir, "documents").select("doc_id", "text", F.create_map(F.lit("lang"), "lang").alias("metadata"))
+    collection = Collection(spark, scratch_root(spark), encoder("hashed", **HASHED), O.DIMENSION)
+    told = [collection.add_documents(documents.filter(F.col("doc_id") % 10 == turn)).select(F.lit(turn).alias("turn"), "doc_id") for turn in range(10)]
+    return reduce(DataFrame.unionByName, told)
+
+
+@register("knn_filter_typed", O.KNN_FILTER_TYPED)
+def knn_filter_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search among documents whose metadata says True, stored from a boolean."""
+    labels = base_table(spark, sf_dir, "labels").select("doc_id", (F.col("toxic") == 1).alias("toxic"))
+    documents = base_table(spark, sf_dir, "documents").join(labels, "doc_id", "left")
+    collection = Collection(spark, scratch_root(spark), encoder("hashed", **HASHED), O.DIMENSION)
+    metadata = F.map_concat(F.create_map(F.lit("source"), "source"), F.create_map(F.lit("toxic"), F.col("toxic").cast("string")))
+    collection.add_documents(documents.select("doc_id", "text", metadata.alias("metadata")))
+    queries = base_table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    found = collection.similarity_search(queries, 5, {"toxic": True})
+    return found.select(
+        "query_id", "doc_id", "rank", F.round("similarity", 4).alias("similarity"), F.length("text").alias("length"),
+        F.col("metadata")["source"].alias("source"),
+    )
+
+
 # -- metadata --------------------------------------------------------------------------------------
 
 
+@register("metadata_wide_maps", O.METADATA_WIDE_MAPS)
+def metadata_wide_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maps whose keys only the data knows, as columns."""
+    documents = base_table(spark, sf_dir, "documents")
+    place = F.concat(F.lit("place_"), F.col("doc_id") % 3)
+    inner = F.struct(F.col("doc_id").alias("id"))
+    maps = documents.select("doc_id", F.create_map(place, "lang").alias("seen"), F.struct(F.create_map("lang", inner).alias("lang")).alias("by"))
+    return flatten_wide(maps, ["doc_id"])
+
+
 def nested_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with nested metadata: structs, arrays, a map, times and many absent values."""
     for name in ("documents", "labels", "pages", "events"):
@@ -468,18 +620,18 @@ def nested_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
         """
 select d.doc_id, d.source as source_filename, p.url as source_url, l.quality as page_number,
  cast(d.doc_id % 5 as int) as chunk_index, d.n_chars as token_count, l.toxic = 1 as is_toxic,
- case when d.doc_id % 7 <> 0 then 'brochure' end as document_type, e.ts as extracted_date,
+ case when d.doc_id % 7 <> 0 then 'leaflet' end as document_type, e.ts as extracted_date,
  named_struct(
   'related_service_id', case when d.doc_id % 2 = 0 then d.doc_id end,
   'service_type', d.lang,
   'mentioned_services', case when d.doc_id % 4 <> 0 then array(d.source, d.lang) else cast(array() as array<string>) end,
-  'contact', case when d.doc_id % 3 <> 0 then named_struct('phone', concat('555-', d.doc_id),
-    'email', case when d.doc_id % 2 = 1 then concat(d.lang, '@example.org') end, 'website', p.url) end,
+  'contact', case when d.doc_id % 3 <> 0 then named_struct('phone', concat('ext. ', d.doc_id),
+    'email', case when d.doc_id % 2 = 1 then concat(d.lang, '@example.net') end, 'website', p.url) end,
   'service_details', named_struct(
-    'hours', case d.doc_id % 6 when 0 then cast(map() as map<string,string>) when 1 then map('monday', '9am-5pm')
-      else map('monday', '9am-5pm', 'tuesday', concat('until ', d.doc_id % 12)) end,
-    'cost', case when d.doc_id % 5 = 0 then 'Free' end,
-    'languages', array(d.lang, 'English'))) as extracted
+    'hours', case d.doc_id % 6 when 0 then cast(map() as map<string,string>) when 1 then map('weekdays', 'from 8 to 4')
+      else map('weekdays', 'from 8 to 4', 'saturday', concat('before ', d.doc_id % 12)) end,
+    'cost', case when d.doc_id % 5 = 0 then 'none' end,
+    'languages', array(d.lang, 'Welsh'))) as extracted
 from documents d left join labels l on l.doc_id = d.doc_id left join pages p on p.page_id = d.doc_id
 left join events e on e.event_id = d.doc_id"""
     )
@@ -487,8 +639,7 @@ left join events e on e.event_id = d.doc_id"""
 
 @register("metadata_flat", O.METADATA_FLAT)
 def metadata_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hours = {"extracted_service_details_hours": ["monday", "tuesday"]}
-    return flatten_wide(nested_metadata(spark, sf_dir), ["doc_id"], hours)
+    return flatten_wide(nested_metadata(spark, sf_dir), ["doc_id"])
 
 
 @register("metadata_entries", O.METADATA_ENTRIES)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapwright.operators.embed import EncoderFactory, embed, encoder
+from snapwright.operators.embed import EncoderFactory, embed, embed_distinct, encoder, remote, retrying
 from snapwright.plans.snapshot import (
     KEY_COLUMN,
     build_snapshot,
@@ -19,12 +19,18 @@ from snapwright.plans.snapshot import (
     snapshot_schema,
 )
 from snapwright.sources.catalog import SourceCatalog
-from snapwright.sources.published import SKIPPED, PublishedTable, run_start
+from snapwright.sources.published import PublishedTable, run_start
+from snapwright.sources.storage import stored
 
 
 @dataclass(frozen=True)
 class Settings:
-    """What a run needs to know. The defaults are the usual production values."""
+    """What a run needs to know. The defaults are the usual production values.
+
+    ``provider`` names a registered encoder, or is ``module:function``. ``texts_per_second`` limits the whole job;
+    its tasks share it, so it needs ``tasks``. Throttled calls are always retried. ``distinct_texts`` sends each
+    different text once; by default it does so for every encoder but the offline one, which costs less than the search.
+    """
 
     provider: str = "hashed"
     dimension: int = 1024
@@ -32,10 +38,21 @@ class Settings:
     tasks: int | None = None
     provider_options: dict = field(default_factory=dict)
     snapshot_options: dict = field(default_factory=dict)
+    texts_per_second: float | None = None
+    distinct_texts: bool | None = None
 
     def factory(self) -> EncoderFactory:
         options = self.provider_options or ({"dimension": self.dimension} if self.provider == "hashed" else {})
-        return encoder(self.provider, **options)
+        made = encoder(self.provider, **options)
+        if self.texts_per_second is None:
+            return retrying(made)
+        if self.tasks is None:
+            raise ValueError("texts_per_second needs tasks, which share it")
+        return remote(made, job_rate=self.texts_per_second, tasks=self.tasks)
+
+    @property
+    def once_per_text(self) -> bool:
+        return self.provider != "hashed" if self.distinct_texts is None else self.distinct_texts
 
 
 def stored_schema(settings: Settings) -> T.StructType:
@@ -49,20 +66,22 @@ def snapshot_table(spark: SparkSession, root: str, settings: Settings) -> Publis
 
 
 def embedded_snapshot(snapshot: DataFrame, settings: Settings) -> DataFrame:
-    embedded = embed(
-        snapshot, "embedding_text", settings.factory(), dimension=settings.dimension,
-        batch_size=settings.batch_size, tasks=settings.tasks,
-    )
+    options = {"dimension": settings.dimension, "batch_size": settings.batch_size, "tasks": settings.tasks}
+    if settings.once_per_text:
+        # Read twice, for its texts and for its rows, so it is built once.
+        embedded = embed_distinct(stored(snapshot, "snapshot"), "embedding_text", settings.factory(), **options)
+    else:
+        embedded = embed(snapshot, "embedding_text", settings.factory(), **options)
     return conform(embedded, stored_schema(settings))
 
 
-def run(catalog: SourceCatalog, table: PublishedTable, settings: Settings, *, now: str | None = None) -> dict:
-    """Full when nothing was published yet, else incremental since the stored watermark.
+def run(catalog: SourceCatalog, table: PublishedTable, settings: Settings, *, now: str | None = None, full: bool = False) -> dict:
+    """Full when nothing was published yet or ``full`` asks for it, else incremental since the stored watermark.
 
-    The new watermark is the start of this run.
+    The new watermark is the start of this run. A full run also takes in edits to other tables than services.
     """
     started = now or run_start()
-    since = table.watermark()
+    since = None if full else table.watermark()
     if since is None:
         fresh = embedded_snapshot(build_snapshot(catalog, **settings.snapshot_options), settings)
         return table.publish_all(fresh, watermark=started, batch_size=settings.batch_size).report
@@ -73,6 +92,6 @@ def run(catalog: SourceCatalog, table: PublishedTable, settings: Settings, *, no
     active = catalog["resources"].filter(F.col("status") == 1).select(F.col("id").alias("resource_id"))
     changed = changed_services(services, since).join(active, "resource_id", "left_semi")
     if changed.isEmpty() and removed.isEmpty():
-        return dict(SKIPPED)
+        return table.record_skip().report
     fresh = embedded_snapshot(build_snapshot(catalog, since=since, **settings.snapshot_options), settings)
     return table.publish_changes(fresh, removed, watermark=started, batch_size=settings.batch_size).report

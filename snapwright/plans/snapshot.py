@@ -10,12 +10,13 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapwright.functions.predicates import IdRange, changed_since, is_active, is_soft_deleted
 from snapwright.operators.joins import (
+    HOT_LIMIT,
     TASK_ROWS,
     broadcast_if_small,
     fan_hot,
@@ -26,6 +27,8 @@ from snapwright.operators.joins import (
     keep_listed,
     key_counts,
     largest_groups,
+    lookup,
+    lookup_hot,
     unbridged,
 )
 from snapwright.operators.rollups import (
@@ -39,7 +42,8 @@ from snapwright.operators.rollups import (
 )
 from snapwright.operators.taxonomy import DIMENSIONS, Taxonomy, classify
 from snapwright.plans.prose import row_prose, service_prose
-from snapwright.sources.catalog import SourceCatalog
+from snapwright.sources.catalog import SOURCE_COLUMNS, SourceCatalog
+from snapwright.sources.storage import stored, stored_together
 
 # Id ranges of the core categories and of the white-label family.
 CORE_CATEGORIES = IdRange(0, 399, without=(202,), without_ranges=((356, 362),))
@@ -82,11 +86,24 @@ def snapshot_schema(white_labels: Mapping[str, IdRange] = WHITE_LABELS) -> T.Str
 SNAPSHOT_SCHEMA = snapshot_schema()
 # Columns kept beside the data columns: a stable row key in place of a serial number.
 KEY_COLUMN = "snapshot_key"
-ORDER_COLUMNS = ("resource_id", "service_id", "address_id")
+ORDER_COLUMNS = ("resource_id", "service_id", "linked_address_id")
 
 
 def reading_order() -> list[Column]:
-    return [F.col(name).asc_nulls_last() for name in ORDER_COLUMNS]
+    """Resource, service, then the service's own address; an address it only has through its resource counts as none.
+
+    Stored rows do not say where an address came from, so a published table orders by the address itself within that.
+    """
+    return [F.col(name).asc_nulls_last() for name in ("resource_id", "service_id", "address_id")]
+
+
+def numbered_in_order(rows: DataFrame) -> DataFrame:
+    """Rows of :func:`joined_rows` with ``row_number`` in reading order within their resource.
+
+    Equal places go by the schedules' ids.
+    """
+    order = [F.col(name).asc_nulls_last() for name in (*ORDER_COLUMNS[1:], "service_schedule_id", "resource_schedule_id", "address_id")]
+    return rows.withColumn("row_number", F.row_number().over(Window.partitionBy("resource_id").orderBy(*order)))
 
 
 def changed_services(services: DataFrame, since: datetime | str) -> DataFrame:
@@ -102,67 +119,60 @@ def deleted_ids(services: DataFrame, since: datetime | str) -> DataFrame:
 def reduced_to(catalog: SourceCatalog, services: DataFrame) -> SourceCatalog:
     """The catalog with the given services and only the rows their snapshot needs.
 
-    The watermark filter sits on ``services`` alone, so the bridge tables are reduced here by semi-joins.
+    The watermark filter sits on ``services`` alone, so the other tables are reduced here by semi-joins. Each is read
+    from its source once and stored in the shared folder: what is built from them sees one state, repeats no semi-join,
+    and its joins are planned from their real, small sizes.
     """
-    bridge, schedules = catalog["addresses_services"], catalog["schedules"]
-    services_changed = services.select(F.col("id").alias("service_id"))
-    resources_touched = services.select("resource_id").distinct()
-    # A schedule of its own counts for its service only, so it is not looked up by resource.
+    services = stored(services.select(*SOURCE_COLUMNS["services"]), "services")
     shared_by = F.when(F.col("service_id").isNull(), F.col("resource_id"))
-
-    def needed_schedules(service_ids: DataFrame, resource_ids: DataFrame) -> DataFrame:
-        return keep_listed(schedules, (F.col("service_id"), service_ids), (shared_by, resource_ids))
-
-    ids = broadcast_if_small(
+    first = broadcast_if_small(
         {
-            "services": services_changed,
-            "resources": resources_touched,
-            "addresses": bridge.join(services_changed, "service_id", "left_semi").select("address_id").distinct(),
-            "schedules": needed_schedules(services_changed, resources_touched).select(
-                F.col("id").alias("schedule_id")
-            ),
+            "services": services.select(F.col("id").alias("service_id")).filter(F.col("service_id").isNotNull()).distinct(),
+            "resources": services.select("resource_id").filter(F.col("resource_id").isNotNull()).distinct(),
         }
     )
+    by_service = ("addresses_services", "instructions", "documents_services", "categories_services", "eligibilities_services")
+    reduced = {name: catalog[name].join(first["services"], "service_id", "left_semi") for name in by_service}
+    reduced["phones"] = catalog["phones"].join(first["resources"], "resource_id", "left_semi")
+    reduced["resources"] = catalog["resources"].join(first["resources"], F.col("id") == F.col("resource_id"), "left_semi")
+    # A schedule of its own counts for its service only, so it is not looked up by resource.
+    reduced["schedules"] = keep_listed(catalog["schedules"], (F.col("service_id"), first["services"]), (shared_by, first["resources"]))
+    kept = stored_together(reduced)
 
-    def of_services(name: str) -> DataFrame:
-        return catalog[name].join(ids["services"], "service_id", "left_semi")
-
-    return catalog.replacing(
-        services=services,
-        addresses=keep_listed(
-            catalog["addresses"], (F.col("id"), ids["addresses"]), (F.col("resource_id"), ids["resources"])
-        ),
-        phones=catalog["phones"].join(ids["resources"], "resource_id", "left_semi"),
-        schedules=needed_schedules(ids["services"], ids["resources"]),
-        schedule_days=catalog["schedule_days"].join(ids["schedules"], "schedule_id", "left_semi"),
-        **{
-            name: of_services(name)
-            for name in (
-                "addresses_services", "instructions", "documents_services", "categories_services",
-                "eligibilities_services",
-            )
-        },
+    second = broadcast_if_small(
+        {
+            "addresses": kept["addresses_services"].select("address_id").distinct(),
+            "documents": kept["documents_services"].select("document_id").distinct(),
+            "schedules": kept["schedules"].select(F.col("id").alias("schedule_id")).distinct(),
+        }
+    )
+    kept |= stored_together(
+        {
+            "addresses": keep_listed(catalog["addresses"], (F.col("id"), second["addresses"]), (F.col("resource_id"), first["resources"])),
+            "documents": catalog["documents"].join(second["documents"], F.col("id") == F.col("document_id"), "left_semi"),
+            "schedule_days": catalog["schedule_days"].join(second["schedules"], "schedule_id", "left_semi"),
+        }
     )
+    return catalog.replacing(services=services, **kept)
 
 
 ADDRESS_FIELDS = ("address_1", "address_2", "city", "state_province", "postal_code", "latitude", "longitude")
 
 
-def linked_addresses(bridge: DataFrame, addresses: DataFrame) -> DataFrame:
+def linked_addresses(bridge: DataFrame, addresses: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Addresses linked to a service; a link to a missing address vanishes."""
-    known = addresses.select(F.col("id").alias("address_id"), *ADDRESS_FIELDS)
-    return bridge.select("service_id", "address_id").join(known, "address_id").select(
-        "service_id", "address_id", *ADDRESS_FIELDS
-    )
+    known = addresses.select(F.col("id").alias("address_id"), *ADDRESS_FIELDS, F.lit(True).alias("__known"))
+    found = lookup(bridge.select("service_id", "address_id"), known, "address_id", hot).filter("__known")
+    return found.select("service_id", "address_id", F.col("address_id").alias("linked_address_id"), *ADDRESS_FIELDS)
 
 
 def resource_addresses(addresses: DataFrame) -> DataFrame:
     return addresses.filter(F.col("resource_id").isNotNull()).select(
-        "resource_id", F.col("id").alias("address_id"), *ADDRESS_FIELDS
+        "resource_id", F.col("id").alias("address_id"), F.lit(None).cast("bigint").alias("linked_address_id"), *ADDRESS_FIELDS
     )
 
 
-def service_wide(services: DataFrame, programs: DataFrame) -> DataFrame:
+def service_wide(services: DataFrame, programs: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     program = programs.select(
         F.col("id").alias("program_id"), F.col("name").alias("program_name"),
         F.col("alternate_name").alias("program_alternate_name"), F.col("description").alias("program_description"),
@@ -175,7 +185,7 @@ def service_wide(services: DataFrame, programs: DataFrame) -> DataFrame:
         "required_documents", "fee", "wait_time", "interpretation_services",
         F.col("email").alias("service_email"), F.col("url").alias("service_url"), "verified_at", "updated_at",
     )
-    return own.join(program, "program_id", "left")
+    return lookup(own, program, "program_id", hot)
 
 
 def resource_wide(resources: DataFrame, phones: DataFrame, run: int | None = RUN) -> DataFrame:
@@ -206,6 +216,7 @@ def joined_rows(
     core_categories: IdRange = CORE_CATEGORIES,
     white_labels: Mapping[str, IdRange] = WHITE_LABELS,
     task_rows: int = TASK_ROWS,
+    hot_limit: int = HOT_LIMIT,
     per_service: Callable[[DataFrame], DataFrame] = lambda wide: wide,
 ) -> DataFrame:
     """All inputs of a snapshot row side by side, before the output columns are chosen.
@@ -217,10 +228,7 @@ def joined_rows(
     taxonomy = taxonomy or Taxonomy.default(services.sparkSession)
     keys = services.select(F.col("id").alias("service_id"), "resource_id")
 
-    base = service_wide(services, catalog["programs"])
-
     bridge = catalog["addresses_services"]
-    linked = linked_addresses(bridge, catalog["addresses"])
     homeless = unbridged(keys, bridge, "service_id")
     fallback = resource_addresses(catalog["addresses"])
 
@@ -241,8 +249,20 @@ def joined_rows(
             "phones": (catalog["phones"], "resource_id"),
             "instructions": (catalog["instructions"], "service_id"),
             "documents": (catalog["documents_services"], "service_id"),
+            "programs": (services, "program_id"),
+            "addresses": (bridge, "address_id"),
         }
     )
+    looked_up = find_hot(
+        {
+            name: lookup_hot(df, key, task_rows)
+            for name, df, key in (("programs", services, "program_id"), ("addresses", bridge, "address_id"))
+            if most[name] > task_rows
+        },
+        hot_limit,
+    )
+    base = service_wide(services, catalog["programs"], looked_up.get("programs"))
+    linked = linked_addresses(bridge, catalog["addresses"], looked_up.get("addresses"))
 
     def run_of(name: str) -> int | None:
         """Text rollups go by runs of ids only where some group is large."""
@@ -269,7 +289,7 @@ def joined_rows(
         searches["fan_out"] = fan_hot(
             [address_counts, key_counts(service_hours, "service_id"), shared_counts], "service_id", task_rows
         )
-    hot = find_hot(searches)
+    hot = find_hot(searches, hot_limit)
 
     wide = grid_join(base, profile, "resource_id", hot.get("profile"))
     families = {"": core_categories, **{f"{family}_": ids for family, ids in white_labels.items()}}
@@ -291,7 +311,7 @@ def joined_rows(
 
 
 def row_key() -> Column:
-    """A repeatable row key from the ids that make a row."""
+    """A repeatable row key from the ids that make a row. A link that is stored twice gives two rows with one key."""
     parts = [
         F.coalesce(F.col(name).cast("string"), F.lit("-"))
         for name in ("service_id", "address_id", "service_schedule_id", "resource_schedule_id")

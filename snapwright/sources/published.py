@@ -3,15 +3,19 @@
 Readers take the newest commit, so they see the old table until the new one is complete. A full publish
 starts a new list of segments. An incremental publish adds one segment of fresh rows with the ids it
 replaces; the old rows are hidden at read time, so the work is in step with the change, not the table.
-After ``MERGE_AFTER`` segments the next publish writes the table out as one segment again.
+Beyond ``MERGE_AFTER`` segments the two neighbours with the fewest rows are merged, so small segments meet small
+ones and the large first one is rewritten only once the others have grown to its size.
 
-The watermark travels in the commit: rows and watermark change together.
+Rows are laid out by ranges of the key, so a lookup by key opens few files.
+
+The watermark travels in the commit: rows and watermark change together. So does the last batch of every feed, by
+which a repeated batch is recognised whatever else was published in between.
 """
 
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,13 +33,14 @@ class Commit:
     number: int
     segments: tuple[dict, ...] = ()
     watermark: str | None = None
-    token: str | None = None
     report: dict | None = None
+    feeds: tuple[tuple[str, int], ...] = ()
+    fresh: str | None = None
 
     def to_json(self) -> dict:
         return {
-            "segments": list(self.segments), "watermark": self.watermark, "token": self.token,
-            "report": self.report,
+            "segments": list(self.segments), "watermark": self.watermark, "report": self.report,
+            "feeds": dict(self.feeds), "fresh": self.fresh,
         }
 
 
@@ -68,7 +73,8 @@ class PublishedTable:
 
     def commit(self, number: int) -> Commit:
         body = self._commits.read_json(COMMIT_NAME.format(number))
-        return Commit(number, tuple(body["segments"]), body["watermark"], body["token"], body["report"])
+        feeds = tuple(sorted(body["feeds"].items()))
+        return Commit(number, tuple(body["segments"]), body["watermark"], body["report"], feeds, body["fresh"])
 
     def watermark(self) -> str | None:
         """Start of the run whose rows are published; None before the first run."""
@@ -130,25 +136,29 @@ class PublishedTable:
 
     def _write_rows(self, rows: DataFrame) -> str:
         path = self._new_path("rows")
-        rows.select(*self.schema.names).sortWithinPartitions(*self.order).write.parquet(path)
+        rows = rows.select(*self.schema.names)
+        # Equal keys are told apart by their place, so one key with very many rows still spreads over ranges.
+        spread = rows.withColumn("__place", F.monotonically_increasing_id()).repartitionByRange(F.col(self.key), F.col("__place"))
+        spread.drop("__place").sortWithinPartitions(self.key, *self.order).write.parquet(path)
         return path
 
-    def _finish(self, base: Commit, segments: list[dict], watermark, token, report: dict) -> Commit:
-        commit = Commit(base.number + 1, tuple(segments), watermark, token, report)
+    def _finish(
+        self, base: Commit, segments: list[dict], watermark, report: dict, feeds: dict | None = None, fresh: str | None = None
+    ) -> Commit:
+        kept = dict(base.feeds) | (feeds or {})
+        commit = Commit(base.number + 1, tuple(segments), watermark, report, tuple(sorted(kept.items())), fresh)
         self._commits.create_json(COMMIT_NAME.format(commit.number), commit.to_json())
         return commit
 
     def _count(self, path: str) -> int:
         return self.spark.read.schema(self.schema).parquet(path).count()
 
-    def publish_all(
-        self, rows: DataFrame, *, watermark: str | None = None, token: str | None = None, batch_size: int = 25
-    ) -> Commit:
+    def publish_all(self, rows: DataFrame, *, watermark: str | None = None, batch_size: int = 25) -> Commit:
         """Replace the whole table."""
         base = self.latest()
         path = self._write_rows(rows)
-        report = run_report(self._count(path), batch_size, "full")
-        return self._finish(base, [{"rows": path}], watermark, token, report)
+        total = self._count(path)
+        return self._finish(base, [{"rows": path, "n": total}], watermark, run_report(total, batch_size, "full"), fresh=path)
 
     def publish_changes(
         self,
@@ -156,31 +166,71 @@ class PublishedTable:
         removed: DataFrame,
         *,
         watermark: str | None = None,
-        token: str | None = None,
+        feed: tuple[str, int] | None = None,
         batch_size: int = 25,
     ) -> Commit:
         """Replace every row of the ids in ``fresh`` and drop the ids in ``removed``.
 
-        A ``token`` already carried by the newest commit makes the call a no-op, so a repeated batch is safe.
+        ``feed`` is a feed's name and the number of its batch. A batch that the table already holds changes nothing.
         """
         base = self.latest()
-        if token is not None and base.token == token:
+        if feed is not None and dict(base.feeds).get(feed[0], -1) >= feed[1]:
             return base
         fresh_path = self._write_rows(fresh)
         written = self.spark.read.schema(self.schema).parquet(fresh_path)
         gone_path = self._new_path("replaced")
         stale_ids(written.select(self.key), removed.select(self.key), self.key).write.parquet(gone_path)
-        segments = [*base.segments, {"rows": fresh_path, "replaced": gone_path}]
-        report = run_report(written.count(), 25 if batch_size is None else batch_size, "incremental")
+        total = written.count()
+        segments = [*base.segments, {"rows": fresh_path, "replaced": gone_path, "n": total}]
+        report = run_report(total, batch_size, "incremental")
         report["removed_ids"] = self.spark.read.parquet(gone_path).count()
-        if len(segments) > MERGE_AFTER:
-            merged = self.read(replace(base, segments=tuple(segments)))
-            segments = [{"rows": self._write_rows(merged)}]
-        return self._finish(base, segments, watermark if watermark is not None else base.watermark, token, report)
+        while len(segments) > MERGE_AFTER:
+            segments = self._merge_smallest(segments)
+        feeds = dict([feed]) if feed is not None else None
+        return self._finish(base, segments, watermark if watermark is not None else base.watermark, report, feeds, fresh_path)
+
+    def _merge_smallest(self, segments: list[dict]) -> list[dict]:
+        """The two neighbours with the fewest rows as one segment; what both replace in older ones is kept."""
+        at = min(range(len(segments) - 1), key=lambda i: segments[i]["n"] + segments[i + 1]["n"])
+        pair = segments[at : at + 2]
+        path = self._write_rows(self.read(Commit(-1, tuple(pair))))
+        merged = {"rows": path, "n": self._count(path)}
+        if at:
+            gone = self._new_path("replaced")
+            ids = [self.spark.read.parquet(s["replaced"]).select(self.key) for s in pair]
+            ids[0].union(ids[1]).distinct().write.parquet(gone)
+            merged["replaced"] = gone
+        return [*segments[:at], merged, *segments[at + 2 :]]
+
+    def record_skip(self) -> Commit:
+        """Log a run that found nothing to do; rows and watermark stay."""
+        base = self.latest()
+        return self._finish(base, list(base.segments), base.watermark, dict(SKIPPED))
+
+    def retain(self, versions: int = 2) -> int:
+        """Remove the data of all but the newest ``versions`` versions; their log entries stay. Returns folders removed.
+
+        Readers of older versions must be done, as must every writer that has not committed.
+        """
+        numbers = self._commit_numbers()
+        kept = {path for n in numbers[-max(1, versions) :] for path in self._paths(self.commit(n))}
+        removed = 0
+        for kind in ("rows", "replaced"):
+            folder = Folder(self.spark, f"{self.root}/{kind}")
+            for name in folder.names():
+                if f"{self.root}/{kind}/{name}" not in kept:
+                    folder.remove(name)
+                    removed += 1
+        return removed
+
+    @staticmethod
+    def _paths(commit: Commit) -> set[str]:
+        listed = {s[part] for s in commit.segments for part in ("rows", "replaced") if s.get(part)}
+        return listed | ({commit.fresh} if commit.fresh else set())
 
     def drop(self) -> Commit:
         """Publish "no table"; older commits stay readable by number."""
-        return self._finish(self.latest(), [], None, None, {"mode": "drop", "status": "success"})
+        return self._finish(self.latest(), [], None, {"mode": "drop", "status": "success"})
 
 
 def run_report(rows: int, batch_size: int, mode: str) -> dict:

@@ -1,12 +1,20 @@
-"""Small file-system helpers over Hadoop paths, so local, HDFS and object-store folders work alike."""
+"""Small file-system helpers over Hadoop paths.
+
+Commits rely on creating a file only where none is. HDFS and local folders do that themselves; an object store must
+refuse conditional writes of a taken name (most do since 2024), as its connector's create without overwrite then fails.
+"""
 
 from __future__ import annotations
 
 import json
+import re
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import SparkSession
+from py4j.protocol import Py4JJavaError
+from pyarrow.fs import FileSystem, LocalFileSystem
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -17,11 +25,29 @@ def scratch_root(spark: SparkSession) -> str:
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/snapwright-{uuid.uuid4().hex}"
-    if spark.sparkContext.master.startswith("local"):
+    if re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         return tempfile.mkdtemp(prefix="snapwright-")
     raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the scratch folder and read back, so that later uses neither repeat nor re-plan it."""
+    path = f"{scratch_root(df.sparkSession)}/{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored_together(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Several frames stored side by side, their jobs sharing the cluster."""
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        return dict(zip(frames, pool.map(stored, frames.values(), frames), strict=True))
+
+
+def open_folder(uri: str) -> tuple[FileSystem, str]:
+    """Arrow file system and path of a folder, for reading it inside tasks."""
+    return FileSystem.from_uri(uri) if ":" in uri else (LocalFileSystem(), uri)
+
+
 class Folder:
     """Metadata operations on one folder."""
 
@@ -43,15 +69,35 @@ class Folder:
             stream.close()
 
     def create_json(self, name: str, value: dict) -> None:
-        """Write a new file that appears whole or not at all; fails when the name is taken."""
+        """Write a new file; fails when the name is taken.
+
+        Where a rename refuses to replace (HDFS), a draft is moved into place, so the file appears whole. Elsewhere the
+        name itself is created with overwrite off, in one write.
+        """
+        body = bytearray(json.dumps(value).encode("utf-8"))
         path_class = self._jvm.org.apache.hadoop.fs.Path
         target = path_class(self._path, name)
+        if self._fs.getScheme() != "hdfs":
+            self._fill(target, body)
+            return
         draft = path_class(self._path, f".{name}.{uuid.uuid4().hex}")
-        stream = self._fs.create(draft, False)
+        self._fill(draft, body)
+        if not self._fs.rename(draft, target):
+            self._fs.delete(draft, False)
+            raise FileExistsError(f"{target} was written by someone else")
+
+    def _fill(self, path, body: bytearray) -> None:
+        try:
+            stream = self._fs.create(path, False)
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" in str(error.java_exception):
+                raise FileExistsError(f"{path} was written by someone else") from error
+            raise
         try:
-            stream.write(bytearray(json.dumps(value).encode("utf-8")))
+            stream.write(body)
         finally:
             stream.close()
-        if self._fs.exists(target) or not self._fs.rename(draft, target):
-            self._fs.delete(draft, False)
-            raise FileExistsError(f"{target} was written by someone else")
+
+    def remove(self, name: str) -> None:
+        """Delete one entry with all that is in it."""
+        self._fs.delete(self._jvm.org.apache.hadoop.fs.Path(self._path, name), True)

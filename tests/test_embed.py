@@ -16,6 +16,7 @@ from snapwright.operators.embed import (
     with_rate,
     with_retry,
 )
+from snapwright.plans.run import Settings
 
 
 def texts(spark, *values):
@@ -27,13 +28,13 @@ def fixed_length(dimension):
 
 
 def test_hashed_encoder():
-    vector = hashed_counts("Food food, BANK! naïve 42", 64)
+    vector = hashed_counts(["Food food, BANK! naïve 42"], 64)[0]
     assert abs(math.sqrt(vector @ vector) - 1) < 1e-12
     assert sorted(round(x, 6) for x in vector if x) == sorted(
         round(x / math.sqrt(7), 6) for x in (2, 1, 1, 1)
     )
-    assert not hashed_counts("--- ...", 64).any()
-    assert (hashed_counts("a b", 32) == hashed_counts("B, A", 32)).all()
+    assert not hashed_counts(["--- ..."], 64).any()
+    assert (hashed_counts(["a b"], 32) == hashed_counts(["B, A"], 32)).all()
 
 
 def test_embed_keeps_vectors_with_their_rows(spark):
@@ -60,10 +61,20 @@ def test_every_row_is_checked_for_its_dimension(spark):
 
 
 def test_unknown_provider():
-    with pytest.raises(ValueError, match="Unsupported embedding provider: 'nope'"):
+    with pytest.raises(ValueError, match="no encoder is registered as 'nope'"):
         encoder("nope")
 
 
+def test_provider_by_module():
+    assert encoder("snapwright.operators.embed:_hashed", dimension=8)()(["a"]).shape == (1, 8)
+
+
+def test_settings_apply_rate_and_retry():
+    assert callable(Settings(dimension=8, tasks=2, texts_per_second=10.0).factory()())
+    with pytest.raises(ValueError, match="needs tasks"):
+        Settings(texts_per_second=1.0).factory()
+
+
 def test_own_provider(spark):
     register_encoder("lengths", fixed_length)
     assert embed(texts(spark, "abc"), "text", encoder("lengths", dimension=4), dimension=4).head().embedding == [3.0] * 4
@@ -76,7 +87,7 @@ def test_retry_waits_and_gives_up():
         calls.append(batch)
         raise Throttled
 
-    with pytest.raises(RuntimeError, match="exceeded max retries"):
+    with pytest.raises(RuntimeError, match="still throttled after"):
         with_retry(busy, sleep=waits.append, jitter=lambda: 0.5)(["x"])
     assert len(calls) == 8 and waits == [min(2**n + 0.5, 60) for n in range(8)]
 
@@ -139,4 +150,4 @@ def test_distinct_texts_are_encoded_once(spark):
 def test_long_text_is_used_whole(spark):
     long = " ".join(["word"] * 50_000 + ["end"])
     row = embed(texts(spark, long), "text", encoder("hashed", dimension=16), dimension=16).head()
-    assert np.allclose(row.embedding, hashed_counts(long, 16)) and np.count_nonzero(row.embedding) == 2
+    assert np.allclose(row.embedding, hashed_counts([long], 16)[0]) and np.count_nonzero(row.embedding) == 2

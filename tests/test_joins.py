@@ -3,6 +3,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from snapwright.operators import joins
 from snapwright.operators.joins import (
     broadcast_if_small,
     fan_hot,
@@ -13,6 +14,8 @@ from snapwright.operators.joins import (
     keep_listed,
     key_counts,
     largest_groups,
+    lookup,
+    lookup_hot,
     unbridged,
     without_keys,
 )
@@ -112,3 +115,29 @@ def test_unbridged_and_without_keys(spark):
     bridge = spark.createDataFrame([(1, 10), (2, -1), (None, 3)], "service_id long, address_id long")
     assert [r.service_id for r in unbridged(keys, bridge, "service_id").collect()] == [3]
     assert sorted(r.service_id for r in without_keys(keys, keys.filter("service_id = 2"), "service_id").collect()) == [1, 3]
+
+
+def test_equal_rows_of_a_hot_key_are_spread(spark):
+    rows = spark.range(20_000).select(F.lit(1).cast("bigint").alias("k"), F.lit("same").alias("v"))
+    hot = spark.createDataFrame([(1, [20, 1])], "hot_key bigint, slices array<bigint>")
+    cut = joins._sliced(rows, "k", hot, 2, lambda z: z[0], "slice", rows.columns)
+    sizes = [r["count"] for r in cut.groupBy("slice").count().collect()]
+    assert sum(sizes) == 20_000 and len(sizes) == 20 and max(sizes) < 1300
+    other = spark.createDataFrame([(1, "x"), (1, "y")], "k bigint, w string")
+    assert grid_join(rows, other, "k", hot).count() == 40_000
+
+
+@pytest.mark.parametrize("task_rows", [10, 1000])
+def test_lookup_is_a_left_join(spark, sides, task_rows):
+    rows = sides[0].withColumn("k", F.when(F.col("a") % 7 == 0, None).otherwise(F.col("k")))
+    table = spark.range(0, 30).select(F.col("id").alias("k"), F.concat(F.lit("t"), "id").alias("t"))
+    hot = find_hot({"x": lookup_hot(rows, "k", task_rows)})["x"]
+    assert (hot is not None) == (task_rows == 10)
+    assert counted(lookup(rows, table, "k", hot)) == counted(rows.join(table, "k", "left"))
+
+
+def test_keyless_rows_are_spread(spark):
+    rows = spark.range(10_000).select(F.lit(None).cast("bigint").alias("k"), F.col("id").alias("a"))
+    spread = rows.select(joins._spread(F.col("k"), rows.columns).alias("s")).distinct().count()
+    assert spread > 3000
+    assert keep_listed(rows, (F.col("k"), spark.range(5))).isEmpty()

@@ -78,7 +78,9 @@ def test_times_are_iso_text(chunks):
 def test_everything_is_plain(chunks):
     wide, long = prepare_metadata(chunks, ["doc_id"])
     assert is_plain(wide.schema) and is_plain(long.schema)
-    assert "extracted_service_details_hours_monday" not in wide.columns
+    assert wide.filter("doc_id = 1").head().extracted_service_details_hours_friday == "10-2"
+    rest = flatten_wide(chunks, ["doc_id"], {"extracted_service_details_hours": ["monday"]}).filter("doc_id = 1").head()
+    assert json.loads(rest.extracted_service_details_hours) == {"friday": "10-2"}
     named = flatten_wide(chunks, ["doc_id"], {"extracted_service_details_hours": ["monday", "sunday"]})
     row = named.filter("doc_id = 1").head()
     assert (row.extracted_service_details_hours_monday, row.extracted_service_details_hours_sunday) == ("9-5", None)
@@ -109,6 +111,8 @@ def test_nested_maps(spark):
         "doc_id long, m map<string,map<string,int>>, n map<string,struct<items:array<string>,note:string>>",
     )
     assert entries(df)[1] == {"m_x_y": ("1", "int"), "n_p_items": ('["q"]', "string")}
+    wide = flatten_wide(df, ["doc_id"]).head().asDict()
+    assert {k: v for k, v in wide.items() if v is not None} == {"doc_id": 1, "m_x_y": 1, "n_p_items": '["q"]'}
 
 
 def test_serialise(chunks):

@@ -55,8 +55,8 @@ def test_full_publish_replaces_everything(spark, table):
 
 def test_same_batch_twice_is_a_no_op(spark, table):
     table.publish_all(frame(spark, [(1, "a")]))
-    one = table.publish_changes(frame(spark, [(2, "b")]), ids(spark, 1), token="batch-0")
-    two = table.publish_changes(frame(spark, [(2, "b")]), ids(spark, 1), token="batch-0")
+    one = table.publish_changes(frame(spark, [(2, "b")]), ids(spark, 1), feed=("one", 0))
+    two = table.publish_changes(frame(spark, [(2, "b")]), ids(spark, 1), feed=("one", 0))
     assert one == two and content(table) == [(2, "b")]
 
 
@@ -75,7 +75,7 @@ def test_two_writers_cannot_both_commit(spark, table):
     base = table.latest()
     table.publish_all(frame(spark, [(2, "b")]))
     with pytest.raises(FileExistsError):
-        table._finish(base, [], None, None, {})
+        table._finish(base, [], None, {})
     assert content(table) == [(2, "b")]
 
 
@@ -91,6 +91,45 @@ def test_segments_are_merged(spark, table):
     assert content(table) == sorted(expected.items())
 
 
+def test_a_repeated_batch_is_known_after_other_commits(spark, table):
+    table.publish_all(frame(spark, [(1, "a")]))
+    table.publish_changes(frame(spark, [(2, "one")]), ids(spark), feed=("one", 0))
+    table.publish_changes(frame(spark, [(2, "two")]), ids(spark), feed=("two", 0))
+    table.publish_changes(frame(spark, [(2, "late")]), ids(spark), feed=("one", 0))
+    assert content(table) == [(1, "a"), (2, "two")]
+
+
+def test_retention_removes_only_what_no_kept_version_reads(spark, table):
+    table.publish_all(frame(spark, [(1, "a"), (2, "b")]))
+    for i in range(3):
+        table.publish_changes(frame(spark, [(1, f"v{i}")]), ids(spark))
+    assert table.retain(1) == 0
+    table.publish_all(frame(spark, [(3, "c")]))
+    assert table.retain(2) == 0 and content(table) == [(3, "c")]
+    assert table.retain(1) == 7 and content(table) == [(3, "c")]
+    assert table.run_log().count() == 5
+
+
+def test_merging_takes_the_smallest_neighbours(spark, table):
+    table.publish_all(frame(spark, [(i, "old") for i in range(1000)]))
+    base = table.latest().segments[0]["rows"]
+    for i in range(3 * MERGE_AFTER):
+        table.publish_changes(frame(spark, [(i, "new")]), ids(spark))
+    assert table.latest().segments[0]["rows"] == base
+    assert table.read().filter("text = 'new'").count() == 3 * MERGE_AFTER and table.read().count() == 1000
+
+
+def test_files_hold_ranges_of_the_key(spark, table):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        table.publish_all(spark.range(20_000).select("id", F.lit("x").alias("text")).repartition(7))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    path = table.latest().segments[0]["rows"]
+    files = spark.read.parquet(path).groupBy(F.input_file_name()).agg(F.min("id").alias("low"), F.max("id").alias("high")).orderBy("low").collect()
+    assert len(files) > 1 and all(a.high < b.low for a, b in zip(files, files[1:], strict=False))
+
+
 def test_drop_and_run_log(spark, table):
     table.publish_all(frame(spark, [(1, "a"), (2, "b"), (3, "c")]), batch_size=2)
     table.publish_changes(frame(spark, [(2, "x")]), ids(spark, 1))
@@ -121,6 +160,8 @@ def test_runs(spark, tmp_path):
     # Nothing changed: skipped, nothing written, watermark kept.
     skipped = run(catalog, table, SETTINGS, now="2024-01-11 00:00:00")
     assert skipped["status"] == "skipped" and table.watermark() == "2024-01-10 00:00:00"
+    assert [r.status for r in table.run_log().orderBy("commit").collect()] == ["success", "skipped"]
+    assert run(catalog, table, SETTINGS, now="2024-01-10 00:00:00", full=True)["mode"] == "full"
 
     # One service renamed, one deleted, one of unknown status left as it was.
     services = [dict(row) for row in ROWS["services"]]
