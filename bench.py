@@ -76,9 +76,16 @@ def main() -> None:
         asked = vectors.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"))
         consume(nearest(vectors, asked, 10))
 
-    def knn_approx():
+    trained: dict = {}
+
+    def knn_train():
         index = CellIndex.train(vectors, 16)
-        consume(index.nearest(index.assign(vectors), label_queries(vectors), 10, probes=8))
+        folder = f"{scratch_root(spark)}/cells"
+        index.assign(vectors).write.partitionBy("cell").parquet(folder)
+        trained["index"], trained["assigned"] = index, spark.read.parquet(folder)
+
+    def knn_approx():
+        consume(trained["index"].nearest(trained["assigned"], label_queries(vectors), 10, probes=6))
 
     def metadata_rows():
         consume(metadata_long(nested_metadata(spark, SF_DIR), ["doc_id"]))
@@ -86,7 +93,7 @@ def main() -> None:
     timings: dict[str, float] = {}
     for query in (
         snapshot_full, incremental_1pct, publish_full_and_1pct, embed_documents, knn_exact, knn_all_pairs,
-        knn_approx, metadata_rows,
+        knn_train, knn_approx, metadata_rows,
     ):
         best = None
         for _ in range(ROUNDS):
@@ -96,9 +103,8 @@ def main() -> None:
             best = took if best is None else min(best, took)
         timings[query.__name__] = round(best, 3)
 
-    index = CellIndex.train(vectors, 16)
     exact = nearest(vectors, label_queries(vectors), 10)
-    found = index.nearest(index.assign(vectors), label_queries(vectors), 10, probes=8)
+    found = trained["index"].nearest(trained["assigned"], label_queries(vectors), 10, probes=6)
     print(
         json.dumps(
             {
