@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 import os
+import re
+import unicodedata
 
 import numpy as np
 
@@ -20,21 +22,46 @@ def public_vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+#: Marks in a row are one token by the split rule; a full stop or comma behind a letter and before a blank is one alone.
+_MARKS_IN_A_ROW = re.compile(r"(?:[^\w\s]|_)[.,][ \n]")
+#: Characters that may combine with, or change, their neighbours under normalisation or lower-casing.
+_CONTEXT = re.compile("[" + "".join(re.escape(c) for c in map(chr, range(0x300, 0x11_0000)) if unicodedata.category(c)[0] == "M") + "\u0130\u03a3\u1100-\u11ff]")
+
+
+def _stands_alone(text: str) -> bool:
+    """Whether no character's normal form or lower case depends on its neighbours."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return _CONTEXT.search(text) is None
+    return True
+
+
+def _words(text: str) -> list[str]:
+    """Pieces between blanks, in lower case, with lone full stops and commas cut off."""
+    text = text.lower().replace("\n", " ")
+    if _MARKS_IN_A_ROW.search(text) is None:
+        text = text.replace(". ", " . ").replace(", ", " , ")
+    return text.split(" ")
+
+
 class TextEncoder:
     """Encodes texts with one ``tokenizers`` file.
 
     Where the file's rules never look across white space, each distinct word is encoded once by the library and
-    looked up afterwards; the ids are those of the whole text. Other files are given the whole texts.
+    looked up afterwards; the ids are those of the whole text. Other files are given the whole texts, and so are
+    texts in which characters depend on their neighbours. Words are remembered in two generations: when the younger
+    is full it becomes the older, and words that are met again move back, so frequent words stay.
     """
 
-    def __init__(self, path: str, remembered: int = 600_000):
+    def __init__(self, path: str, remembered: int = 450_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.remembered = remembered
         self.words: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         with open(path, encoding="utf-8") as opened:
             rules = json.load(opened)
         self.by_words = _ignores_white_space(rules)
@@ -49,48 +76,32 @@ class TextEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_words or self.mark is None:
             return [ids.tobytes() for ids in self._library_ids(texts)]
-        pieces = [text.replace("\n", " ").split(" ") for text in texts]
-        if len(self.words) > self.remembered:
-            self.words.clear()
-        known = self.words
-        missing = {word for words in pieces for word in words if word not in known}
-        if missing:
-            self._learn(missing)
+        pieces = [_words(text) if _stands_alone(text) else None for text in texts]
+        self._learn(set().union(*(words for words in pieces if words is not None)))
         found = self.words.__getitem__
-        return [b"".join(map(found, words)) for words in pieces]
-
-    def _learn(self, missing: set[str]) -> None:
-        if len(self.stems) > self.remembered:
-            self.stems.clear()
-        parts: dict[str, tuple[str, str]] = {}
-        need: set[str] = set()
-        for word in missing:
-            body, tail = (word[:-1], word[-1]) if word[-1:] in (".", ",") else (word, "")
-            # Letters and one mark behind them are separate tokens by the split rule; case is folded letter by letter.
-            if body.isalpha() and "Σ" not in body:
-                parts[word] = (body.lower(), tail)
-            else:
-                parts[word] = (word, "")
-            need.update(part for part in parts[word] if part and part not in self.stems)
-        self._learn_stems(need)
-        stems = self.stems
-        for word, (body, tail) in parts.items():
-            self.words[word] = (stems[body] if body else b"") + (stems[tail] if tail else b"")
-
-    def _learn_stems(self, need: set[str]) -> None:
-        together = [stem for stem in need if MARK not in stem]
+        whole = iter(self._library_ids([text for text, words in zip(texts, pieces, strict=True) if words is None]))
+        return [b"".join(map(found, words)) if words is not None else next(whole).tobytes() for words in pieces]
+
+    def _learn(self, met: set[str]) -> None:
+        if len(self.words) > self.remembered:
+            self.older, self.words = self.words, {}
+        met -= self.words.keys()
+        again = met & self.older.keys()
+        self.words.update((word, self.older[word]) for word in again)
+        need = list(met - again)
+        together = [word for word in need if MARK not in word and word]
         for start in range(0, len(together), 4096):
             some = together[start : start + 4096]
             ids = self._library_ids([f" {MARK} ".join(some)])[0]
             ends = np.flatnonzero(ids == self.mark)
             if len(ends) != len(some) - 1:
-                found = self._library_ids(some)
-            else:
-                found = np.split(ids, ends)
-                found = [found[0], *(part[1:] for part in found[1:])]
-            self.stems.update((stem, part.tobytes()) for stem, part in zip(some, found, strict=True))
-        alone = [stem for stem in need if MARK in stem]
-        self.stems.update((stem, part.tobytes()) for stem, part in zip(alone, self._library_ids(alone), strict=True))
+                self.words.update((word, part.tobytes()) for word, part in zip(some, self._library_ids(some), strict=True))
+                continue
+            packed = ids.tobytes()
+            starts, stops = [0, *(4 * (ends + 1)).tolist()], [*(4 * ends).tolist(), len(packed)]
+            self.words.update(zip(some, [packed[a:b] for a, b in zip(starts, stops, strict=True)], strict=True))
+        alone = [word for word in need if MARK in word or not word]
+        self.words.update((word, part.tobytes()) for word, part in zip(alone, self._library_ids(alone), strict=True))
 
     def _library_ids(self, texts: list[str]) -> list[np.ndarray]:
         encoded = self.library.encode_batch_fast(texts, add_special_tokens=False) if texts else []
