@@ -103,7 +103,7 @@ def _rows(found: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit(
-    toxic: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, *, least_share: float = 0.002, kept: int = 20_000,
+    toxic: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, *, least_share: float = 0.002, least_ratio: float = 1.5, kept: int = 20_000,
     steps: int = 200, rate: float = 0.1, decay: float = 1e-3,
 ) -> Classifier:
     """Minimise the non-negative risk by full-batch gradient steps with adaptive rates.
@@ -118,10 +118,13 @@ def fit(
     p_terms, p_rows = _rows(toxic)
     u_terms, u_rows = _rows(unlabelled)
     in_toxic, in_all = np.bincount(p_terms, minlength=size), np.bincount(u_terms, minlength=size)
-    ratio = np.log((in_toxic + 0.5) / (len(toxic) + 1)) - np.log((in_all + 0.5) / (len(unlabelled) + 1))
+    # How often terms occur in toxic texts, and, with the toxic share taken out of the unlabelled ones, in others.
+    of_toxic, of_all = in_toxic / len(toxic), in_all / max(1, len(unlabelled))
+    of_others = np.maximum(of_all - prior * of_toxic, 0) / max(1 - prior, 1e-6)
+    ratio = np.log(of_toxic + 0.5 / len(toxic)) - np.log(of_others + 0.5 / len(toxic))
     least = max(4, least_share * (len(toxic) + len(unlabelled)))
-    strength = np.where(in_toxic + in_all >= least, np.abs(ratio) * np.sqrt(in_toxic + in_all), 0)
-    strength[np.abs(ratio) < 0.5] = 0
+    # Only terms that speak for toxicity: how much else a long text says is no evidence against it.
+    strength = np.where((in_toxic + in_all >= least) & (ratio >= least_ratio), ratio * np.sqrt(in_toxic + in_all), 0)
     chosen = np.argsort(-strength, kind="stable")[:kept]
     chosen = chosen[strength[chosen] > 0]
     place = np.full(size, -1, np.int64)
@@ -159,6 +162,7 @@ def fit(
         first = 0.9 * first + 0.1 * gradient
         second = 0.99 * second + 0.01 * gradient**2
         theta -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-6)
+        np.maximum(theta[:-1], 0, out=theta[:-1])
     weights = np.zeros(size, np.float32)
     weights[chosen] = theta[:-1]
     return Classifier(weights, float(theta[-1]))

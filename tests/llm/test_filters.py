@@ -80,7 +80,6 @@ def test_the_main_path_is_native(documents, benchmark):
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
 
-LEARN = crc_remainder("doc_id", 4) != 2
 
 
 def held_out(doc_id, divisor, rest):
