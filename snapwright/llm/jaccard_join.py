@@ -36,6 +36,8 @@ from pyspark.sql import functions as F
 from snapwright.llm.common import dense_bounds, in_batches, prepare, staged, text_values, whole_text
 from snapwright.llm.components import connected
 
+#: Buckets of text hashes by which documents that are no candidates are left out.
+BUCKETS = 1 << 20
 _SPLIT = re.compile(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -49,7 +51,7 @@ class Forest:
     trees: int = 16
     depth: int = 8
     recall: float = 0.9999
-    block: int = 2048
+    block: int = 1024
 
     @property
     def prefix(self) -> int:
@@ -385,6 +387,11 @@ def near_copies(docs: DataFrame, forest: Forest | None = None) -> DataFrame:
     placed = staged(placed, "candidates")
     sizes = staged(placed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > forest.block), "parts")
     text = docs.select(F.col("doc_id").cast("long").alias("id"), whole_text("text").alias("text"))
+    # Most documents are no candidates. They are left out by a bucket of their text's hash before any text is shuffled;
+    # there are at most ``BUCKETS`` buckets, whatever the number of candidates, so their broadcast is bounded.
+    bucket = lambda text_hash: F.pmod(text_hash, F.lit(BUCKETS)).alias("bucket")
+    buckets = F.broadcast(placed.select(bucket(F.col("text_hash"))).distinct())
+    text = text.join(buckets, bucket(F.xxhash64("text")) == F.col("bucket"), "left_semi")
     found = placed.join(text, F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("text") == F.col("text_hash")))
     work = split_hot(found.select("cid", "part", "copies", "text"), "part", sizes, forest.block)
     found = staged(verified(work, forest), "verified")
