@@ -63,8 +63,12 @@ class Forest:
 
     @property
     def agreeing(self) -> int:
-        """Equal signature bytes that a candidate needs: five standard deviations below the threshold's mean."""
+        """Equal half bytes that a candidate's signature needs: five standard deviations below the threshold's mean.
+
+        Half bytes of different values are equal by chance once in sixteen.
+        """
         n, s = self.trees * self.depth, float(self.threshold)
+        s += (1 - s) / 16
         return max(1, int(n * s - 5 * (n * s * (1 - s)) ** 0.5))
 
 
@@ -135,14 +139,20 @@ def signatures(sets: list[np.ndarray], n: int) -> np.ndarray:
     return out
 
 
+def half_bytes(values: np.ndarray) -> np.ndarray:
+    """The last half byte of every value, two to a byte."""
+    low = np.append(values, np.zeros(len(values) % 2, values.dtype)).astype(np.uint8) & 15
+    return (low[0::2] << 4) | low[1::2]
+
+
 SIGNED = "doc_id long, text_hash long, cid binary, n int, sig binary, small binary"
 
 
 def signed(docs: DataFrame, forest: Forest) -> DataFrame:
     """doc_id, text_hash, cid (digest of the shingle set; NULL without shingles), n (shingles), sig and small of every document.
 
-    ``sig`` has four bytes of every MinHash value, which prefixes are cut from; ``small`` has the last of each, which is
-    enough to compare signatures.
+    ``sig`` has four bytes of every MinHash value, which prefixes are cut from; ``small`` has the last half byte of
+    each, which is enough to compare signatures.
     """
     schema = pa.schema(
         [("doc_id", pa.int64()), ("text_hash", pa.int64()), ("cid", pa.binary()), ("n", pa.int32()), ("sig", pa.binary()), ("small", pa.binary())]
@@ -156,7 +166,7 @@ def signed(docs: DataFrame, forest: Forest) -> DataFrame:
                 if len(own):
                     values = next(made)
                     digest = hashlib.blake2b(own.tobytes(), digest_size=16).digest()
-                    yield doc_id, text_hash, digest, len(own), values.tobytes(), (values & 0xFF).astype(np.uint8).tobytes()
+                    yield doc_id, text_hash, digest, len(own), values.tobytes(), half_bytes(values).tobytes()
                 else:
                     yield doc_id, text_hash, None, 0, None, None
 
@@ -258,9 +268,15 @@ def candidate_links(classes: DataFrame, forest: Forest) -> DataFrame:
         lambda t: F.concat(F.unhex(F.lpad(F.hex(t), 4, "0")), F.substring("sig", t * width + 1, F.lit(width))),
     )
     in_trees = classes.select("cid", "n", "small", F.explode(parts).alias("part"))
-    in_trees = in_trees.select(F.substring("part", 1, 2 + kept).alias("prefix"), F.substring("part", 3 + kept, width).alias("rest"), "cid", "n", "small")
-    heads = classes.select(F.explode(parts).alias("part")).select(F.substring("part", 1, 2 + kept).alias("prefix"))
-    sizes = staged(heads.groupBy("prefix").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > forest.block), "buckets")
+    # The values behind the prefix sort a bucket; their half bytes are in ``small`` already and do as well.
+    in_trees = in_trees.select(F.substring("part", 1, 2 + kept).alias("prefix"), "cid", "n", "small")
+    # Buckets are counted by a hash of their prefix; the few that may be large are then counted by the prefix itself.
+    heads = classes.select(F.explode(parts).alias("part")).select(F.substring("part", 1, 2 + kept).alias("prefix")).withColumn("hash", F.xxhash64("prefix"))
+    large = staged(heads.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > forest.block).select("hash"), "large")
+    if not large.isEmpty():
+        large = heads.join(large, "hash", "left_semi")
+    sizes = large.groupBy("prefix") if "prefix" in large.columns else heads.limit(0).groupBy("prefix")
+    sizes = staged(sizes.agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > forest.block), "buckets")
     work = split_hot(in_trees, "prefix", sizes, forest.block)
     least, ratio = forest.agreeing, float(forest.threshold)
 
@@ -280,7 +296,8 @@ def candidate_links(classes: DataFrame, forest: Forest) -> DataFrame:
                 close = (np.minimum(n[a], n[b]) >= ratio * np.maximum(n[a], n[b]) - 1e-9) & ((side[a] == 2) | (side[a] != side[b]))
                 a, b = a[close], b[close]
                 if len(a):
-                    agree = (values[a] == values[b]).sum(1) >= least
+                    differ = values[a] ^ values[b]
+                    agree = ((differ & 0xF0) == 0).sum(1) + ((differ & 0x0F) == 0).sum(1) >= least
                     links.add(a[agree], b[agree])
             step += 1
             at = at[left[at] >= step]
@@ -297,7 +314,7 @@ def candidate_links(classes: DataFrame, forest: Forest) -> DataFrame:
             if several.any():
                 yield from in_batches(compare(table.filter(pa.array(several))), schema, lambda row: 64)
 
-    dealt = work.select("spot", "side", "rest", "cid", "n", "small").repartition("spot").sortWithinPartitions("spot", "rest").drop("rest")
+    dealt = work.select("spot", "side", "cid", "n", "small").repartition("spot").sortWithinPartitions("spot", "small")
     return dealt.mapInArrow(run, "a binary, b binary")
 
 
@@ -383,7 +400,9 @@ def near_copies(docs: DataFrame, forest: Forest | None = None) -> DataFrame:
     classes = staged(classes.select("cid", "first.doc_id", "first.text_hash", "copies", "n", "sig", "small"), "classes")
     candidates = connected(candidate_links(classes, forest))
 
-    placed = classes.select("cid", "doc_id", "text_hash", "copies").join(candidates.select(F.col("node").alias("cid"), F.col("label").alias("part")), "cid")
+    # Both joins keep one form at every size: neither side is bounded.
+    parts = candidates.select(F.col("node").alias("cid"), F.col("label").alias("part")).hint("merge")
+    placed = classes.select("cid", "doc_id", "text_hash", "copies").join(parts, "cid")
     placed = staged(placed, "candidates")
     sizes = staged(placed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > forest.block), "parts")
     text = docs.select(F.col("doc_id").cast("long").alias("id"), whole_text("text").alias("text"))
@@ -392,7 +411,7 @@ def near_copies(docs: DataFrame, forest: Forest | None = None) -> DataFrame:
     bucket = lambda text_hash: F.pmod(text_hash, F.lit(BUCKETS)).alias("bucket")
     buckets = F.broadcast(placed.select(bucket(F.col("text_hash"))).distinct())
     text = text.join(buckets, bucket(F.xxhash64("text")) == F.col("bucket"), "left_semi")
-    found = placed.join(text, F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("text") == F.col("text_hash")))
+    found = placed.hint("merge").join(text, F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("text") == F.col("text_hash")))
     work = split_hot(found.select("cid", "part", "copies", "text"), "part", sizes, forest.block)
     found = staged(verified(work, forest), "verified")
 
