@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from snapwright.sources.storage import scratch_root
 
 #: Arrow batches never hold more than this, so a run of very long texts cannot fill a Python worker.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 _DEFAULT_BATCH = "67108864b"
 
 

@@ -82,7 +82,7 @@ _WORDS = _Words()
 
 
 def word_numbers(text: str) -> np.ndarray:
-    if len(_WORDS) > 600_000:
+    if len(_WORDS) > 200_000:
         _WORDS.clear()
     words = _SPLIT.split(text.lower())
     words = words[1:] if words and not words[0] else words

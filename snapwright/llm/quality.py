@@ -68,7 +68,7 @@ class _Forms(dict):
 
 
 _FORMS = _Forms()
-_REMEMBERED = 400_000
+_REMEMBERED = 150_000
 
 
 def term_counts(text: str) -> np.ndarray:

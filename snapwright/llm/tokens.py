@@ -54,7 +54,7 @@ class TextEncoder:
     is full it becomes the older, and words that are met again move back, so frequent words stay.
     """
 
-    def __init__(self, path: str, remembered: int = 450_000):
+    def __init__(self, path: str, remembered: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 

@@ -32,7 +32,7 @@ _MARKS = re.compile(r"[^\w]+")
 class TermFinder:
     """Numbers of the terms a text contains, each once. Words are remembered, up to a bound."""
 
-    def __init__(self, remembered: int = 400_000):
+    def __init__(self, remembered: int = 100_000):
         self.known: dict[str, tuple[int, ...]] = {}
         self.remembered = remembered
 
@@ -80,7 +80,7 @@ class Classifier:
 
     def score_one(self, text: str) -> float:
         words = set(text.split())
-        if len(self._seen) > 600_000:
+        if len(self._seen) > 200_000:
             self._seen.clear()
             self._told.clear()
         new = words - self._seen
