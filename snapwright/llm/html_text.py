@@ -4,7 +4,9 @@ Events of the standard library's parser become lines (block by block), each with
 stand in it, the text inside links, and the element that holds it. The text-to-tag ratio of the lines, in page order,
 is smoothed by a Gaussian and split into two clusters by a threshold; the upper cluster marks content. The containers
 that hold most marked text are the content region, and their lines are kept, so a short paragraph between long ones
-stays. Lines inside menus, forms, notices and the like are no candidates, by their element or the words of its class
+stays. On pages with <article> or <main> the tag is a hint: where these hold at least half of the marked text they are the
+region, otherwise it is the nearest container of all marked text and of theirs. All blocks of such a region stay, those
+that are mostly links too. Lines inside menus, forms, notices and the like are no candidates, by their element or the words of its class
 and id.
 
 NULL, empty and text-free pages give the empty text. Broken markup never fails: open elements end where an enclosing one
@@ -53,9 +55,10 @@ class _Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, bool, bool, int]] = []  # tag, silent, around, container
         self.lines: list[tuple[str, int, int, int]] = []  # text, tags, characters in links, container
-        self.inside_article: set[int] = set()
+        self.parents = [0]  # of each container; the page itself is 0
+        self.article_of: dict[int, int] = {}  # container: the outermost article or main around it
         self.parts: list[str] = []
-        self.tags = self.links = self.link_depth = self.containers = 0
+        self.tags = self.links = self.link_depth = 0
 
     def _state(self) -> tuple[bool, bool, int]:
         return self.stack[-1][1:] if self.stack else (False, False, 0)
@@ -90,13 +93,13 @@ class _Lines(HTMLParser):
         if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and any(t == tag for t, *_ in self.stack[-3:]):
             self._close(tag, self.stack[-3:])
         silent, around, container = self._state()
-        within = container in self.inside_article
+        article = self.article_of.get(container)
         if tag in CONTAINERS:
-            self.containers += 1
-            container = self.containers
-            if within or tag in ("article", "main"):
-                self.inside_article.add(container)
-        if tag == "header" and within:
+            self.parents.append(container)
+            container = len(self.parents) - 1
+            if article is not None or tag in ("article", "main"):
+                self.article_of[container] = container if article is None else article
+        if tag == "header" and article is not None:
             surrounding = False  # an article's own heading
         else:
             surrounding = tag in ASIDE
@@ -170,6 +173,18 @@ def two_clusters(values: np.ndarray) -> float:
     return cut
 
 
+def region(parents: list[int], homes: list[int]) -> np.ndarray:
+    """Which containers lie in the nearest one that holds all of ``homes``, itself included."""
+    below = np.bincount(homes, minlength=len(parents)).tolist()
+    for container in range(len(parents) - 1, 0, -1):  # a parent comes before what it holds
+        below[parents[container]] += below[container]
+    nearest = max(container for container, held in enumerate(below) if held == len(homes))
+    inside = [container == nearest for container in range(len(parents))]
+    for container in range(nearest + 1, len(parents)):
+        inside[container] = inside[parents[container]]
+    return np.array(inside)
+
+
 def main_text(page: str, *, sigma: float = 1.0, link_share: float = 0.6) -> str:
     """The main text of one page."""
     start = page.rfind("<")
@@ -179,9 +194,6 @@ def main_text(page: str, *, sigma: float = 1.0, link_share: float = 0.6) -> str:
     parser.feed(page)
     parser.finish()
     lines = parser.lines
-    if parser.inside_article:
-        own = [line for line in lines if line[3] in parser.inside_article]
-        lines = own or lines
     if not lines:
         return ""
     size = np.array([len(text) for text, *_ in lines], float)
@@ -191,10 +203,17 @@ def main_text(page: str, *, sigma: float = 1.0, link_share: float = 0.6) -> str:
     smoothed = smooth(ratio, sigma)
     # Lines of one kind only (a page of one paragraph, say) form one cluster.
     content = (smoothed >= two_clusters(smoothed)) & ~linked if np.ptp(ratio) > 1e-9 else ~linked
-    if parser.inside_article and len(lines) and lines[0][3] in parser.inside_article:
-        keep = ~linked | content
+    home = np.array([container for *_, container in lines])
+    article = np.array([parser.article_of.get(container, -1) for container in home.tolist()])
+    tagged = article >= 0
+    if tagged.any() and 2 * size[content & tagged].sum() >= size[content].sum():
+        # The tag and the clusters agree: whole articles, without those that are only links beside others.
+        chosen = np.unique(article[tagged & ~linked])
+        keep = np.isin(article, chosen) if len(chosen) else tagged
+    elif tagged.any():
+        # Most marked text is elsewhere: its region, widened to the articles' own text.
+        keep = region(parser.parents, home[content | (tagged & ~linked)].tolist())[home]
     else:
-        home = np.array([container for *_, container in lines])
         marked: dict[int, float] = {}
         for container, chars in zip(home[content].tolist(), size[content].tolist(), strict=True):
             marked[container] = marked.get(container, 0.0) + chars

@@ -84,3 +84,20 @@ def test_damaged_archive_is_refused(spark, pages, tmp_path):
     path.write_bytes(gzip.compress(gzip.decompress(path.read_bytes()).replace(b"short", b"shirt")))
     with pytest.raises(Exception, match="does not match its digest"):
         warc.read_archives(spark, folder).collect()
+
+
+ARTICLES = [
+    # A linked heading, a reference list and a paragraph that is one link belong to the article.
+    ("<article><h1><a href=a>Linked heading</a></h1><p>" + "Some words of the text. " * 5 + "</p><p><a href=b>All of this is a link</a></p><ul><li><a href=c>Reference one</a></li><li><a href=d>Reference two</a></li></ul></article>",
+     "Linked heading " + "Some words of the text. " * 5 + "All of this is a link Reference one Reference two"),
+    ("<nav><a href=x>Menu</a></nav><main><p><a href=a>All of the page is a link</a></p></main>", "All of the page is a link"),
+    # The marked text lies outside the articles, which are cards of links.
+    ("<div><h2>Heading</h2><p>" + "Some words of the text. " * 5 + "</p><p>Et.</p></div><article><a href=a>A card</a></article><article><a href=b>Other card</a></article>", "Heading " + "Some words of the text. " * 5 + "Et."),
+    # A short article beside longer text is not lost to it.
+    ("<article><h1>Title</h1><p>Short.</p></article><div><p>" + "Some words of the text. " * 9 + "</p></div>", "Title Short. " + "Some words of the text. " * 9),
+]
+
+
+@pytest.mark.parametrize("html, text", ARTICLES)
+def test_clusters_choose_on_article_pages_and_links_stay(html, text):
+    assert html_text.main_text(html) == text.strip()
