@@ -2,12 +2,12 @@
 
 Events of the standard library's parser become lines (block by block), each with its text, the number of tags that
 stand in it, the text inside links, and the element that holds it. The text-to-tag ratio of the lines, in page order,
-is smoothed by a Gaussian and split into two clusters by a threshold; the upper cluster marks content. The containers
-that hold most marked text are the content region, and their lines are kept, so a short paragraph between long ones
-stays. On pages with <article> or <main> the tag is a hint: where these hold at least half of the marked text they are the
-region, otherwise it is the nearest container of all marked text and of theirs. All blocks of such a region stay, those
-that are mostly links too. Lines inside menus, forms, notices and the like are no candidates, by their element or the words of its class
-and id.
+is smoothed by a Gaussian and split into two clusters by a threshold; the upper cluster marks content. The nearest
+container that holds all marked text is the content region, with the containers around it that add more text than links.
+On pages with <article> or <main> the tag is a hint: where these hold at least half of the marked text they are the
+region, otherwise their own text counts as marked. All blocks of the region stay, short ones and those that are mostly
+links too. Lines inside menus, forms, notices and the like are no candidates, by their element or the words of its class
+and id; words that name content win, save in comment areas.
 
 NULL, empty and text-free pages give the empty text. Broken markup never fails: open elements end where an enclosing one
 ends or the page stops. Rows are independent; repeated and NULL ids and urls pass through.
@@ -41,27 +41,64 @@ AROUND = frozenset(
     "gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended "
     "recommendations widget pagination pager copyright legal disclaimer tags skip search contentinfo complementary".split()
 )
-#: An element that says it is the content is not a surrounding one, whatever else it says.
+#: An element that says it is the content is not a surrounding one, whatever else it says, unless it is a comment area.
 CONTENT = frozenset("article content main post entry story body text".split())
+COMMENTS = frozenset("comment comments commentlist reply replies respond disqus".split())
+#: First words of a name that tells a state of the element (has-sidebar, no-comments), and those of comments (comments-open).
+_STATES = frozenset("no not has with without".split())
+_COMMENT_STATES = frozenset("tag category open closed on off enabled disabled".split())
+_LAYOUT = frozenset("area wrapper wrap container inner outer column col page section region holder".split())
+#: An element's own heading: post-header.
+_OWN_HEADING = CONTENT - {"main", "body", "text"}
+#: How far text is surrounded: not, by a named wrapper, for good, or by a wrapper that an article stands in.
+FREE, WRAPPED, OUT, HELD = range(4)
 _WORDS = re.compile(r"[A-Za-z]+")
 _CUT_TAG = re.compile(r"<[A-Za-z/!?][^>]*\Z")
 _SPLIT_CASE = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
+def _is_state(words: list[str]) -> bool:
+    return words[0] in _STATES or bool(COMMENTS & set(words) and {words[0], words[-1]} & _COMMENT_STATES)
+
+
+def _names_content(words: list[str]) -> bool:
+    """main-content and content-area do; text-center and sidebar-content do not."""
+    if AROUND & set(words):
+        return False
+    return words[-1] in CONTENT or (words[0] in CONTENT - {"body", "text"} and words[-1] in _LAYOUT)
+
+
+def surrounding_by_name(tag: str, names: str, role: str) -> int:
+    """FREE, WRAPPED or OUT, by the names in class, id and role."""
+    article = tag in ("article", "main")
+    if {w.lower() for w in _WORDS.findall(role)} & AROUND and not article:
+        return OUT
+    named = [[w.lower() for w in _WORDS.findall(_SPLIT_CASE.sub(" ", name))] for name in f"{names} {role}".split()]
+    named = [words for words in named if words and not _is_state(words)]
+    every = {w for words in named for w in words}
+    says_content = any(_names_content(words) for words in named)
+    if every & COMMENTS and not (article and says_content):
+        return OUT
+    if says_content or (article and every & CONTENT) or any(words[-1] == "header" and _OWN_HEADING & set(words) for words in named):
+        return FREE
+    return WRAPPED if every & AROUND else FREE
+
+
 class _Lines(HTMLParser):
     """Collects lines from parser events."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool, bool, int]] = []  # tag, silent, around, container
+        self.stack: list[tuple[str, bool, int, int]] = []  # tag, silent, around, container
         self.lines: list[tuple[str, int, int, int]] = []  # text, tags, characters in links, container
+        self.held: set[int] = set()  # lines of articles inside a wrapper named as surrounding
         self.parents = [0]  # of each container; the page itself is 0
         self.article_of: dict[int, int] = {}  # container: the outermost article or main around it
         self.parts: list[str] = []
         self.tags = self.links = self.link_depth = 0
 
-    def _state(self) -> tuple[bool, bool, int]:
-        return self.stack[-1][1:] if self.stack else (False, False, 0)
+    def _state(self) -> tuple[bool, int, int]:
+        return self.stack[-1][1:] if self.stack else (False, FREE, 0)
 
     def _cut(self, at: int) -> None:
         """End all elements from ``at`` on, links left open among them."""
@@ -72,6 +109,8 @@ class _Lines(HTMLParser):
         silent, around, container = self._state()
         text = " ".join("".join(self.parts).split())
         if text:
+            if around == HELD:
+                self.held.add(len(self.lines))
             self.lines.append((text, self.tags, self.links, container))
         if text or silent or around:
             self.tags = 0
@@ -87,9 +126,7 @@ class _Lines(HTMLParser):
             return
         if tag in ("article", "main") and any(around and name in ASIDE for name, _, around, _ in self.stack):
             # A menu or header that was never closed ends where the article starts.
-            at = next(i for i, (_, _, around, _) in enumerate(self.stack) if around)
-            if self.stack[at][0] in ASIDE:
-                self._cut(at)
+            self._cut(next(i for i, (name, _, around, _) in enumerate(self.stack) if around and name in ASIDE))
         if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and any(t == tag for t, *_ in self.stack[-3:]):
             self._close(tag, self.stack[-3:])
         silent, around, container = self._state()
@@ -99,17 +136,20 @@ class _Lines(HTMLParser):
             container = len(self.parents) - 1
             if article is not None or tag in ("article", "main"):
                 self.article_of[container] = container if article is None else article
-        if tag == "header" and article is not None:
-            surrounding = False  # an article's own heading
+        if tag in ASIDE and not (tag == "header" and article is not None):  # an article's own heading
+            surrounding = OUT
+        elif tag in BLOCKS | {"span"} and tag not in ("html", "body"):
+            names = " ".join(v for k, v in attrs if k in ("class", "id") and v)
+            role = " ".join(v for k, v in attrs if k == "role" and v)
+            surrounding = surrounding_by_name(tag, names, role) if names or role else FREE
         else:
-            surrounding = tag in ASIDE
-        if not surrounding and tag in BLOCKS | {"span"} and tag not in ("html", "body"):
-            named = " ".join(v for k, v in attrs if k in ("class", "id", "role") and v)
-            if named:
-                words = {w.lower() for w in _WORDS.findall(_SPLIT_CASE.sub(" ", named))}
-                surrounding = bool(words & AROUND) and (tag not in ("article", "main") or not words & CONTENT)
+            surrounding = FREE
+        if around == WRAPPED and surrounding == FREE and tag in ("article", "main"):
+            around = HELD
+        elif around != OUT and surrounding != FREE:
+            around = surrounding
         self.link_depth += tag == "a"
-        self.stack.append((tag, silent or tag in SILENT, around or surrounding, container))
+        self.stack.append((tag, silent or tag in SILENT, around, container))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag == "br":
@@ -138,7 +178,7 @@ class _Lines(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         silent, around, _ = self._state()
-        if silent or around:
+        if silent or around in (WRAPPED, OUT):
             self.parts.append(" ")
             return
         self.parts.append(data)
@@ -173,16 +213,23 @@ def two_clusters(values: np.ndarray) -> float:
     return cut
 
 
-def region(parents: list[int], homes: list[int]) -> np.ndarray:
-    """Which containers lie in the nearest one that holds all of ``homes``, itself included."""
-    below = np.bincount(homes, minlength=len(parents)).tolist()
-    for container in range(len(parents) - 1, 0, -1):  # a parent comes before what it holds
-        below[parents[container]] += below[container]
-    nearest = max(container for container, held in enumerate(below) if held == len(homes))
-    inside = [container == nearest for container in range(len(parents))]
-    for container in range(nearest + 1, len(parents)):
+def region(parents: list[int], home: np.ndarray, marked: np.ndarray, size: np.ndarray, in_links: np.ndarray) -> np.ndarray:
+    """Which lines lie in the nearest container of all marked ones, widened while what joins is not mostly links.
+
+    A heading, a short section or a table row beside the marked text has no mark of its own, but belongs to it.
+    """
+    count = len(parents)
+    held, chars, links = (np.bincount(home, w, count).tolist() for w in (marked, size, in_links))
+    for container in range(count - 1, 0, -1):  # a parent comes before what it holds
+        for sums in (held, chars, links):
+            sums[parents[container]] += sums[container]
+    at = max(container for container in range(count) if held[container] == held[0])
+    while at and 2 * (links[parents[at]] - links[at]) <= chars[parents[at]] - chars[at]:
+        at = parents[at]
+    inside = [container == at for container in range(count)]
+    for container in range(at + 1, count):
         inside[container] = inside[parents[container]]
-    return np.array(inside)
+    return np.array(inside)[home]
 
 
 def main_text(page: str, *, sigma: float = 1.0, link_share: float = 0.6) -> str:
@@ -194,11 +241,17 @@ def main_text(page: str, *, sigma: float = 1.0, link_share: float = 0.6) -> str:
     parser.feed(page)
     parser.finish()
     lines = parser.lines
+    if parser.held:
+        # Such articles count where they hold more than all other text; then the wrapper is named wrongly.
+        held = sum(len(lines[i][0]) for i in parser.held)
+        if 2 * held <= sum(len(text) for text, *_ in lines):
+            lines = [line for i, line in enumerate(lines) if i not in parser.held]
     if not lines:
         return ""
     size = np.array([len(text) for text, *_ in lines], float)
     tags = np.array([max(1, n) for _, n, *_ in lines], float)
-    linked = np.array([n for _, _, n, _ in lines], float) > link_share * size
+    in_links = np.array([n for _, _, n, _ in lines], float)
+    linked = in_links > link_share * size
     ratio = np.log1p(np.where(linked, 0.0, size) / tags)
     smoothed = smooth(ratio, sigma)
     # Lines of one kind only (a page of one paragraph, say) form one cluster.
@@ -210,16 +263,10 @@ def main_text(page: str, *, sigma: float = 1.0, link_share: float = 0.6) -> str:
         # The tag and the clusters agree: whole articles, without those that are only links beside others.
         chosen = np.unique(article[tagged & ~linked])
         keep = np.isin(article, chosen) if len(chosen) else tagged
-    elif tagged.any():
-        # Most marked text is elsewhere: its region, widened to the articles' own text.
-        keep = region(parser.parents, home[content | (tagged & ~linked)].tolist())[home]
     else:
-        marked: dict[int, float] = {}
-        for container, chars in zip(home[content].tolist(), size[content].tolist(), strict=True):
-            marked[container] = marked.get(container, 0.0) + chars
-        most = max(marked.values(), default=0.0)
-        chosen = [container for container, chars in marked.items() if chars >= 0.2 * most]
-        keep = (np.isin(home, chosen) & ~linked) if chosen else ~linked
+        # The region of all marked text, widened to the own text of articles.
+        marked = content | (tagged & ~linked)
+        keep = region(parser.parents, home, marked, size, in_links) if marked.any() else marked
     return " ".join(text for (text, *_), kept in zip(lines, keep.tolist(), strict=True) if kept)
 
 

@@ -101,3 +101,27 @@ ARTICLES = [
 @pytest.mark.parametrize("html, text", ARTICLES)
 def test_clusters_choose_on_article_pages_and_links_stay(html, text):
     assert html_text.main_text(html) == text.strip()
+
+
+LONG, MORE = ("Some words of the text. " * 8).strip(), ("Other words of another part. " * 9).strip()
+LAID_OUT = [
+    # An article laid out as rows: a heading of its own, a short section, a section of links.
+    (f"<div id=top><div><h2>Heading</h2></div><div><p>{LONG}</p></div><section><p>Et.</p></section><div><a href=a>Reference</a></div><div><p>{MORE}</p></div></div><div class='cookie-notice'>We use cookies</div>", f"Heading {LONG} Et. Reference {MORE}"),
+    (f"<table><tr><td>Heading</td></tr><tr><td>{LONG}</td></tr><tr><td>Et.</td></tr><tr><td>{MORE}</td></tr></table>", f"Heading {LONG} Et. {MORE}"),
+    # The menu that no name tells bounds the region.
+    (f"<div><ul><li><a href=a>Home page</a></li><li><a href=b>Contact us</a></li></ul><div><div><h2>Heading</h2></div><div><p>{LONG}</p></div></div></div>", f"Heading {LONG}"),
+    # Words that name content win over those of what surrounds it; states are no names.
+    *((f"<div {names}><p>{LONG}</p></div>", LONG) for names in ("class='content has-sidebar'", "id='main-content' class='no-comments'", "class='sidebar-right content-area'", "class='post comments-open'", "role=main class='sidebar-left'")),
+    (f"<div><div class='post-header'><h1>Title</h1></div><p>{LONG}</p></div>", f"Title {LONG}"),
+    # Comment areas and surrounding parts stay out, whatever else they are called.
+    *((f"<div><div><p>{LONG}</p></div><div class='{name}'><p>{MORE}</p></div></div>", LONG) for name in ("comment-content", "content comments", "footer text-center", "main-nav", "sidebar-content")),
+    # An article in a wrapper that is named as surrounding is the content; cards in a sidebar are not.
+    (f"<div id='social-page'><article><h1>Title</h1><p>{LONG}</p></article></div><p>Et.</p>", f"Title {LONG}"),
+    (f"<div><p>{LONG}</p></div><div class='related'><article><p>A card</p></article></div>", LONG),
+    (f"<article><p>{LONG}</p></article><div id='comments'><article><p>{MORE} {MORE}</p></article></div>", LONG),
+]
+
+
+@pytest.mark.parametrize("html, text", LAID_OUT)
+def test_region_is_whole_and_names_are_read_one_by_one(html, text):
+    assert html_text.main_text(html) == text
