@@ -387,9 +387,13 @@ def verified(members: DataFrame, forest: Forest) -> DataFrame:
     return members.select("spot", "side", "cid", "copies", "text").repartition("spot").sortWithinPartitions("spot", "cid").mapInArrow(run, FOUND)
 
 
-def near_copies(docs: DataFrame, forest: Forest | None = None) -> DataFrame:
+def near_copies(docs: DataFrame, forest: Forest | None = None, *, kept: bool = False) -> DataFrame:
     """One row per document: doc_id, class_id (smallest id of its near-copy class), copy_id (smallest id with the same
-    shingle set) and n_links (other documents it is similar to, copies included)."""
+    shingle set) and n_links (other documents it is similar to, copies included).
+
+    With ``kept``, also the first member of its near-copy class (the smallest id, NULL last, then the smallest text hash) as
+    kept (doc_id, text_hash), NULL for texts without words.
+    """
     forest = forest or Forest()
     prepare(docs.sparkSession)
     sig = staged(signed(docs, forest), "signed")
@@ -418,27 +422,34 @@ def near_copies(docs: DataFrame, forest: Forest | None = None) -> DataFrame:
     links = found.filter(F.col("other").isNotNull()).select(F.col("cid").alias("a"), F.col("other").alias("b"))
     labels = connected(links)
     counted = found.groupBy("cid").agg(F.sum("links").alias("links"))
-    told = classes.select("cid", F.col("doc_id").alias("copy_id"), "copies")
-    named = labels.join(told.withColumnRenamed("cid", "node"), "node").groupBy("label").agg(F.min("copy_id").alias("class_id"))
-    named = labels.join(named, "label").select(F.col("node").alias("cid"), "class_id")
+    told = classes.select("cid", F.col("doc_id").alias("copy_id"), "copies", *(["text_hash"] if kept else []))
+    least = [F.min("copy_id").alias("class_id")]
+    if kept:
+        least.append(F.min(F.struct(F.col("copy_id").isNull(), F.col("copy_id").alias("doc_id"), "text_hash")).alias("least"))
+    named = labels.join(told.withColumnRenamed("cid", "node"), "node").groupBy("label").agg(*least)
+    named = labels.join(named, "label").select(F.col("node").alias("cid"), "class_id", *(["least"] if kept else []))
     told = told.join(counted, "cid", "left").join(named, "cid", "left")
-    told = staged(told.select("cid", "copy_id", F.coalesce("class_id", "copy_id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "told")
+    own = F.struct(F.col("copy_id").alias("doc_id"), "text_hash")
+    member = [F.when(F.col("least").isNull(), own).otherwise(F.struct("least.doc_id", "least.text_hash")).alias("kept")] if kept else []
+    told = staged(told.select("cid", "copy_id", F.coalesce("class_id", "copy_id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), *member), "told")
     out = sig.select("doc_id", "text_hash", "cid").join(told, "cid", "left")
     return out.select(
-        "doc_id", "text_hash", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("copy_id", "doc_id").alias("copy_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
+        "doc_id", "text_hash", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("copy_id", "doc_id").alias("copy_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), *(["kept"] if kept else [])
     )
 
 
 def distinct_documents(docs: DataFrame, forest: Forest | None = None, of: Callable[..., DataFrame] = near_copies) -> DataFrame:
     """The documents with one of each near-copy class left: that with the smallest id, all columns kept.
 
-    Of repeated rows of that id and text one stays. Documents without words all stay.
+    A NULL id comes after all others; of equal ids (or NULL ids) the text with the smallest hash stays, and of repeated rows
+    of that id and text one. Documents without words all stay.
     """
-    out = of(docs, forest)
-    drop = staged(out.filter(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct(), "dropped")
+    out = of(docs, forest, kept=True).filter(F.col("kept").isNotNull())
+    first = F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("text_hash") == F.col("kept.text_hash"))
+    drop = staged(out.filter(~first).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct(), "dropped")
     key = [docs["doc_id"].cast("long").eqNullSafe(F.col("__id")), F.xxhash64(whole_text("text")) == F.col("__hash")]
     kept = docs.join(drop, key, "left_anti")
-    again = out.filter(F.col("class_id").isNotNull() & F.col("n_links").cast("boolean")).groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+    again = out.filter(first & (F.col("n_links") > 0)).groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
     again = staged(again.agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "repeated")
     if again.isEmpty():
         return kept

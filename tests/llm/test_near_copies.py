@@ -82,6 +82,20 @@ def test_one_of_each_group_stays(awkward, spark, corpus):
     assert jj.near_copies(awkward.limit(0)).count() == 0 and jj.distinct_documents(awkward.limit(0)).count() == 0
 
 
+def test_one_stays_of_groups_with_null_or_repeated_ids(spark):
+    base, other, third, alone = (prose(seed, 120) for seed in (61, 62, 63, 64))
+    rows = [
+        (None, base), (None, base), (None, base + " more"),  # only NULL ids, exact and near copies
+        (20, other), (20, other + " more"), (20, other + " more"), (21, other),  # one id with two texts of a group
+        (None, third), (30, third + " more"), (20, alone), (None, alone + " " + prose(65, 120)), (None, "!?"), (None, "!?"),
+    ]
+    kept = [(r["doc_id"], r["text"]) for r in jj.distinct_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()]
+    assert set(kept) <= set(rows)
+    for group, ids in ((base, [None]), (other, [20]), (third, [30]), (alone + " ", [None])):
+        assert [i for i, t in kept if t.startswith(group)] == ids
+    assert kept.count((20, alone)) == 1 and kept.count((None, "!?")) == 2 and len(kept) == 7
+
+
 def test_prefix_shortens_until_the_recall_is_reached():
     for trees, recall in ((16, 0.9999), (16, 0.99), (64, 0.9999)):
         forest = jj.Forest(trees=trees, recall=recall)
