@@ -2,9 +2,10 @@
 
 1. A text becomes its set of shingles (``size`` consecutive words; a text of fewer words is one shingle). Texts with the
    same set form a class; classes, not copies, are compared.
-2. A class's MinHash signature is cut into trees. In each tree the classes are sorted by their part of the signature,
-   which lays out a prefix trie. Prefixes are shortened, from the whole part, until two classes at the threshold share one in
-   some tree with the target recall. Classes under one prefix are compared by their signatures, and those that agree
+2. A class's MinHash signature is cut into trees. This is fixed banding, not a forest of
+   tries: one prefix length for all trees, the longest with which two classes at the threshold share a prefix in some tree
+   with the target recall, follows from threshold, trees and recall alone, and buckets are hashed. Shortening a prefix by
+   the data could only stop at longer prefixes and find less. Classes under one prefix are compared by their signatures, and those that agree
    enough are linked as candidates by the fewest links that connect them.
 3. Candidates that hang together meet in one place and are verified exactly on their shingles. A class learns how many
    documents it is linked to, and verified links are passed on, again by the fewest that connect them.
