@@ -1,11 +1,11 @@
-"""Registered queries of the ten operators, with production parameters over whole tables, and their DuckDB checks."""
+"""Registered queries of the operators, with production parameters over whole tables, and their DuckDB checks."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapwright.llm import chat, decontaminate, html_text, jaccard_join, packing, quality, records, topk, toxicity, warc
+from snapwright.llm import chat, collocations, decontaminate, divergence, html_text, jaccard_join, packing, posting_lists, quality, records, topk, toxicity, warc
 from snapwright.llm.common import crc_remainder, prepare, scratch
 from snapwright.session import ship_package
 
@@ -76,9 +76,24 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"), min_docs=10, top_terms=10)
+
+
+def op12_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return posting_lists.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=30, longest=4, top=2000)
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_html_text, op2_decontaminate, op3_toxicity, op4_warc, op5_chat, op6_packing, op7_jaccard_join, op8_records, op9_quality, op10_exact_top_k)
+    for f in (
+        op1_html_text, op2_decontaminate, op3_toxicity, op4_warc, op5_chat, op6_packing, op7_jaccard_join, op8_records, op9_quality, op10_exact_top_k,
+        op11_source_divergence, op12_posting_lists, op13_collocations,
+    )
 }
 
 _WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -138,4 +153,31 @@ ORACLE = {
         s as (select query_id, vec_id, list_inner_product(qe::double[], e::double[])::bigint as score from q, v where vec_id <> query_id),
         r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
         select query_id, rank::integer as rank, vec_id, score from r where rank <= 20""",
+    "op11_source_divergence": r"""
+        with d as (select row_number() over () as i, coalesce(lang,'') as lang, coalesce(source,'') as source, regexp_extract_all(translate(coalesce(text,''),'ABCDEFGHIJKLMNOPQRSTUVWXYZ','abcdefghijklmnopqrstuvwxyz'),'[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w from documents),
+        x as (select i, lang, source, unnest(w) as term from d),
+        kept as materialized (select lang, term, count(*)::hugeint as n from x group by lang, term having count(distinct i)>=10),
+        langs as materialized (select lang, sum(n) as total, count(*)::hugeint as v from kept group by lang),
+        groups as materialized (select distinct lang, source from d),
+        c as materialized (select lang, source, term, count(*)::hugeint as n from x group by all),
+        dense as materialized (select g.lang, g.source, k.term, coalesce(c.n,0) as n, k.n as ln from groups g join kept k using (lang) left join c on c.lang=g.lang and c.source=g.source and c.term=k.term),
+        s as (select lang, source, sum(n) as total from dense group by all),
+        p as materialized (select z.lang, z.source, z.term, z.n, 1+(1000000000*(z.n+2))//(s.total+2*l.v) as p, 1+(1000000000*(z.ln+2))//(l.total+2*l.v) as q from dense z join s using (lang,source) join langs l using (lang)),
+        pair as (select a.lang, a.source, b.source as item, sum((a.p-b.p)*(a.p-b.p)//(a.p+b.p)) as value from p a join p b on a.lang=b.lang and a.term=b.term and a.source<>b.source group by all),
+        everypair as (select a.lang, a.source, 'pair' as part, b.source as item, coalesce(pair.value,0)::bigint as value from groups a join groups b on a.lang=b.lang and a.source<>b.source left join pair on pair.lang=a.lang and pair.source=a.source and pair.item=b.source),
+        t as (select lang, source, 'term' as part, term as item, ((p-q)*(p-q)//(p+q))::bigint as value from p where n>0 and p>q),
+        r as (select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from (select * from everypair union all select * from t))
+        select lang, source, part, item, value, rank::integer as rank from r where part='pair' or rank<=10""",
+    "op13_collocations": r"""
+        with p as (select coalesce(lang,'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text,''),'ABCDEFGHIJKLMNOPQRSTUVWXYZ','abcdefghijklmnopqrstuvwxyz'),'[.,;:!?\x0A-\x0D]')) as piece from documents),
+        w as materialized (select lang, list_filter(regexp_split_to_array(piece,'[\x20\x09]+'), lambda x: x <> '') as w from p),
+        sizes as (select lang, sum(len(w))::bigint as n from w group by lang),
+        f as materialized (select lang, m, g, count(*) as f from (select lang, m, unnest(list_transform(range(1, len(w)-m+2), lambda i: w[i:i+m-1])) as g from w, (values (1),(2),(3),(4)) as s(m) where len(w)>=m) group by lang, m, g having count(*)>=30),
+        c as (select * from f where m>1),
+        longer as (select lang, g, max(f) as most from (select lang, f, unnest([g[1:m-1], g[2:m]]) as g from c where m>2) group by lang, g),
+        cuts as (select c.lang, c.g, c.f as a, k, x.f as l, y.f as r, (2000000::hugeint*c.f)//(x.f+y.f) as score
+         from (select *, unnest(range(1,m)) as k from c) c join f x on x.lang=c.lang and x.g=c.g[1:k] join f y on y.lang=c.lang and y.g=c.g[k+1:c.m]),
+        best as (select * from cuts left join longer using (lang,g) where not coalesce(100*most>=80*a,false) qualify row_number() over (partition by lang,g order by score,k)=1),
+        r as (select *, array_to_string(g,' ') as phrase, row_number() over (partition by lang order by score desc,a desc,array_to_string(g,' ')) as rank from best)
+        select lang, rank, phrase, a, l, r, n, score::bigint as score from r join sizes using (lang) where rank<=2000""",
 }
