@@ -93,19 +93,24 @@ def occurrences(docs: DataFrame, items: DataFrame, *, size: int = 10) -> tuple[D
     if small:
         hits = tokens.join(F.broadcast(needed), match)
     else:
-        # Only words that start a candidate are shuffled, with their neighbourhood instead of the whole document.
+        # Words travel alone; those that start a candidate fetch their neighbourhood from the document, which is shuffled once.
         rare = needed.select("word").distinct()
+        key = ["doc_id", "text_hash"]
+        starts = tokenised.select(*key, F.posexplode("own").alias("p", "token")).join(rare, F.col("token") == F.col("word"), "left_semi").distinct()
+        texts = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"), "text").dropDuplicates(["id", "hash"])
+        fetched = starts.join(texts, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash")))
+        # The words are kept as an array of one document for all its starts, and cut for each of them before they travel on.
+        listed = fetched.groupBy(*key).agg(F.collect_list(F.struct("p", "token")).alias("starts"), F.first("text").alias("text"))
+        each = listed.withColumn("own", words(F.col("text"))).select(*key, "own", F.explode("starts").alias("s")).select(*key, "own", "s.p", "s.token")
         around = F.slice("own", F.greatest(F.col("p") + 1 - (size - 1), F.lit(1)), F.lit(2 * size - 1))
-        near = tokens.join(rare, F.col("token") == F.col("word"), "left_semi").select(
-            "doc_id", "text_hash", "p", "token", F.size("own").alias("n"), around.alias("own"), F.least(F.col("p"), F.lit(size - 1)).alias("q")
-        )
+        near = each.select(*key, "p", "token", F.size("own").alias("n"), around.alias("around"), F.least(F.col("p"), F.lit(size - 1)).alias("q"))
         local = F.col("q") - F.col("at")
         hits = near.join(
             needed,
             (F.col("token") == F.col("word"))
             & (local >= 0)
             & (F.col("p") - F.col("at") + F.col("length") <= F.col("n"))
-            & (F.slice("own", F.greatest(local + 1, F.lit(1)), F.col("length")) == F.col("gram")),
+            & (F.slice("around", F.greatest(local + 1, F.lit(1)), F.col("length")) == F.col("gram")),
         )
     return hits.select("doc_id", "text_hash", begin.alias("start"), "length", "window_id"), windows
 

@@ -4,6 +4,7 @@ Events of the standard library's parser become lines (block by block), each with
 stand in it, the text inside links, and the element that holds it. The text-to-tag ratio of the lines, in page order,
 is smoothed by a Gaussian and split into two clusters by a threshold; the upper cluster marks content. The nearest
 container that holds all marked text is the content region, with the containers around it that add more text than links.
+A legal notice at the end goes, and so does, where no <article> or <main> says what is content, a list of short links before or after all content.
 On pages with <article> or <main> the tag is a hint: where these hold at least half of the marked text they are the
 region, otherwise their own text counts as marked. All blocks of the region stay, short ones and those that are mostly
 links too. Lines inside menus, forms, notices and the like are no candidates, by their element or the words of its class
@@ -16,6 +17,7 @@ ends or the page stops. Rows are independent; repeated and NULL ids and urls pas
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from snapwright.llm.common import in_batches, prepare, whole_text
 
 #: Elements whose text is never content.
-SILENT = frozenset("script style noscript template head title svg math iframe object canvas select option textarea button datalist audio video".split())
+SILENT = frozenset("script style noscript template head title svg iframe object canvas select option textarea button datalist audio video".split())
 ASIDE = frozenset("nav footer aside form menu dialog header label fieldset search".split())
 CONTAINERS = frozenset("article main section div body td table center".split())
 BLOCKS = CONTAINERS | ASIDE | frozenset(
@@ -38,7 +40,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 AROUND = frozenset(
     "ad ads advert advertisement adverts advertising sponsor sponsored promo promotion banner nav navbar navigation menu menubar breadcrumb breadcrumbs "
     "sidebar aside footer masthead topbar toolbar header comment comments commentlist reply replies respond disqus cookie cookies consent "
-    "gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended "
+    "gdpr notice notices notification alert alertdialog dialog popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended "
     "recommendations widget pagination pager copyright legal disclaimer tags skip search contentinfo complementary".split()
 )
 #: An element that says it is the content is not a surrounding one, whatever else it says, unless it is a comment area.
@@ -50,6 +52,12 @@ _COMMENT_STATES = frozenset("tag category open closed on off enabled disabled".s
 _LAYOUT = frozenset("area wrapper wrap container inner outer column col page section region holder".split())
 #: An element's own heading: post-header.
 _OWN_HEADING = CONTENT - {"main", "body", "text"}
+#: Names that a container has for its place beside or below the content, and only as a whole.
+_BESIDE = frozenset("right rail bottom".split())
+#: How a line of legal notice begins.
+_LEGAL = re.compile(r"(©|\(c\)\s*\d{4}|copyright\s*(©|\(c\)|\d{4})|all rights reserved)", re.IGNORECASE)
+#: Most characters of such a line; and the least items of a menu and the most characters of each.
+_LEGAL_CHARS, _MENU_ITEMS, _MENU_CHARS = 200, 3, 40
 #: How far text is surrounded: not, by a named wrapper, for good, or by a wrapper that an article stands in.
 FREE, WRAPPED, OUT, HELD = range(4)
 _WORDS = re.compile(r"[A-Za-z]+")
@@ -81,7 +89,8 @@ def surrounding_by_name(tag: str, names: str, role: str) -> int:
         return OUT
     if says_content or (article and every & CONTENT) or any(words[-1] == "header" and _OWN_HEADING & set(words) for words in named):
         return FREE
-    return WRAPPED if every & AROUND else FREE
+    beside = tag in CONTAINERS and any(len(words) == 1 and words[0] in _BESIDE for words in named)
+    return WRAPPED if beside or every & AROUND else FREE
 
 
 class _Lines(HTMLParser):
@@ -90,7 +99,11 @@ class _Lines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, bool, int, int]] = []  # tag, silent, around, container
+        self.places: dict[str, list[int]] = defaultdict(list)  # of each tag, where it is open in the stack
+        self.containers: list[int] = []  # where any container is open
+        self.asides: list[int] = []  # where a menu, header or the like is open
         self.lines: list[tuple[str, int, int, int]] = []  # text, tags, characters in links, container
+        self.items: set[int] = set()  # lines inside list items
         self.held: set[int] = set()  # lines of articles inside a wrapper named as surrounding
         self.parents = [0]  # of each container; the page itself is 0
         self.article_of: dict[int, int] = {}  # container: the outermost article or main around it
@@ -102,8 +115,13 @@ class _Lines(HTMLParser):
 
     def _cut(self, at: int) -> None:
         """End all elements from ``at`` on, links left open among them."""
-        self.link_depth -= sum(tag == "a" for tag, *_ in self.stack[at:])
-        del self.stack[at:]
+        while len(self.stack) > at:
+            tag, *_ = self.stack.pop()
+            self.places[tag].pop()
+            self.link_depth -= tag == "a"
+            for held in (self.containers, self.asides):
+                if held and held[-1] == len(self.stack):
+                    held.pop()
 
     def _flush(self) -> None:
         silent, around, container = self._state()
@@ -111,6 +129,8 @@ class _Lines(HTMLParser):
         if text:
             if around == HELD:
                 self.held.add(len(self.lines))
+            if self.places["li"]:
+                self.items.add(len(self.lines))
             self.lines.append((text, self.tags, self.links, container))
         if text or silent or around:
             self.tags = 0
@@ -124,9 +144,9 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
-        if tag in ("article", "main") and any(around and name in ASIDE for name, _, around, _ in self.stack):
+        if tag in ("article", "main") and self.asides:
             # A menu or header that was never closed ends where the article starts.
-            self._cut(next(i for i, (name, _, around, _) in enumerate(self.stack) if around and name in ASIDE))
+            self._cut(self.asides[0])
         if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and any(t == tag for t, *_ in self.stack[-3:]):
             self._close(tag, self.stack[-3:])
         silent, around, container = self._state()
@@ -149,6 +169,11 @@ class _Lines(HTMLParser):
         elif around != OUT and surrounding != FREE:
             around = surrounding
         self.link_depth += tag == "a"
+        self.places[tag].append(len(self.stack))
+        if tag in CONTAINERS:
+            self.containers.append(len(self.stack))
+        if around and tag in ASIDE:
+            self.asides.append(len(self.stack))
         self.stack.append((tag, silent or tag in SILENT, around, container))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -169,12 +194,9 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag in BLOCKS:
             self._flush()
-        for at in range(len(self.stack) - 1, -1, -1):
-            if self.stack[at][0] == tag:
-                self._cut(at)
-                return
-            if tag not in BLOCKS and self.stack[at][0] in CONTAINERS:
-                return
+        # The innermost one ends, with all that is in it, unless a container opened since keeps an inline tag from reaching it.
+        if self.places[tag] and (tag in BLOCKS or not self.containers or self.containers[-1] <= self.places[tag][-1]):
+            self._cut(self.places[tag][-1])
 
     def handle_data(self, data: str) -> None:
         silent, around, _ = self._state()
@@ -232,6 +254,20 @@ def region(parents: list[int], home: np.ndarray, marked: np.ndarray, size: np.nd
     return np.array(inside)[home]
 
 
+def menus(keep: np.ndarray, content: np.ndarray, links: np.ndarray) -> np.ndarray:
+    """Runs of list items that are one short link each, before or after all content lines that are kept."""
+    found = np.zeros(len(keep), bool)
+    text = np.flatnonzero(keep & content)
+    if not len(text):
+        return found
+    edge = np.flatnonzero(keep & links)
+    for side in (edge[edge < text[0]], edge[edge > text[-1]]):
+        for run in np.split(side, np.flatnonzero(np.diff(side) > 1) + 1):
+            if len(run) >= _MENU_ITEMS:
+                found[run] = True
+    return found
+
+
 def main_text(page: str, *, sigma: float = 1.0, link_share: float = 0.6) -> str:
     """The main text of one page."""
     start = page.rfind("<")
@@ -240,12 +276,13 @@ def main_text(page: str, *, sigma: float = 1.0, link_share: float = 0.6) -> str:
     parser = _Lines()
     parser.feed(page)
     parser.finish()
-    lines = parser.lines
+    lines, items = parser.lines, [i in parser.items for i in range(len(parser.lines))]
     if parser.held:
         # Such articles count where they hold more than all other text; then the wrapper is named wrongly.
         held = sum(len(lines[i][0]) for i in parser.held)
         if 2 * held <= sum(len(text) for text, *_ in lines):
-            lines = [line for i, line in enumerate(lines) if i not in parser.held]
+            kept = [i for i in range(len(lines)) if i not in parser.held]
+            lines, items = [lines[i] for i in kept], [items[i] for i in kept]
     if not lines:
         return ""
     size = np.array([len(text) for text, *_ in lines], float)
@@ -267,6 +304,11 @@ def main_text(page: str, *, sigma: float = 1.0, link_share: float = 0.6) -> str:
         # The region of all marked text, widened to the own text of articles.
         marked = content | (tagged & ~linked)
         keep = region(parser.parents, home, marked, size, in_links) if marked.any() else marked
+        keep = keep & ~menus(keep, content, np.array(items) & (in_links >= size) & (size <= _MENU_CHARS))
+    places = np.flatnonzero(keep)
+    while len(places) and len(lines[places[-1]][0]) <= _LEGAL_CHARS and _LEGAL.match(lines[places[-1]][0]):
+        keep[places[-1]] = False  # a legal notice closes the page
+        places = places[:-1]
     return " ".join(text for (text, *_), kept in zip(lines, keep.tolist(), strict=True) if kept)
 
 

@@ -1,8 +1,9 @@
 """Text quality by nearest labelled neighbours in a latent-semantic space.
 
-Texts are counted over terms of their form (the shapes of their words, their marks, how often words repeat). The term
-counts of a bounded sample of labelled texts are weighted by rarity and factored; the leading factors span the latent
-space. The sample's vectors are broadcast (their number is a parameter, so their size is bounded), every document is
+Texts are counted over terms: their words, hashed, and their form (the shapes of words, marks, how often words repeat). In
+a run of more than ``LONG`` characters without blanks every stretch of five characters counts as a word may. The
+term counts of a bounded sample of labelled texts are weighted by rarity and factored; the leading factors span the
+latent space. The sample's vectors are broadcast (their number is a parameter, so their size is bounded), every document is
 compared with all of them in exact blocked cosine products, and its nearest neighbours vote with their similarity.
 
 NULL text is the empty text. It has no terms, is similar to none, and gets the sample's share of label 1, as do all
@@ -27,14 +28,21 @@ from pyspark.sql import functions as F
 
 from snapwright.llm.common import prepare, text_values, whole_text
 
-TERMS = 1024
+FORMS, WORDS = 1024, 2048
+TERMS = FORMS + WORDS
+#: What all words of a text weigh together beside its forms.
+WORD_WEIGHT = 0.35
+LONG, GRAM = 40, 5
 _MARKS = re.compile(r"[^\w\s]+|_+")
-_EDGE = re.compile(r"^([^\w]*)(.*?)([^\w]*)$", re.DOTALL)
+_LETTER = re.compile(r"\w")
 
 
 def shape(word: str) -> str:
     """A word's form: its letters' case, its length class, and the marks at its ends."""
-    before, body, after = _EDGE.match(word).groups()
+    first = _LETTER.search(word)
+    start = first.start() if first else len(word)
+    end = len(word) - _LETTER.search(word[::-1]).start() if first else start
+    before, body, after = word[:start], word[start:end], word[end:]
     if not body:
         kind = "-"
     elif body.isdigit():
@@ -56,14 +64,20 @@ def shape(word: str) -> str:
 
 
 def _term(name: str) -> int:
-    return zlib.crc32(name.encode("utf-8")) % TERMS
+    return zlib.crc32(name.encode("utf-8", "replace")) % FORMS
+
+
+def _word(name: str) -> int:
+    return zlib.crc32(name.lower().encode("utf-8", "replace")) % WORDS
 
 
 class _Forms(dict):
-    """The term of every word seen, up to a bound."""
+    """The terms of every word seen, up to a bound: its form, and above that its letters."""
 
     def __missing__(self, word: str) -> int:
-        term = self[word] = _term(shape(word[:64]))
+        term = _term(shape(word)) + FORMS * _word(_MARKS.sub("", word))
+        if len(word) <= LONG:
+            self[word] = term
         return term
 
 
@@ -81,7 +95,14 @@ def term_counts(text: str) -> np.ndarray:
     counts, total = Counter(words), len(words)
     terms = np.fromiter(map(_FORMS.__getitem__, counts), np.int64, len(counts))
     numbers = np.fromiter(counts.values(), np.float64, len(counts))
-    out = np.sqrt(np.bincount(terms, numbers, TERMS) / total)
+    out = np.zeros(TERMS)
+    out[:FORMS] = np.sqrt(np.bincount(terms % FORMS, numbers, FORMS) / total)
+    of_words = np.bincount(terms // FORMS, numbers, WORDS)
+    if max(map(len, counts)) > LONG:
+        for word in filter(lambda w: len(w) > LONG, counts):
+            grams = np.fromiter((_word(word[at : at + GRAM]) for at in range(len(word) - GRAM + 1)), np.int64, len(word) - GRAM + 1)
+            of_words += np.bincount(grams, minlength=WORDS) * (counts[word] / GRAM)
+    out[FORMS:] = WORD_WEIGHT * np.sqrt(of_words / of_words.sum())
     # Habits of the whole text, graded, as terms of their own.
     habits = {
         "fresh": len(counts) / total, "repeats": sum(map(eq, words, words[1:])) / total, "top": float(numbers.max()) / total,
@@ -100,6 +121,23 @@ def counts_of(texts: list[str]) -> np.ndarray:
     return np.stack([term_counts(text) for text in texts]) if texts else np.zeros((0, TERMS), np.float32)
 
 
+_ENTRY = np.dtype([("term", "<u2"), ("count", "<f4")])
+
+
+def _sparse(counts: np.ndarray) -> bytes:
+    terms = np.flatnonzero(counts)
+    out = np.empty(len(terms), _ENTRY)
+    out["term"], out["count"] = terms, counts[terms]
+    return out.tobytes()
+
+
+def _dense(entries: bytes) -> np.ndarray:
+    found = np.frombuffer(entries, _ENTRY)
+    out = np.zeros(TERMS, np.float32)
+    out[found["term"]] = found["count"]
+    return out
+
+
 @dataclass(frozen=True)
 class Neighbours:
     """The fitted space and the labelled vectors in it; a few MB by construction."""
@@ -125,6 +163,10 @@ class Neighbours:
             some = counts[at : at + block]
             similar = self.project(some) @ self.vectors.T
             near = np.argpartition(-similar, k - 1, axis=1)[:, :k]
+            # Where neighbours tie at the edge, those first in the sample vote.
+            edge = np.take_along_axis(similar, near, 1).min(1, keepdims=True)
+            tied = np.flatnonzero((similar >= edge).sum(1) > k)
+            near[tied] = np.argsort(-similar[tied], axis=1, kind="stable")[:, :k]
             weight = np.maximum(np.take_along_axis(similar, near, 1), 0) ** 4
             total = weight.sum(1)
             told = (total > 1e-9) & some.any(1)
@@ -132,6 +174,17 @@ class Neighbours:
         return np.clip(out, 0, 1)
 
 
+def leading_factors(weighted: np.ndarray, dimensions: int, turns: int = 12) -> np.ndarray:
+    """The leading right singular vectors, by subspace iteration from a fixed start."""
+    wide = min(dimensions + 16, *weighted.shape)
+    basis = np.random.default_rng(0).standard_normal((weighted.shape[1], wide)).astype(np.float32)
+    for _ in range(turns):
+        basis, _ = np.linalg.qr(weighted.T @ (weighted @ basis))
+    inner = (weighted @ basis).astype(np.float64)
+    _, turned = np.linalg.eigh(inner.T @ inner)
+    return (basis @ turned[:, ::-1][:, :dimensions]).astype(np.float32)
+
+
 def chosen_labels(labels: DataFrame, label: str, learn: Column, most: int) -> DataFrame:
     """At most ``most`` labelled ids (__id, __label), chosen by a hash of the id; ``learn`` says which may teach."""
     told = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).filter(learn)
@@ -146,9 +199,7 @@ def fit(sample: list[tuple[np.ndarray, int]], *, dimensions: int = 48, k: int =
     rarity = (np.log((1 + len(counts)) / (1 + (counts > 0).sum(0))) + 1).astype(np.float32)
     if len(labels) == 0 or len(set(labels.tolist())) < 2:
         return Neighbours(rarity, np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), labels[:0], share, k)
-    weighted = (counts * rarity).astype(np.float64)
-    values, vectors = np.linalg.eigh(weighted.T @ weighted)
-    factors = vectors[:, ::-1][:, : min(dimensions, len(counts))].astype(np.float32)
+    factors = leading_factors(counts * rarity, min(dimensions, len(counts)))
     model = Neighbours(rarity, factors, np.zeros((0, factors.shape[1]), np.float32), labels, share, k)
     return Neighbours(rarity, factors, model.project(counts).astype(np.float32), labels, share, k)
 
@@ -164,14 +215,14 @@ def train(docs: DataFrame, labels: DataFrame, *, learn: Column, label: str = "qu
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = pa.array([term_counts(text).tobytes() for text in text_values(batch.column(3))], pa.binary())
+            found = pa.array([_sparse(term_counts(text)) for text in text_values(batch.column(3))], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], found], schema=schema)
 
     texts = docs.select(F.col("doc_id").cast("long").alias("__id"), whole_text("text").alias("text"))
     joined = texts.join(F.broadcast(chosen_labels(labels, label, learn, most)), "__id").select("__id", F.xxhash64("text"), "__label", "text")
     counted = joined.mapInArrow(count, "id long, hash long, label int, counts binary")
     rows = counted.orderBy(F.xxhash64("id"), "id", "hash").limit(most).collect()
-    sample = [(np.frombuffer(row["counts"], np.float32), row["label"]) for row in rows]
+    sample = [(_dense(row["counts"]), row["label"]) for row in rows]
     return fit(sample, dimensions=dimensions, k=k)
 
 

@@ -125,3 +125,35 @@ LAID_OUT = [
 @pytest.mark.parametrize("html, text", LAID_OUT)
 def test_region_is_whole_and_names_are_read_one_by_one(html, text):
     assert html_text.main_text(html) == text
+
+
+PROSE = "".join(f"<p>Paragraph {i} has a good many words in it, as the main text of a page would have them.</p>" for i in range(5))
+WANTED = " ".join(f"Paragraph {i} has a good many words in it, as the main text of a page would have them." for i in range(5))
+
+
+@pytest.mark.parametrize(
+    "body",
+    [
+        f"<div><ul><li><a href=/>Home</a><li><a href=/a>About us</a><li><a href=/c>Contact</a></ul>{PROSE}</div>",
+        f"<div>{PROSE}</div><div id=right><p>Some sidebar text, quite long, so that it may be taken for content, alas.</p></div>",
+        f"<div>{PROSE}<p>Copyright 2024 The Company. All rights reserved.</p></div>",
+        f"<div>{PROSE}<div class=bottom>Imprint of this page</div></div>",
+        f"<article>{PROSE}<div role=dialog>We use cookies, please accept them all.</div></article>",
+        f"<article>{PROSE}<p>© 2024 Somebody</p></article>",
+    ],
+)
+def test_what_stands_around_goes(body):
+    assert html_text.main_text(f"<html><body>{body}</body></html>") == WANTED
+
+
+def test_formulas_stay():
+    assert html_text.main_text(f"<article>{PROSE}<p>The sum <math><mi>x</mi></math> is it.</p></article>").endswith("The sum x is it.")
+
+
+@pytest.mark.parametrize("page", ["<p>t</p>" + "</i>" * 100_000, "<p>t</p>" + "<b>" * 20_000 + "</i>" * 20_000, "<i><div>" + "<b>" * 20_000 + "</i>" * 20_000 + "t", "<nav>" + "<article><p>t</p>" * 20_000])
+def test_broken_markup_takes_linear_time(page):
+    import time
+
+    start = time.process_time()
+    assert html_text.main_text(page)[0] == "t"
+    assert time.process_time() - start < 3
