@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from snapwright.sources.storage import Folder
+
 Encoder = Callable[[list[str]], "list[list[float]] | np.ndarray"]
 EncoderFactory = Callable[[], Encoder]
 
@@ -185,3 +187,29 @@ def embed_distinct(
     texts = keyed.filter(F.col(text).isNotNull()).groupBy("__text_key").agg(F.any_value(F.col(text)).alias("__text"))
     vectors = embed(texts, "__text", factory, dimension=dimension, out=out, **options).drop("__text")
     return keyed.join(vectors, "__text_key", "left").drop("__text_key")
+
+
+REMEMBERED = "digest string, vector array<float>"
+
+
+def embed_remembered(
+    df: DataFrame, text: str, factory: EncoderFactory, memory: str, *, dimension: int | None, out: str = "embedding", **options
+) -> DataFrame:
+    """Like :func:`embed_distinct`, but a text that any earlier run has embedded is never sent again.
+
+    ``memory`` is a folder of (digest of the text, vector) that belongs to one encoder. Texts whose digest it holds are
+    taken out before the encoder; what the encoder returns is appended. Two runs at once may both append a text; one of its vectors is
+    taken then. The frame is read twice: pass one that is stored.
+    """
+    spark = df.sparkSession
+    keyed = df.withColumn("__text_key", F.sha2(F.col(text), 256))
+    texts = keyed.filter(F.col(text).isNotNull()).groupBy("__text_key").agg(F.any_value(F.col(text)).alias("__text"))
+    if Folder(spark, memory).names():
+        known = spark.read.schema(REMEMBERED).parquet(memory).select(F.col("digest").alias("__text_key"))
+        texts = texts.join(known, "__text_key", "left_anti")
+    fresh = embed(texts, "__text", factory, dimension=dimension, out="vector", **options)
+    fresh.select(F.col("__text_key").alias("digest"), "vector").write.mode("append").parquet(memory)
+    held = spark.read.schema(REMEMBERED).parquet(memory).groupBy(F.col("digest").alias("__text_key")).agg(F.any_value("vector").alias(out))
+    if dimension is not None:
+        held = held.withColumn(out, checked_dimension(F.col(out), dimension))
+    return keyed.join(held, "__text_key", "left").drop("__text_key")

@@ -199,6 +199,49 @@ def metadata_long(df: DataFrame, keep: Sequence[str]) -> DataFrame:
     return metadata_entries(df, keep).select(*keep, F.explode("entries").alias("e")).select(*keep, "e.*")
 
 
+def _as_variant(value: Column, data_type: T.DataType) -> Column:
+    """A value with plain leaves, map keys as text, ready to become a VARIANT object."""
+    if isinstance(data_type, T.StructType):
+        fields = [_as_variant(value.getField(f.name), f.dataType).alias(f.name) for f in data_type.fields]
+        return F.struct(*fields)
+    if isinstance(data_type, T.MapType):
+        named = F.transform_keys(value, lambda k, _: k.cast("string"))
+        return F.transform_values(named, lambda _, v: _as_variant(v, data_type.valueType))
+    return _plain(value, data_type)[0]
+
+
+def _depth(data_type: T.DataType) -> int:
+    if isinstance(data_type, T.StructType):
+        return 1 + max((_depth(f.dataType) for f in data_type.fields), default=0)
+    return 1 + _depth(data_type.valueType) if isinstance(data_type, T.MapType) else 0
+
+
+_KINDS = {"BOOLEAN": "bool", "BIGINT": "int", "FLOAT": "float", "DOUBLE": "float"}
+
+
+def metadata_variant(df: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """One row per present key, as :func:`metadata_long`, by way of Spark's VARIANT: maps of any number of keys need no columns.
+
+    Each level of nesting is one ``variant_explode``. Of fields whose flattened names are equal, all are given.
+    """
+    fields = [f for f in df.schema.fields if f.name not in keep]
+    packed = F.struct(*[_as_variant(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in fields])
+    view = df.select(*keep, F.lit(None).cast("string").alias("__key"), F.to_variant_object(packed).alias("__value"))
+    kept = ", ".join(f"t.`{name}`" for name in keep)
+    for _ in range(_depth(T.StructType(fields))):
+        # What is plain already is wrapped, so that one explode serves all.
+        view = df.sparkSession.sql(
+            f"""select {kept}, case when t.__plain then t.__key else concat_ws('_', t.__key, z.key) end as __key, z.value as __value
+from (select *, schema_of_variant(__value) not like 'OBJECT%' as __plain from {{view}} where not is_variant_null(__value)) t,
+lateral variant_explode(case when t.__plain then to_variant_object(named_struct('', t.__value)) else t.__value end) z""",
+            view=view,
+        )
+    kinds = F.create_map(*[F.lit(x) for pair in _KINDS.items() for x in pair])
+    kind = F.coalesce(F.try_element_at(kinds, F.schema_of_variant("__value")), F.lit("string"))
+    present = view.filter("not is_variant_null(__value) and schema_of_variant(__value) not like 'OBJECT%'")
+    return present.select(*keep, F.col("__key").alias("key"), F.col("__value").cast("string").alias("value"), kind.alias("value_type"))
+
+
 def _serialised(value: Column, data_type: T.DataType) -> Column:
     """Top-level value: structs, maps and arrays become JSON text.
 

@@ -206,19 +206,19 @@ def _found(best: _Best, arrow_schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     yield from found.combine_chunks().to_batches()
 
 
-def _chunk_scorer(folder: str, k: int, schema: T.StructType, block_cells: int, chunk_cells: int, cells_of=None):
+def _chunk_scorer(folder: str, k: int, schema: T.StructType, block_cells: int, chunk_cells: int, cells_of=None, columns: tuple[str, ...] = ("query_id", "query_vector")):
     """Arrow batches of (vec_id, vector) to the best k per query and block, over all queries stored in ``folder``.
 
-    ``cells_of`` gives, for unit query vectors, the queries to score in each cell.
+    ``cells_of`` gives, for a chunk of stored queries, which of them to score in each cell.
     """
     arrow_schema = to_arrow_schema(schema)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _gathered(batches, block_cells):
-            for asked in _stored_chunks(folder, chunk_cells):
+            for asked in _stored_chunks(folder, chunk_cells, columns):
                 best, matrix = _Best(k), _unit(asked.column(1))
                 query_ids = asked.column(0).to_numpy(zero_copy_only=False)
-                _score_batch(best, query_ids, matrix, block, None if cells_of is None else cells_of(matrix))
+                _score_batch(best, query_ids, matrix, block, None if cells_of is None else cells_of(asked))
                 yield from _found(best, arrow_schema)
 
     return score
@@ -239,7 +239,7 @@ def _gathered(batches: Iterator[pa.RecordBatch], cells: int) -> Iterator[pa.Reco
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def _stored_chunks(folder: str, cells: int) -> Iterator[pa.RecordBatch]:
+def _stored_chunks(folder: str, cells: int, columns: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
     """Stored queries, chunk by chunk, straight from the shared folder."""
     files, root = open_folder(folder)
     names = sorted(f.path for f in files.get_file_info(FileSelector(root)) if f.path.endswith(".parquet"))
@@ -249,7 +249,7 @@ def _stored_chunks(folder: str, cells: int) -> Iterator[pa.RecordBatch]:
             if not stored.metadata.num_rows:
                 continue
             dimension = max(1, stored.metadata.row_group(0).column(1).num_values // stored.metadata.row_group(0).num_rows)
-            yield from stored.iter_batches(batch_size=max(1, cells // dimension), columns=["query_id", "query_vector"])
+            yield from stored.iter_batches(batch_size=max(1, cells // dimension), columns=list(columns))
 
 
 def nearest_one(vectors: DataFrame, query: list[float], k: int = 5, *, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -330,7 +330,7 @@ class CellIndex:
 
         held = _few(asked, broadcast_queries)
         if held is None:
-            score = _chunk_scorer(_store_queries(asked), k, schema, BLOCK_CELLS, CHUNK_CELLS, cells_of)
+            score = _chunk_scorer(_store_queries(asked), k, schema, BLOCK_CELLS, CHUNK_CELLS, lambda asking: cells_of(_unit(asking.column(1))))
             return _final_top(kept.mapInArrow(score, schema), k)
         query_ids, matrix = held
         by_cell = cells_of(matrix) if len(query_ids) else {}
@@ -338,6 +338,101 @@ class CellIndex:
         return _final_top(kept.filter(F.col("cell").isin(read)).mapInArrow(_scorer(query_ids, matrix, k, schema, by_cell), schema), k)
 
 
+class BoundedSearch:
+    """Exact search over the cells of a :class:`CellIndex` that reads no cell which cannot hold a better neighbour.
+
+    A cell's radius is the largest angle between its centre and a vector in it. By the triangle inequality of angles no
+    vector of a cell is nearer to a query than the centre's angle less the radius, so a cell whose best possible
+    similarity is below a query's k-th best so far is left unread. Each round reads the next ``probes`` cells of every query
+    (twice as many each time), and it ends when no query has a cell left that it needs.
+
+    Queries and what they have found lie in the shared folder between rounds; per round the driver learns which cells are asked.
+    """
+
+    def __init__(self, index: CellIndex, assigned: DataFrame, *, vec_id: str = "vec_id", vector: str = "embedding", cell: str = "cell"):
+        self.index = index
+        self.rows = assigned.select(F.col(vec_id).alias("vec_id"), F.col(vector).alias("vector"), F.col(cell).alias("cell")).filter(norm(F.col("vector")) > 0)
+        centres = index.centres
+
+        @F.pandas_udf("double")
+        def away(vectors: pd.Series, cells: pd.Series) -> pd.Series:
+            near = (_unit(vectors) * centres[cells.to_numpy()]).sum(axis=1)
+            return pd.Series(np.arccos(np.clip(near, -1, 1)), index=vectors.index)
+
+        self.radii = np.full(len(centres), -np.inf)
+        for row in self.rows.groupBy("cell").agg(F.max(away("vector", "cell")).alias("radius")).collect():  # one row per centre
+            self.radii[row["cell"]] = row["radius"]
+        self.cells_read = 0.0
+
+    def nearest(self, queries: DataFrame, k: int = 5, *, probes: int = 2, query_id: str = "query_id", query_vector: str = "query_vector") -> DataFrame:
+        """(query_id, vec_id, similarity, rank) of the exact k nearest. ``cells_read`` then says which share of cells a query read."""
+        spark = self.rows.sparkSession
+        asked = queries.select(F.col(query_id).alias("query_id"), F.col(query_vector).cast("array<double>").alias("query_vector"))
+        asked = stored(asked.filter(F.col("query_vector").isNotNull()).withColumn("floor", F.lit(float("-inf"))).withColumn("from_place", F.lit(0)), "asked")
+        schema = T.StructType().add("query_id", asked.schema["query_id"].dataType).add("vec_id", self.rows.schema["vec_id"].dataType).add("similarity", T.DoubleType())
+        total, reads, found = asked.count(), 0, spark.createDataFrame([], schema)
+        upto = probes
+        while True:
+            needed = _cells_needed(self.index.centres, self.radii, upto)
+            wanted = stored(asked.mapInArrow(_asks_per_cell(needed), "cell int, n long"), "wanted").groupBy("cell").agg(F.sum("n").alias("n")).collect()
+            if not wanted:
+                break
+            reads += sum(row["n"] for row in wanted)
+            folder = f"{scratch_root(spark)}/asking"
+            asked.write.parquet(folder)
+            score = _chunk_scorer(folder, k, schema, BLOCK_CELLS, CHUNK_CELLS, _asking_by_cell(needed), ("query_id", "query_vector", "floor", "from_place"))
+            here = self.rows.filter(F.col("cell").isin([row["cell"] for row in wanted])).mapInArrow(score, schema)
+            found = stored(_final_top(found.unionByName(here), k).drop("rank"), "found")
+            floors = found.groupBy("query_id").agg(F.min("similarity").alias("last"), F.count("*").alias("n"))
+            floor = F.when(F.col("n") >= k, F.col("last")).otherwise(F.lit(float("-inf")))
+            asked = stored(asked.drop("floor", "from_place").join(floors, "query_id", "left").select("query_id", "query_vector", floor.alias("floor"), F.lit(upto).alias("from_place")), "asked")
+            if upto >= len(self.radii):
+                break
+            upto = min(3 * upto, len(self.radii))
+        self.cells_read = reads / max(1, total * len(self.radii))
+        return _final_top(found, k)
+
+
+def _best_possible(matrix: np.ndarray, centres: np.ndarray, radii: np.ndarray) -> np.ndarray:
+    """The best similarity that each cell may hold for each query; minus infinity for an empty cell and a query without direction."""
+    angle = np.arccos(np.clip(matrix @ centres.T, -1, 1))
+    best = np.cos(np.maximum(angle - radii[None, :], 0)) + 10.0**-DIGITS * 2
+    return np.where(np.isneginf(radii)[None, :] | ~matrix.any(axis=1)[:, None], -np.inf, best)
+
+
+def _cells_needed(centres: np.ndarray, radii: np.ndarray, upto: int):
+    """Which cells each query has to read among those from its place up to ``upto`` in the order of their bounds."""
+
+    def needed(batch: pa.RecordBatch) -> np.ndarray:
+        bounds = _best_possible(_unit(batch.column(1)), centres, radii)
+        order = np.argsort(-bounds, axis=1, kind="stable")
+        place = np.empty_like(order)
+        np.put_along_axis(place, order, np.broadcast_to(np.arange(order.shape[1]), order.shape), 1)
+        start, floor = batch.column(3).to_numpy()[:, None], batch.column(2).to_numpy()[:, None]
+        return (place >= start) & (place < upto) & (bounds >= floor) & np.isfinite(bounds)
+
+    return needed
+
+
+def _asks_per_cell(needed):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                asks = needed(batch).sum(axis=0)
+                cells = np.flatnonzero(asks)
+                yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), pa.array(asks[cells].astype(np.int64))], ["cell", "n"])
+
+    return count
+
+
+def _asking_by_cell(needed):
+    def cells_of(batch: pa.RecordBatch) -> dict[int, np.ndarray]:
+        asks = needed(batch)
+        return {int(c): np.flatnonzero(asks[:, c]) for c in np.flatnonzero(asks.any(axis=0))}
+
+    return cells_of
+
+
 def recall(found: DataFrame, exact: DataFrame) -> float:
     """Share of the exact neighbours that were found."""
     pairs = ["query_id", "vec_id"]

@@ -383,6 +383,9 @@ from (select r.id as resource_id, s.id as service_id, a.address_id, own.schedule
  shared.schedule_id as resource_schedule_id,
  case when s.id in (select service_id from fx_addresses_services) then a.address_id end as own_address {JOINED})""",
 )
+READING_ORDER_GLOBAL = READING_ORDER.replace("cast(row_number() over (partition by resource_id order by service_id,", "row_number() over (order by resource_id, service_id,").replace(
+    "address_id nulls last) as integer) as row_number", "address_id nulls last) as row_number"
+)
 HOURS_CHOICE = with_ctes(
     SNAPSHOT_TABLES,
     SNAPSHOT_STEPS[:-1] + [("chosen", f"select s.id as service_id, {PIECES['hours']} as hours {JOINED}")],
@@ -545,7 +548,7 @@ KNN_APPROX = with_ctes(
         (
             "scored",
             "select q.vec_id as query_id, v.vec_id, round(list_dot_product(q.e, v.e), 9) as similarity"
-            " from looked q join placed v using (cell) where q.place <= 4 or q.before < 10",
+            " from looked q join placed v using (cell) where q.place <= 8 or q.before < 10",
         ),
         ("ranked", "select *, row_number() over (partition by query_id order by similarity desc, vec_id) as rank from scored"),
     ],

@@ -12,10 +12,11 @@ from snapwright.functions.arrays import contains_all, contains_value, overlaps
 from snapwright.functions.predicates import in_box, is_active, open_at, schedule_to_json
 from snapwright.functions.text import assemble, listing, sentence
 from snapwright.operators.collection import Collection
-from snapwright.operators.embed import embed, embed_distinct, encoder
+from snapwright.operators.embed import embed, embed_distinct, embed_remembered, encoder
 from snapwright.operators.joins import without_keys
-from snapwright.operators.metadata import flatten_wide, metadata_long, serialise
-from snapwright.operators.retrieve import CellIndex, nearest, nearest_one
+from snapwright.operators.lookups import ArrayPostings, GeoCurve, OpenSlots
+from snapwright.operators.metadata import flatten_wide, metadata_long, metadata_variant, serialise
+from snapwright.operators.retrieve import BoundedSearch, CellIndex, nearest, nearest_one
 from snapwright.operators.rollups import (
     category_arrays,
     document_text,
@@ -32,10 +33,12 @@ from snapwright.plans.run import Settings, embedded_snapshot, snapshot_table
 from snapwright.plans.run import run as run_once
 from snapwright.plans.snapshot import (
     CORE_CATEGORIES,
+    KEY_COLUMN,
     WHITE_LABELS,
     build_snapshot,
     changed_services,
     deleted_ids,
+    in_reading_order,
     joined_rows,
     numbered_in_order,
     resource_wide,
@@ -241,6 +244,13 @@ def reading_order_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("resource_id", "service_id", "address_id", "service_schedule_id", "resource_schedule_id", "row_number")
 
 
+@register("reading_order_global", O.READING_ORDER_GLOBAL)
+def reading_order_global(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every row in the whole result, in reading order."""
+    rows = in_reading_order(joined_rows(fixture_catalog(spark, sf_dir)))
+    return rows.select("resource_id", "service_id", "address_id", "service_schedule_id", "resource_schedule_id", "row_number")
+
+
 @register("hours_choice", O.HOURS_CHOICE)
 def hours_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = joined_rows(fixture_catalog(spark, sf_dir)).withColumn("hours", hours_sentence())
@@ -377,6 +387,25 @@ def stream_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("stream_state", O.STREAM_REFRESH)
+def stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same changes, brought twice and the second time late, by a stream that keeps each service's newest time in its state."""
+    cat = fixture_catalog(spark, sf_dir)
+    root = scratch_root(spark)
+    table = snapshot_table(spark, f"{root}/table", CHECK_SETTINGS)
+    earlier = earlier_services(spark, sf_dir)
+    table.publish_all(embedded_snapshot(build_snapshot(cat.replacing(services=earlier)), CHECK_SETTINGS))
+    changes = cat["services"].filter(F.col("updated_at") > F.lit(O.WATERMARK).cast("timestamp_ntz"))
+    # Of every changed service the feed also brings what it was before.
+    before = F.when(F.col("id") % 2 == 0, F.lit(O.WATERMARK).cast("timestamp_ntz") - F.expr("interval 1 day"))
+    late = earlier.join(changes.select("id"), "id", "left_semi").withColumn("updated_at", before).select(*changes.columns)
+    for batch in (changes, late):
+        batch.write.mode("append").parquet(f"{root}/feed")
+        feed = spark.readStream.schema(changes.schema).parquet(f"{root}/feed")
+        refresh(feed, cat, table, CHECK_SETTINGS, f"{root}/checkpoint", stateful=True).awaitTermination()
+    return table.read().groupBy("service_id").agg(F.count("*").alias("n_rows"), F.max("embedding_text").alias("last_text"))
+
+
 @register("stream_two_feeds", O.STREAM_REFRESH)
 def stream_two_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same changes by two streams into one table, each starting at its own batch 0."""
@@ -419,6 +448,15 @@ def embed_distinct_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slot_rows(embedded, "conv_id", "turn")
 
 
+@register("embed_remembered", O.EMBED_DISTINCT)
+def embed_remembered_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same after an earlier run over a part of the table, whose vectors are not made again."""
+    turns = base_table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    options = {"factory": encoder("hashed", **HASHED), "memory": f"{scratch_root(spark)}/vectors", "dimension": O.DIMENSION}
+    embed_remembered(turns.filter(F.col("turn") == 0), "text", **options)
+    return slot_rows(embed_remembered(turns, "text", **options), "conv_id", "turn")
+
+
 @register("embed_dim_check", O.EMBED_DIM_CHECK)
 def embed_dim_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = base_table(spark, sf_dir, "pages").select("page_id", "html")
@@ -487,11 +525,20 @@ def knn_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("knn_approx", O.KNN_APPROX)
 def knn_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every vector as a query, in its four nearest of the cells around the labels' means."""
+    """Every vector as a query, in its eight nearest of the cells around the labels' means."""
     vectors = base_table(spark, sf_dir, "embeddings")
     centres = label_queries(vectors).orderBy("query_id").collect()  # one row per label
     index = CellIndex([row["query_vector"] for row in centres])
-    return hits(index.nearest(index.assign(vectors), every_vector(vectors), 10, probes=4))
+    return hits(index.nearest(index.assign(vectors), every_vector(vectors), 10, probes=8))
+
+
+@register("knn_bounded", O.KNN_ALL_PAIRS)
+def knn_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector as a query, exactly, leaving out cells that cannot hold a nearer one."""
+    vectors = base_table(spark, sf_dir, "embeddings")
+    centres = label_queries(vectors).orderBy("query_id").collect()  # one row per label
+    index = CellIndex([row["query_vector"] for row in centres])
+    return hits(BoundedSearch(index, index.assign(vectors)).nearest(every_vector(vectors), 10, probes=4))
 
 
 _PUBLISHED: dict[tuple[str, str], str] = {}
@@ -530,6 +577,38 @@ def array_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flagged.filter("member or overlap or contained")
 
 
+@register("array_postings", O.ARRAY_FILTER)
+def array_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows by postings of the arrays' values: member and overlap are unions, containment counts matches."""
+    rows = published(spark, sf_dir)
+    columns = ["eligibility_age", "eligibility_health", "eligibility_all"]
+    postings = ArrayPostings.build(rows, columns, f"{scratch_root(spark)}/postings", key=KEY_COLUMN)
+    asked = {
+        "member": postings.having_any("eligibility_age", ["Youth (below 21 years old)"]),
+        "overlap": postings.having_any("eligibility_health", ["Pregnant", "Mental Illness"]),
+        "contained": postings.having_all("eligibility_all", ["Uninsured", "Refugees"]),
+    }
+    found = reduce(DataFrame.unionByName, [keys.select(KEY_COLUMN, *[F.lit(n == name).alias(n) for n in asked]) for name, keys in asked.items()])
+    flags = found.groupBy(KEY_COLUMN).agg(*[F.bool_or(n).alias(n) for n in asked])
+    return rows.select(KEY_COLUMN, "service_id", "address_id").join(flags, KEY_COLUMN).drop(KEY_COLUMN)
+
+
+@register("geo_curve", O.GEO_BOX)
+def geo_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same box over rows laid out along a curve through their coordinates."""
+    rows = published(spark, sf_dir).select(KEY_COLUMN, "service_id", "address_id", "latitude", "longitude")
+    inside = GeoCurve.build(rows, f"{scratch_root(spark)}/curve", key=KEY_COLUMN).in_box(37.2, 37.6, -122.5, -122.1)
+    return inside.select("service_id", "address_id", F.col("latitude").cast("double").alias("latitude"), F.col("longitude").cast("double").alias("longitude"))
+
+
+@register("open_slots", O.OPEN_AT)
+def open_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows by the slot of the week that the asked minute lies in."""
+    rows = published(spark, sf_dir)
+    keys = OpenSlots.build(rows, f"{scratch_root(spark)}/slots", key=KEY_COLUMN).open_at("Thursday", 945)
+    return rows.join(keys, KEY_COLUMN, "left_semi").select("service_id", "address_id", schedule_to_json(F.col("schedule")).alias("schedule"))
+
+
 @register("geo_box", O.GEO_BOX)
 def geo_box(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = published(spark, sf_dir)
@@ -557,6 +636,13 @@ def service_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("resource_lookup", O.SERVICE_LOOKUP)
+def resource_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows, the two ids looked up apart: one by the files' ranges, one by their Bloom filters."""
+    rows = published(spark, sf_dir).select("service_id", "resource_id", "address_id", "embedding_text")
+    return rows.filter(F.col("resource_id") == 5).unionByName(rows.filter((F.col("service_id") == 42) & ~F.col("resource_id").eqNullSafe(5)))
+
+
 @register("collection_roundtrip", O.COLLECTION_ROUNDTRIP)
 def collection_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents stored with metadata, then searched by text with a metadata filter."""
@@ -647,6 +733,12 @@ def metadata_key_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metadata_long(nested_metadata(spark, sf_dir), ["doc_id"])
 
 
+@register("metadata_variant", O.METADATA_ENTRIES)
+def metadata_by_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same entries by way of VARIANT values."""
+    return metadata_variant(nested_metadata(spark, sf_dir), ["doc_id"])
+
+
 @register("metadata_serialised", O.METADATA_SERIALISED)
 def metadata_serialised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serialise(nested_metadata(spark, sf_dir), ["doc_id"])

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapwright.operators.embed import EncoderFactory, embed, embed_distinct, encoder, remote, retrying
+from snapwright.operators.embed import EncoderFactory, embed, embed_distinct, embed_remembered, encoder, remote, retrying
 from snapwright.plans.snapshot import (
     KEY_COLUMN,
     build_snapshot,
@@ -30,6 +30,7 @@ class Settings:
     ``provider`` names a registered encoder, or is ``module:function``. ``texts_per_second`` limits the whole job;
     its tasks share it, so it needs ``tasks``. Throttled calls are always retried. ``distinct_texts`` sends each
     different text once; by default it does so for every encoder but the offline one, which costs less than the search.
+    ``memory`` is a folder that keeps every vector between runs, so that only texts never met are sent.
     """
 
     provider: str = "hashed"
@@ -40,6 +41,7 @@ class Settings:
     snapshot_options: dict = field(default_factory=dict)
     texts_per_second: float | None = None
     distinct_texts: bool | None = None
+    memory: str | None = None
 
     def factory(self) -> EncoderFactory:
         options = self.provider_options or ({"dimension": self.dimension} if self.provider == "hashed" else {})
@@ -62,12 +64,14 @@ def stored_schema(settings: Settings) -> T.StructType:
 
 
 def snapshot_table(spark: SparkSession, root: str, settings: Settings) -> PublishedTable:
-    return PublishedTable(spark, root, stored_schema(settings), "service_id", reading_order())
+    return PublishedTable(spark, root, stored_schema(settings), "service_id", reading_order(), blooms=("service_id", "resource_id"))
 
 
 def embedded_snapshot(snapshot: DataFrame, settings: Settings) -> DataFrame:
     options = {"dimension": settings.dimension, "batch_size": settings.batch_size, "tasks": settings.tasks}
-    if settings.once_per_text:
+    if settings.memory is not None:
+        embedded = embed_remembered(stored(snapshot, "snapshot"), "embedding_text", settings.factory(), settings.memory, **options)
+    elif settings.once_per_text:
         # Read twice, for its texts and for its rows, so it is built once.
         embedded = embed_distinct(stored(snapshot, "snapshot"), "embedding_text", settings.factory(), **options)
     else:

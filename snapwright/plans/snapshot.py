@@ -106,6 +106,32 @@ def numbered_in_order(rows: DataFrame) -> DataFrame:
     return rows.withColumn("row_number", F.row_number().over(Window.partitionBy("resource_id").orderBy(*order)))
 
 
+def numbered_globally(rows: DataFrame, order: Sequence[Column], name: str = "row_number") -> DataFrame:
+    """``rows`` with their place in one order over the whole table, from 1.
+
+    Ranges of the order are sorted and stored side by side, each row with its place in its range. The ranges' sizes, one
+    number each, are summed on the driver, and a row's number is its place after all earlier ranges. Rows that are equal in all of
+    ``order`` are numbered among themselves in any order.
+    """
+    place = F.monotonically_increasing_id()
+    sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    # The upper bits name the range, the lower 33 the place in it.
+    kept = stored(sorted_rows.withColumn("__range", F.shiftright(place, 33).cast("int")).withColumn("__place", place.bitwiseAND(F.lit((1 << 33) - 1))), "ranges")
+    before, starts = 0, []
+    for row in kept.groupBy("__range").count().orderBy("__range").collect():
+        starts.append((row["__range"], before))
+        before += row["count"]
+    base = kept.sparkSession.createDataFrame(starts, "__range int, __before long")
+    numbered = kept.join(F.broadcast(base), "__range")
+    return numbered.withColumn(name, F.col("__before") + F.col("__place") + 1).drop("__range", "__place", "__before")
+
+
+def in_reading_order(rows: DataFrame) -> DataFrame:
+    """Rows of :func:`joined_rows` numbered in reading order over all resources; equal places go by the schedules' ids."""
+    names = (*ORDER_COLUMNS, "service_schedule_id", "resource_schedule_id", "address_id")
+    return numbered_globally(rows, [F.col(name).asc_nulls_last() for name in names])
+
+
 def changed_services(services: DataFrame, since: datetime | str) -> DataFrame:
     return services.filter(is_active(F.col("status")) & changed_since(F.col("updated_at"), since))
 

@@ -15,14 +15,15 @@ which a repeated batch is recognised whatever else was published in between.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapwright.sources.storage import Folder
+from snapwright.sources.storage import Folder, bloom_options, stored
 
 MERGE_AFTER = 8
 COMMIT_NAME = "{:012d}.json"
@@ -52,14 +53,19 @@ REPORT_SCHEMA = (
 
 
 class PublishedTable:
-    """``key`` is the id column whose rows an incremental publish replaces."""
+    """``key`` is the id column whose rows an incremental publish replaces.
 
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, key: str, order: list[Column] | None = None):
+    Files hold ranges of the key. ``blooms`` names columns that get a Bloom filter in every row group, so that a lookup by
+    another id skips most of them.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, key: str, order: list[Column] | None = None, blooms: Sequence[str] = ()):
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema = schema
         self.key = key
         self.order = order or [F.col(key).asc_nulls_last()]
+        self.blooms = tuple(blooms)
         self._commits = Folder(spark, f"{self.root}/commits")
 
     # -- reading -------------------------------------------------------------------------------
@@ -134,13 +140,16 @@ class PublishedTable:
     def _new_path(self, kind: str) -> str:
         return f"{self.root}/{kind}/{uuid.uuid4().hex}"
 
-    def _write_rows(self, rows: DataFrame) -> str:
-        path = self._new_path("rows")
-        rows = rows.select(*self.schema.names)
-        # Equal keys are told apart by their place, so one key with very many rows still spreads over ranges.
+    def _write_rows(self, rows: DataFrame) -> tuple[str, int]:
+        """Path and number of the rows written. The number is observed by the write itself."""
+        path, seen = self._new_path("rows"), Observation()
+        rows = rows.select(*self.schema.names).observe(seen, F.count(F.lit(1)).alias("n"))
+        # Choosing ranges reads its input once before it is written, so rows that are dear to make (embedded texts) are stored first.
+        rows = stored(rows, "fresh")
+        # Equal keys are told apart by their place in the stored files, which a repeated task finds again, so one key with very many rows still spreads over ranges.
         spread = rows.withColumn("__place", F.monotonically_increasing_id()).repartitionByRange(F.col(self.key), F.col("__place"))
-        spread.drop("__place").sortWithinPartitions(self.key, *self.order).write.parquet(path)
-        return path
+        spread.drop("__place").sortWithinPartitions(self.key, *self.order).write.options(**bloom_options(self.blooms)).parquet(path)
+        return path, seen.get["n"]
 
     def _finish(
         self, base: Commit, segments: list[dict], watermark, report: dict, feeds: dict | None = None, fresh: str | None = None
@@ -150,14 +159,10 @@ class PublishedTable:
         self._commits.create_json(COMMIT_NAME.format(commit.number), commit.to_json())
         return commit
 
-    def _count(self, path: str) -> int:
-        return self.spark.read.schema(self.schema).parquet(path).count()
-
     def publish_all(self, rows: DataFrame, *, watermark: str | None = None, batch_size: int = 25) -> Commit:
         """Replace the whole table."""
         base = self.latest()
-        path = self._write_rows(rows)
-        total = self._count(path)
+        path, total = self._write_rows(rows)
         return self._finish(base, [{"rows": path, "n": total}], watermark, run_report(total, batch_size, "full"), fresh=path)
 
     def publish_changes(
@@ -176,11 +181,10 @@ class PublishedTable:
         base = self.latest()
         if feed is not None and dict(base.feeds).get(feed[0], -1) >= feed[1]:
             return base
-        fresh_path = self._write_rows(fresh)
+        fresh_path, total = self._write_rows(fresh)
         written = self.spark.read.schema(self.schema).parquet(fresh_path)
         gone_path = self._new_path("replaced")
         stale_ids(written.select(self.key), removed.select(self.key), self.key).write.parquet(gone_path)
-        total = written.count()
         segments = [*base.segments, {"rows": fresh_path, "replaced": gone_path, "n": total}]
         report = run_report(total, batch_size, "incremental")
         report["removed_ids"] = self.spark.read.parquet(gone_path).count()
@@ -193,8 +197,8 @@ class PublishedTable:
         """The two neighbours with the fewest rows as one segment; what both replace in older ones is kept."""
         at = min(range(len(segments) - 1), key=lambda i: segments[i]["n"] + segments[i + 1]["n"])
         pair = segments[at : at + 2]
-        path = self._write_rows(self.read(Commit(-1, tuple(pair))))
-        merged = {"rows": path, "n": self._count(path)}
+        path, total = self._write_rows(self.read(Commit(-1, tuple(pair))))
+        merged = {"rows": path, "n": total}
         if at:
             gone = self._new_path("replaced")
             ids = [self.spark.read.parquet(s["replaced"]).select(self.key) for s in pair]

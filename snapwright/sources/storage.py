@@ -10,6 +10,7 @@ import json
 import re
 import tempfile
 import uuid
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JJavaError
@@ -43,6 +44,15 @@ def stored_together(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
         return dict(zip(frames, pool.map(stored, frames.values(), frames), strict=True))
 
 
+def bloom_options(columns: Sequence[str], distinct: int = 1_000_000) -> dict[str, str]:
+    """Writer options for Bloom filters of some columns, sized for ``distinct`` values a row group."""
+    options = {}
+    for column in columns:
+        options[f"parquet.bloom.filter.enabled#{column}"] = "true"
+        options[f"parquet.bloom.filter.expected.ndv#{column}"] = str(distinct)
+    return options
+
+
 def open_folder(uri: str) -> tuple[FileSystem, str]:
     """Arrow file system and path of a folder, for reading it inside tasks."""
     return FileSystem.from_uri(uri) if ":" in uri else (LocalFileSystem(), uri)

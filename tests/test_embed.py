@@ -151,3 +151,29 @@ def test_long_text_is_used_whole(spark):
     long = " ".join(["word"] * 50_000 + ["end"])
     row = embed(texts(spark, long), "text", encoder("hashed", dimension=16), dimension=16).head()
     assert np.allclose(row.embedding, hashed_counts([long], 16)[0]) and np.count_nonzero(row.embedding) == 2
+
+
+def test_a_second_run_sends_only_new_texts(spark, tmp_path):
+    from snapwright.operators.embed import embed_remembered
+
+    sent = spark.sparkContext.accumulator(0)
+
+    def factory():
+        def encode(texts):
+            sent.add(len(texts))
+            return [[float(len(t)), 1.0] for t in texts]
+
+        return encode
+
+    memory = str(tmp_path / "memory")
+    rows = lambda names: spark.createDataFrame([(i, n) for i, n in enumerate(names)], "id long, text string")
+
+    def run(names):
+        found = embed_remembered(rows(names), "text", factory, memory, dimension=2).collect()
+        assert {(r["id"], r["text"], None if r["embedding"] is None else r["embedding"][0]) for r in found} == {(i, n, None if n is None else len(n)) for i, n in enumerate(names)}
+        return sent.value
+
+    assert run(["a", "bb", "a", None]) == 2
+    assert run(["a", "ccc", "bb", "ccc"]) == 3
+    assert run(["a", None]) == 3
+    assert run([]) == 3

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from snapwright.operators import retrieve
 from snapwright.operators.collection import Collection
 from snapwright.operators.embed import encoder
-from snapwright.operators.retrieve import CellIndex, nearest, nearest_one, recall
+from snapwright.operators.retrieve import BoundedSearch, CellIndex, nearest, nearest_one, recall
 
 
 def frame(spark, vectors, name="vec_id", column="embedding"):
@@ -97,6 +97,28 @@ def test_approximate_recall_and_joined_form(spark, data):
     assert listed(held) == listed(joined)
 
 
+def test_registered_search_holds_nine_tenths_of_the_neighbours(spark, sf_dir):
+    from snapwright.plans.queries import QUERIES
+
+    assert recall(QUERIES["knn_approx"](spark, sf_dir), QUERIES["knn_all_pairs"](spark, sf_dir)) >= 0.9
+
+
+def test_bounded_search_is_exact_and_leaves_cells_unread(spark, data):
+    vectors, queries = data
+    rng = np.random.default_rng(8)
+    middles = rng.normal(size=(9, 12)) * 4
+    tight = [*(middles[i % 9] + rng.normal(size=12) * 0.2 for i in range(900)), np.zeros(12), *vectors]
+    stored, asked = frame(spark, tight), frame(spark, [*middles[:4], *queries, np.zeros(12)], "query_id", "query_vector")
+    search = BoundedSearch(CellIndex(np.array(middles)), CellIndex(np.array(middles)).assign(stored))
+    assert listed(search.nearest(asked, 10, probes=1)) == listed(nearest(stored, asked, 10))
+    assert search.nearest(asked.filter("query_id < 4"), 10, probes=1).count() == 40 and search.cells_read < 0.9
+    far = search.nearest(asked.limit(0), 10)
+    assert far.count() == 0
+    # More neighbours than there are rows: all cells are read.
+    few = BoundedSearch(CellIndex(np.array(middles)), CellIndex(np.array(middles)).assign(stored.limit(30)))
+    assert listed(few.nearest(asked, 50, probes=1)) == listed(nearest(stored.limit(30), asked, 50))
+
+
 def test_probed_cells_prune_the_stored_folders(spark, data, tmp_path):
     stored = frame(spark, data[0])
     index = CellIndex.train(stored, 6)
