@@ -3,8 +3,8 @@
 A turn's text is escaped, encoded on its own, and framed by reserved ids; so no text, whatever it says, can produce a
 control token, and no merge crosses a frame. The mask is the running sum of +1 where a trained segment starts and -1
 where it ends. Positions inside a conversation are running sums of the turns' lengths. Each turn is one row of the
-output, so a conversation of any length is spread over tasks; only the final digest runs through a conversation in order, as
-a stream.
+output, and encoding is spread by turn. Numbering a conversation's turns and the final digest run through it in order, as a
+sorted stream in one task: nothing of it is held, but a conversation with a large share of all turns takes that task long.
 
 The text form of the template is ``<s>`` and then, for each turn, ``[INST] ... [/INST]`` (user), ``[SYS] ... [/SYS]``
 (system), the text and ``</s>`` (assistant), ``[ROLE] name [/ROLE] ... </s>`` (any other role), here written without the
@@ -12,7 +12,7 @@ blanks around the dots. Control strings inside texts get a backslash behind thei
 are doubled, which is undone on reading.
 
 NULL text and NULL role are empty. NULL conv_id is one conversation of its own. Turns go by turn (NULL first), equal
-ones by role and text; repeated rows are repeated turns. An empty table gives an empty result. Other columns are ignored.
+ones by role and a hash of the text; repeated rows are repeated turns. An empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
