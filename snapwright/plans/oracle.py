@@ -121,90 +121,118 @@ from fx_schedules s join fx_schedule_days d on d.schedule_id = s.id
 group by s.id, s.service_id, s.resource_id, s.hours_known""",
 )
 
-ADDRESS = ("address_1", "address_2", "city", "state_province", "postal_code", "latitude", "longitude")
+# -- the snapshot, from what it is --------------------------------------------------------------------
+# A visit is one row of the snapshot: a service at one of its places, under one of its own schedules and one of its
+# organisation's. Whatever is said belongs to an owner (a service, an organisation, an address, ...) and has a place in the
+# text. A visit's text is all that its owners say, in the order of places; where two owners speak at one place, the
+# visit's first choice is heard.
+
+# The order of places and the wording.
+PLACES = (
+    "organisation organisation_type organisation_short organisation_long service service_short service_long program categories eligibility"
+    " eligibility_tags how_to_apply required_documents fee wait_time interpretation hours location phone email website instructions related_documents"
+).split()
+
+# Table and what each of its rows says, by owner; the owner's id is the first expression.
+SAYINGS = [
+    (
+        "organisation", "id", "fx_resources",
+        {
+            "organisation": "name || coalesce(', also known as ' || alternate_name, '') || '.'",
+            "organisation_type": "'Organization type: ' || legal_status || '.'",
+            "organisation_short": "short_description",
+            "organisation_long": "long_description",
+            "email": "'Email: ' || email || '.'",
+            "website": "'Website: ' || website || '.'",
+        },
+    ),
+    ("organisation", "resource_id", "phone_rollup", {"phone": "'Phone: ' || phone_text || '.'"}),
+    (
+        "service", "id", "{services}",
+        {
+            "service": "'Service: ' || coalesce(name, 'Unnamed Service') || coalesce(' (also known as ' || alternate_name || ')', '') || '.'",
+            "service_short": "short_description",
+            "service_long": "long_description",
+            "eligibility": "'Eligibility: ' || eligibility || '.'",
+            "how_to_apply": "'How to apply: ' || application_process",
+            "required_documents": "'Required documents: ' || required_documents || '.'",
+            "fee": "'Fee: ' || fee || '.'",
+            "wait_time": "'Wait time: ' || wait_time || '.'",
+            "interpretation": "'Interpretation services available: ' || interpretation_services || '.'",
+            "email": "'Email: ' || email || '.'",
+            "website": "'Service website: ' || url || '.'",
+        },
+    ),
+    ("service", "service_id", "core", {"categories": "case when len(category_names) > 0 then 'Categories: ' || coalesce(array_to_string(category_names, ', '), '') || '.' end"}),
+    (
+        "service", "service_id", "eligibility_arrays",
+        {"eligibility_tags": "case when len(eligibility_all) > 0 then 'Who this service is for: ' || coalesce(array_to_string(eligibility_all, ', '), '') || '.' end"},
+    ),
+    ("service", "service_id", "instruction_rollup", {"instructions": "'Instructions: ' || instructions_text || '.'"}),
+    ("service", "service_id", "document_rollup", {"related_documents": "'Related documents: ' || documents_text || '.'"}),
+    ("program", "id", "fx_programs", {"program": "'Program: ' || name || coalesce(' (' || alternate_name || ')', '') || coalesce('. ' || description, '') || '.'"}),
+    ("address", "id", "fx_addresses", {"location": "'Location: ' || address_1 || coalesce(', ' || address_2, '') || ', ' || city || ', ' || state_province || ' ' || postal_code || '.'"}),
+    ("schedule", "schedule_id", "schedule_rollup", {"hours": "'Hours: ' || said"}),
+]
 
-ADDRESS_ROWS = (
-    "address_rows",
-    f"""
-select l.service_id, a.id as address_id, {', '.join('a.' + c for c in ADDRESS)}
-from fx_addresses_services l join fx_addresses a on a.id = l.address_id
-union all
-select s.id, a.id, {', '.join('a.' + c for c in ADDRESS)}
-from fx_services s join fx_addresses a on a.resource_id = s.resource_id
-where s.id not in (select service_id from fx_addresses_services)""",
-)
-
-# Piece name -> DuckDB text expression over the joined row below.
-PIECES: dict[str, str] = {
-    "organisation": "r.name || coalesce(', also known as ' || r.alternate_name, '') || '.'",
-    "organisation_type": "'Organization type: ' || r.legal_status || '.'",
-    "organisation_short": "r.short_description",
-    "organisation_long": "r.long_description",
-    "service": "'Service: ' || coalesce(s.name, 'Unnamed Service')"
-    " || coalesce(' (also known as ' || s.alternate_name || ')', '') || '.'",
-    "service_short": "s.short_description",
-    "service_long": "s.long_description",
-    "program": "'Program: ' || p.name || coalesce(' (' || p.alternate_name || ')', '')"
-    " || coalesce('. ' || p.description, '') || '.'",
-    "categories": "case when len(f.category_names) > 0"
-    " then 'Categories: ' || coalesce(array_to_string(f.category_names, ', '), '') || '.' end",
-    "eligibility": "'Eligibility: ' || s.eligibility || '.'",
-    "eligibility_tags": "case when len(f.eligibility_all) > 0 then"
-    " 'Who this service is for: ' || coalesce(array_to_string(f.eligibility_all, ', '), '') || '.' end",
-    "how_to_apply": "'How to apply: ' || s.application_process",
-    "required_documents": "'Required documents: ' || s.required_documents || '.'",
-    "fee": "'Fee: ' || s.fee || '.'",
-    "wait_time": "'Wait time: ' || s.wait_time || '.'",
-    "interpretation": "'Interpretation services available: ' || s.interpretation_services || '.'",
-    "hours": "'Hours: ' || coalesce(own.said, shared.said)",
-    "location": "'Location: ' || a.address_1 || coalesce(', ' || a.address_2, '') || ', ' || a.city"
-    " || ', ' || a.state_province || ' ' || a.postal_code || '.'",
-    "phone": "'Phone: ' || r.phone_text || '.'",
-    "email": "'Email: ' || coalesce(s.email, r.email) || '.'",
-    "website": "coalesce('Service website: ' || s.url || '.', 'Website: ' || r.website || '.')",
-    "instructions": "'Instructions: ' || f.instructions_text || '.'",
-    "related_documents": "'Related documents: ' || f.documents_text || '.'",
-}
 
-# What is known of each organisation, of each service, and of the hours of either, one result per owner.
-ORGANISATIONS = (
-    "organisations",
-    "select o.*, phone_text from fx_resources o left join phone_rollup t on t.resource_id = o.id where o.status = 1",
-)
-FACTS = (
-    "facts",
-    """
-select * from core full join whitelabel using (service_id) full join eligibility_arrays using (service_id)
- full join instruction_rollup using (service_id) full join document_rollup using (service_id)""",
-)
-OWN_HOURS = ("own_hours", "select service_id, schedule_id, schedule, said from schedule_rollup where service_id is not null")
-SHARED_HOURS = (
-    "shared_hours",
-    "select resource_id, schedule_id, schedule, said from schedule_rollup where service_id is null and resource_id is not null",
-)
+def said_by(owner: str, owner_id: str, table: str, texts: dict[str, str]) -> str:
+    listed = ", ".join(f"{{'place': {PLACES.index(place)}, 'text': {text}}}" for place, text in texts.items())
+    return f"select '{owner}' as owner, {owner_id} as owner_id, unnest([{listed}], recursive := true) from {table}"
 
-JOINED = """
-from organisations r, fx_services s
- left join fx_programs p on p.id = s.program_id left join facts f on f.service_id = s.id
- left join own_hours own on own.service_id = s.id left join shared_hours shared on shared.resource_id = s.resource_id
- left join address_rows a on a.service_id = s.id
-where r.id = s.resource_id and s.status = 1"""
 
-SNAPSHOT_STEPS = [
-    CLASSIFIED, ELIGIBILITY_ARRAYS, CORE, WHITELABEL, PHONES, INSTRUCTIONS, DOCUMENTS, SCHEDULES, ADDRESS_ROWS,
-    ORGANISATIONS, FACTS, OWN_HOURS, SHARED_HOURS,
-    (
-        "snapshot",
-        "select s.id as service_id, r.id as resource_id, a.address_id, s.verified_at, s.updated_at, a.latitude,"
-        " a.longitude, coalesce(own.schedule, shared.schedule) as schedule, f.category_ids, f.category_names,"
-        " f.whitelabel_category_ids, f.whitelabel_category_names, "
-        + ", ".join(f"f.eligibility_{d}" for d in [*ELIGIBILITY, "all"])
-        + ", trim(concat_ws(' ', "
-        + ", ".join(PIECES.values())
-        + ")) as embedding_text"
-        + JOINED,
-    ),
-]
+def some_or_null(ids: str) -> str:
+    """A list to unnest that gives one row, without an id, where there is none."""
+    return f"case when len({ids}) > 0 then {ids} else [cast(null as bigint)] end"
+
+
+def snapshot_steps(services: str = "fx_services", mark: str = "") -> list[tuple[str, str]]:
+    """Steps from ``{mark}stops`` to ``{mark}snapshot`` over a table of services, after the rollups."""
+    return [
+        (
+            f"{mark}stops",
+            f"""
+select s.id as service_id, s.resource_id, s.program_id, linked.service_id is not null as own_place,
+ unnest({some_or_null('case when linked.service_id is null then house.ids else linked.ids end')}) as address_id,
+ {some_or_null('own.ids')} as own_ids, {some_or_null('shared.ids')} as shared_ids
+from {services} s semi join (select id from fx_resources where status = 1) r on r.id = s.resource_id
+left join (select service_id, list(a.id) filter (where a.id is not null) as ids from fx_addresses_services l
+ left join fx_addresses a on a.id = l.address_id group by service_id) linked on linked.service_id = s.id
+left join (select resource_id, list(id) as ids from fx_addresses group by resource_id) house on house.resource_id = s.resource_id
+left join (select service_id, list(schedule_id) as ids from schedule_rollup group by service_id) own on own.service_id = s.id
+left join (select resource_id, list(schedule_id) as ids from schedule_rollup where service_id is null group by resource_id) shared
+ on shared.resource_id = s.resource_id
+where s.status = 1""",
+        ),
+        (f"{mark}plans", f"select * exclude (own_ids), unnest(own_ids) as service_schedule_id from {mark}stops"),
+        (f"{mark}visits", f"select *, row_number() over () as visit from (select * exclude (shared_ids), unnest(shared_ids) as resource_schedule_id from {mark}plans)"),
+        (f"{mark}sayings", " union all ".join(said_by(owner, key, table.format(services=services), texts) for owner, key, table, texts in SAYINGS)),
+        (
+            f"{mark}asked",
+            f"""
+select visit, unnest([
+ {{'owner': 'service', 'owner_id': service_id, 'choice': 0}}, {{'owner': 'organisation', 'owner_id': resource_id, 'choice': 1}},
+ {{'owner': 'program', 'owner_id': program_id, 'choice': 0}}, {{'owner': 'address', 'owner_id': address_id, 'choice': 0}},
+ {{'owner': 'schedule', 'owner_id': service_schedule_id, 'choice': 0}}, {{'owner': 'schedule', 'owner_id': resource_schedule_id, 'choice': 1}}
+], recursive := true) from {mark}visits""",
+        ),
+        (f"{mark}heard", f"select visit, place, arg_min(text, choice) as text from {mark}asked join {mark}sayings using (owner, owner_id) where text is not null group by visit, place"),
+        (f"{mark}prose", f"select visit, trim(string_agg(text, ' ' order by place)) as embedding_text from {mark}heard group by visit"),
+        (
+            f"{mark}snapshot",
+            "select v.service_id, v.resource_id, v.address_id, s.verified_at, s.updated_at, a.latitude, a.longitude,"
+            " coalesce(own.schedule, shared.schedule) as schedule, category_ids, category_names, whitelabel_category_ids, whitelabel_category_names, "
+            + ", ".join(f"eligibility_{d}" for d in [*ELIGIBILITY, "all"])
+            + f", embedding_text from {mark}visits v join {mark}prose using (visit) join {services} s on s.id = v.service_id"
+            " left join fx_addresses a on a.id = v.address_id left join schedule_rollup own on own.schedule_id = v.service_schedule_id"
+            " left join schedule_rollup shared on shared.schedule_id = v.resource_schedule_id left join core c on c.service_id = v.service_id"
+            " left join whitelabel w on w.service_id = v.service_id left join eligibility_arrays e on e.service_id = v.service_id",
+        ),
+    ]
+
+
+ROLLUPS = [CLASSIFIED, ELIGIBILITY_ARRAYS, CORE, WHITELABEL, PHONES, INSTRUCTIONS, DOCUMENTS, SCHEDULES]
+SNAPSHOT_STEPS = ROLLUPS + snapshot_steps()
 SNAPSHOT_TABLES = list(FIXTURE_SQL)
 
 ARRAY_COLUMNS = [
@@ -297,18 +325,13 @@ SNAPSHOT_MIN = with_ctes(
 select s.id as service_id, r.id as resource_id, {joined('f.category_ids')} as category_ids,
  {joined('f.category_names')} as category_names,
  trim(concat_ws(' ', r.name || '.', 'Service: ' || coalesce(s.name, 'Unnamed Service') || '.',
-  {PIECES['categories']})) as prose
+  {SAYINGS[3][3]['categories']})) as prose
 from fx_services s join fx_resources r on r.id = s.resource_id and r.status = 1
 left join core f on f.service_id = s.id where s.status = 1""",
 )
 
-PROSE_PIECES = with_ctes(
-    SNAPSHOT_TABLES,
-    SNAPSHOT_STEPS[:-1]
-    + [("pieces", "select " + ", ".join(f"{text} as {name}" for name, text in PIECES.items()) + JOINED)],
-    "select piece, text, count(*) as n from ("
-    + " union all ".join(f"select '{name}' as piece, {name} as text from pieces" for name in PIECES)
-    + ") where text is not null group by piece, text",
+PROSE_PIECES = over_snapshot(
+    "select (" + str(PLACES) + ")[place + 1] as piece, text, count(*) as n from heard group by place, text"
 )
 
 TAXONOMY_REMAP = with_ctes(
@@ -366,36 +389,35 @@ ADDRESS_FALLBACK = over_snapshot(
 select service_id, address_id, count(*) as n_rows, max(cast(latitude as double)) as latitude
 from snapshot group by service_id, address_id"""
 )
-SCHEDULE_FALLBACK = with_ctes(
-    SNAPSHOT_TABLES,
-    SNAPSHOT_STEPS[:-1],
-    "select s.id as service_id, own.schedule_id as service_schedule_id, shared.schedule_id as resource_schedule_id,"
-    f" count(*) as n_rows {JOINED} group by s.id, own.schedule_id, shared.schedule_id",
+SCHEDULE_FALLBACK = over_snapshot(
+    "select service_id, service_schedule_id, resource_schedule_id, count(*) as n_rows from visits group by service_id, service_schedule_id, resource_schedule_id"
 )
-READING_ORDER = with_ctes(
-    SNAPSHOT_TABLES,
-    SNAPSHOT_STEPS[:-1],
+
+
+def numbered(within: str, order: str, number: str) -> str:
+    """Visits with their place in reading order; a place that the service has through its organisation only comes last."""
+    order += (
+        ", case when own_place then address_id end nulls last, service_schedule_id nulls last, resource_schedule_id nulls last, address_id nulls last"
+    )
+    return over_snapshot(
+        "select resource_id, service_id, address_id, service_schedule_id, resource_schedule_id,"
+        f" cast(row_number() over ({within} order by {order}) as {number}) as row_number from visits"
+    )
+
+
+READING_ORDER = numbered("partition by resource_id", "service_id", "integer")
+READING_ORDER_GLOBAL = numbered("", "resource_id, service_id", "bigint")
+HOURS_CHOICE = over_snapshot(
     f"""
-select resource_id, service_id, address_id, service_schedule_id, resource_schedule_id,
- cast(row_number() over (partition by resource_id order by service_id, own_address nulls last, service_schedule_id nulls last,
-  resource_schedule_id nulls last, address_id nulls last) as integer) as row_number
-from (select r.id as resource_id, s.id as service_id, a.address_id, own.schedule_id as service_schedule_id,
- shared.schedule_id as resource_schedule_id,
- case when s.id in (select service_id from fx_addresses_services) then a.address_id end as own_address {JOINED})""",
-)
-READING_ORDER_GLOBAL = READING_ORDER.replace("cast(row_number() over (partition by resource_id order by service_id,", "row_number() over (order by resource_id, service_id,").replace(
-    "address_id nulls last) as integer) as row_number", "address_id nulls last) as row_number"
-)
-HOURS_CHOICE = with_ctes(
-    SNAPSHOT_TABLES,
-    SNAPSHOT_STEPS[:-1] + [("chosen", f"select s.id as service_id, {PIECES['hours']} as hours {JOINED}")],
-    "select service_id, hours, count(*) as n_rows from chosen group by service_id, hours",
+select service_id, text as hours, count(*) as n_rows from visits
+left join (select visit, text from heard where place = {PLACES.index('hours')}) using (visit) group by service_id, text"""
 )
 CONTACT_CHOICE = with_ctes(
     ["resources", "services"],
     [],
     f"""
-select s.id as service_id, {PIECES['email']} as email, {PIECES['website']} as website
+select s.id as service_id, 'Email: ' || coalesce(s.email, r.email) || '.' as email,
+ coalesce('Service website: ' || s.url || '.', 'Website: ' || r.website || '.') as website
 from fx_services s join fx_resources r on r.id = s.resource_id and r.status = 1 where s.status = 1""",
 )
 
@@ -418,16 +440,7 @@ select id, resource_id, program_id, case when {LATER} then concat('Old ', name)
 
 MERGE_STEPS = [
     ("earlier_services", EARLIER_SERVICES),
-    (
-        "old_addresses",
-        ADDRESS_ROWS[1].replace("fx_services s", "earlier_services s"),
-    ),
-    (
-        "old_snapshot",
-        SNAPSHOT_STEPS[-1][1]
-        .replace("fx_services s\n", "earlier_services s\n")
-        .replace("address_rows a", "old_addresses a"),
-    ),
+    *snapshot_steps("earlier_services", "old_"),
     ("fresh", f"select * from snapshot where {LATER}"),
     (
         "stale",
