@@ -239,10 +239,10 @@ def _places_of(terms: DataFrame, chosen: np.ndarray) -> tuple[list[np.ndarray],
                 places.append(np.sort(order[at[ranked[at] == own]]).astype("<u4").tobytes() if len(ranked) else b"")
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(places, pa.binary())], schema=schema)
 
-    # Sums depend on the order of rows in their last digits only; it is fixed all the same.
-    rows = terms.select("toxic", "terms").mapInArrow(run, "toxic boolean, places binary").orderBy("toxic", "places").toArrow()
+    rows = terms.select("toxic", "terms").mapInArrow(run, "toxic boolean, places binary").toArrow()
     both = [[], []]
-    for toxic, places in zip(rows.column("toxic").to_pylist(), rows.column("places").to_pylist(), strict=True):
+    # Sums depend on the order of rows in their last digits only; it is fixed all the same.
+    for toxic, places in sorted(zip(rows.column("toxic").to_pylist(), rows.column("places").to_pylist(), strict=True)):
         both[not toxic].append(np.frombuffer(places, "<u4"))
     return both[0], both[1]
 
