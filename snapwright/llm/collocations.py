@@ -26,6 +26,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 import xxhash
 from pyarrow import fs as arrow_fs
@@ -36,36 +37,94 @@ from snapwright.llm.common import dense_bounds, open_folder, prepare, scratch, s
 
 #: Bytes that end a piece; inside a piece, blanks and tabs part words.
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
-_MARK = b"."
-_TABLE = bytes(_MARK[0] if b in PIECE_ENDS else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
-#: Stripes are sent when a task holds so many words or so many different ones.
-FLUSH_WORDS, FLUSH_VOCABULARY = 4_000_000, 400_000
-TEXT_STEP = 1 << 20
+#: Bytes of text a task gathers before it sends stripes, and bytes it takes apart at once.
+FLUSH_BYTES, TEXT_STEP = 24 << 20, 8 << 20
 HEAVY_SHARE, SLICES = 10_000, 64
 
 _COUNTS = pa.schema([("lang", pa.binary()), ("phrase", pa.binary()), ("a", pa.int64())])
-_STRIPES = pa.schema(
-    [("lang", pa.binary()), ("prefix", pa.binary()), ("slice", pa.int32()), ("nexts", pa.list_(pa.binary())), ("counts", pa.list_(pa.int64()))]
-)
+#: A stripe travels as two lists in binary form: its words, each with a blank behind it, and their counts.
+_STRIPES = pa.schema([("lang", pa.binary()), ("prefix", pa.binary()), ("slice", pa.int32()), ("nexts", pa.binary()), ("counts", pa.binary())])
 _MERGED = pa.schema([("lang", pa.binary()), ("prefix", pa.binary()), ("total", pa.int64()), ("nexts", pa.list_(pa.binary())), ("counts", pa.list_(pa.int64()))])
 
+_WORD, _BLANK, _MARK = 0, 1, 2
+_KINDS = bytes(_MARK if b in PIECE_ENDS else _BLANK if b in b" \t" else _WORD for b in range(256))
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
-def words_of(text: bytes) -> Iterator[list[bytes]]:
-    """Lower-cased words of a text with a mark where a piece ends, some at a time."""
-    text = text.translate(_TABLE)
-    at = 0
+
+def _binary(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Byte strings that lie one after another in ``data``."""
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def words_of(text: bytes) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """Lower-cased words of a text, some at a time, and the number of each one's piece."""
+    at = pieces = 0
     while at < len(text):
         end = at + TEXT_STEP
         if end < len(text):
-            cut = max(text.rfind(c, at, end) for c in (b" ", b"\t", _MARK))
-            if cut < 0:
-                cut = min((c for c in (text.find(c, end) for c in (b" ", b"\t", _MARK)) if c >= 0), default=len(text) - 1)
-            end = cut + 1
-        yield text[at:end].replace(_MARK, b" . ").split()
+            # Cut where a word ends; a word that is longer than a step is taken whole.
+            while end < len(text) and _KINDS[text[end]] == _WORD:
+                end += 1
+        part = text[at:end]
+        kind = np.frombuffer(part.translate(_KINDS), np.uint8)
+        word = kind == _WORD
+        edges = np.flatnonzero(word[1:] != word[:-1]) + 1
+        edges = np.concatenate([[0] if word[0] else [], edges, [len(word)] if word[-1] else []]).astype(np.int64)
+        starts, ends = edges[::2], edges[1::2]
+        marks = np.flatnonzero(kind == _MARK)
+        data = np.frombuffer(part.translate(_LOWER), np.uint8)[word]
+        yield _binary(data, np.concatenate([[0], np.cumsum(ends - starts)])), pieces + np.searchsorted(marks, starts)
+        pieces += len(marks)
         at = end
 
 
+class Held:
+    """The texts of one language read since stripes were last sent: words as numbers of a vocabulary of their own."""
+
+    def __init__(self, lang: bytes, texts: list[bytes]):
+        self.lang = lang
+        words, pieces, after = [], [], 0
+        for text in _together(texts):
+            for some, piece in words_of(text):
+                words.append(some)
+                pieces.append(piece + after)
+            after += 1 + (int(pieces[-1][-1]) - after if pieces and len(pieces[-1]) else 0)
+        coded = pa.chunked_array(words, pa.binary()).dictionary_encode().combine_chunks() if words else pa.array([], pa.dictionary(pa.int32(), pa.binary()))
+        coded = coded.chunk(0) if isinstance(coded, pa.ChunkedArray) else coded
+        self.words = coded.dictionary
+        self.ids = coded.indices.to_numpy().astype(np.int64)
+        self.piece = np.concatenate(pieces) if pieces else np.zeros(0, np.int64)
+
+
+def _together(texts: list[bytes]) -> Iterator[bytes]:
+    """Short texts joined by a mark, so that few are taken apart."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text)
+        size += len(text)
+        if size >= TEXT_STEP:
+            yield b"\n".join(held)
+            held, size = [], 0
+    if held:
+        yield b"\n".join(held)
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[Held]:
+    texts: dict[bytes, list[bytes]] = defaultdict(list)
+    size = 0
+    for batch in batches:
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            texts[lang].append(text)
+            size += len(text)
+            if size >= FLUSH_BYTES:
+                while texts:
+                    yield Held(*texts.popitem())
+                size = 0
+    while texts:
+        yield Held(*texts.popitem())
+
+
 def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
@@ -80,51 +139,11 @@ def _fold(seed: np.ndarray, word: np.ndarray) -> np.ndarray:
     return ((low << np.uint64(21)) | (low >> np.uint64(43))).view(np.int64) ^ word
 
 
-class Held:
-    """Words of the texts read since stripes were last sent, as numbers of a vocabulary of this task."""
-
-    def __init__(self):
-        self.vocabulary: dict[bytes, int] = defaultdict()
-        self.vocabulary.default_factory = self.vocabulary.__len__
-        self.vocabulary[_MARK] = 0
-        self.streams: dict[bytes, list[np.ndarray]] = defaultdict(list)
-        self.size = 0
-
-    def add(self, lang: bytes, text: bytes) -> None:
-        number = self.vocabulary.__getitem__
-        stream = self.streams[lang]
-        for words in words_of(text):
-            stream.append(np.fromiter(map(number, words), np.int64, len(words)))
-            self.size += len(words)
-        stream.append(np.zeros(1, np.int64))
-
-    def full(self) -> bool:
-        return self.size >= FLUSH_WORDS or len(self.vocabulary) >= FLUSH_VOCABULARY
-
-    def words(self) -> pa.Array:
-        return pa.array(list(self.vocabulary), pa.binary())
-
-
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[Held]:
-    held = Held()
-    for batch in batches:
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            held.add(lang, text)
-            if held.full():
-                yield held
-                held = Held()
-    if held.size:
-        yield held
-
-
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for held in _read(batches):
-        words = held.words()
-        for lang, stream in held.streams.items():
-            counts = np.bincount(np.concatenate(stream), minlength=1)
-            counts[0] = 0
-            for some in _steps(np.flatnonzero(counts)):
-                yield pa.RecordBatch.from_arrays([_repeat(lang, len(some)), words.take(pa.array(some)), pa.array(counts[some], pa.int64())], schema=_COUNTS)
+        counts = np.bincount(held.ids, minlength=len(held.words))
+        for some in _steps(np.arange(len(counts))):
+            yield pa.RecordBatch.from_arrays([_repeat(held.lang, len(some)), held.words.take(pa.array(some)), pa.array(counts[some], pa.int64())], schema=_COUNTS)
 
 
 def _repeat(value: bytes, n: int) -> pa.Array:
@@ -163,58 +182,75 @@ class Sieve:
 
 
 def _local_stripes(held: Held, size: int, sieve: Sieve) -> Iterator[pa.RecordBatch]:
-    """Stripes of all frequent prefixes of ``size`` words in what is held."""
-    words, n = held.words(), len(held.vocabulary)
-    hashes = np.fromiter(map(_hash, held.vocabulary), np.int64, n)
-    for lang, stream in held.streams.items():
-        ids = np.concatenate([*stream, np.zeros(size + 1, np.int64)])
-        whole = len(ids) - size
-        folded, sound = np.full(whole, _hash(lang)), np.ones(whole, bool)
-        for j in range(size):
-            folded = _fold(folded, hashes[ids[j : whole + j]])
-            sound &= ids[j : whole + j] != 0
-        sound &= sieve.holds(folded)
-        places = np.flatnonzero(sound)
-        if not len(places):
-            continue
-        code = ids[places]
+    """Stripes of all frequent prefixes of ``size`` words in what is held. Number 0 stands for the empty word, 1 for the first of the vocabulary."""
+    ids, words = held.ids, held.words
+    n, whole = len(words) + 1, len(ids) - size + 1
+    if whole <= 0:
+        return
+    hashes = np.fromiter(map(_hash, words.to_pylist()), np.int64, len(words))
+    folded = np.full(whole, _hash(held.lang))
+    for j in range(size):
+        folded = _fold(folded, hashes[ids[j : whole + j]])
+    sound = (held.piece[:whole] == held.piece[size - 1 :]) & sieve.holds(folded)
+    places = np.flatnonzero(sound)
+    if not len(places):
+        return
+    # A prefix goes on where the phrase that starts a word later is frequent too, in the same piece.
+    on = np.append(sound[1:] & (held.piece[: whole - 1] == held.piece[size:]), False)
+    code = ids[places]
+    for j in range(1, size):
+        _, code = np.unique(code * n + ids[places + j], return_inverse=True)
+    following = np.where(on[places], ids[np.minimum(places + size, len(ids) - 1)] + 1, 0)
+    first = np.zeros(int(code.max()) + 1, np.int64)
+    first[code] = places
+    keys, counts = np.unique(code * n + following, return_counts=True)
+    code, following = keys // n, keys % n
+    heavy = np.isin(folded[first], sieve.heavy)[code] & (following != 0)
+    part = np.where(heavy, hashes[following - 1] & (SLICES - 1), 0)
+    if heavy.any():
+        order = np.lexsort((part, code))
+        code, following, counts, part = code[order], following[order], counts[order], part[order]
+    starts = dense_bounds(code * SLICES + part)
+    blank = pa.scalar(b" ", pa.binary())
+    ended = pa.concat_arrays([pa.array([b" "], pa.binary()), pc.binary_join_element_wise(words, pa.scalar(b"", pa.binary()), blank)])
+    for rows in _steps(np.arange(len(starts) - 1), 8192):
+        bounds = starts[rows[0] : rows[-1] + 2]
+        low, high = bounds[0], bounds[-1]
+        at = first[code[starts[rows]]]
+        prefix = words.take(pa.array(ids[at]))
         for j in range(1, size):
-            _, code = np.unique(code * n + ids[places + j], return_inverse=True)
-        _, first, code = np.unique(code, return_index=True, return_inverse=True)
-        following = np.where(sound[places + 1], ids[places + size], 0)
-        keys, counts = np.unique(code * n + following, return_counts=True)
-        code, following = keys // n, keys % n
-        prefix_hash = folded[places[first]]
-        heavy = np.isin(prefix_hash, sieve.heavy)[code] & (following != 0)
-        part = np.where(heavy, hashes[following] & (SLICES - 1), 0)
-        if heavy.any():
-            order = np.lexsort((part, code))
-            code, following, counts, part = code[order], following[order], counts[order], part[order]
-        starts = dense_bounds(code * SLICES + part)
-        for rows in _steps(np.arange(len(starts) - 1), 8192):
-            low, high = starts[rows[0]], starts[rows[-1] + 1]
-            offsets = pa.array((starts[rows[0] : rows[-1] + 2] - low).astype(np.int32))
-            at = places[first[code[starts[rows]]]]
-            nexts = _without_mark(words).take(pa.array(following[low:high]))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    _repeat(lang, len(rows)),
-                    _joined([words.take(pa.array(ids[at + j])) for j in range(size)]),
-                    pa.array(part[starts[rows]].astype(np.int32)),
-                    pa.ListArray.from_arrays(offsets, nexts),
-                    pa.ListArray.from_arrays(offsets, pa.array(counts[low:high].astype(np.int64))),
-                ],
-                schema=_STRIPES,
-            )
-
-
-def _without_mark(words: pa.Array) -> pa.Array:
-    """The vocabulary with the empty word in the place of the mark."""
-    return pa.concat_arrays([pa.array([b""], pa.binary()), words.slice(1)])
-
-
-def _joined(parts: list[pa.Array]) -> pa.Array:
-    return pa.array([b" ".join(row) for row in zip(*(p.to_pylist() for p in parts), strict=True)], pa.binary())
+            prefix = pc.binary_join_element_wise(prefix, words.take(pa.array(ids[at + j])), blank)
+        yield pa.RecordBatch.from_arrays(
+            [
+                _repeat(held.lang, len(rows)),
+                prefix,
+                pa.array(part[starts[rows]].astype(np.int32)),
+                _packed(ended.take(pa.array(following[low:high])), bounds - low),
+                _binary(counts[low:high].astype("<i8").view(np.uint8), (bounds - low) * 8),
+            ],
+            schema=_STRIPES,
+        )
+
+
+def _packed(words: pa.Array, bounds: np.ndarray) -> pa.Array:
+    """Neighbouring words as one byte string for each stretch between ``bounds``."""
+    offsets = np.frombuffer(words.buffers()[1], np.int32, len(words) + 1, 4 * words.offset)
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(np.ascontiguousarray(offsets[bounds])), words.buffers()[2]])
+
+
+def _bytes_of(column: pa.Array) -> np.ndarray:
+    """The bytes of all strings of a column, one after another."""
+    if not len(column):
+        return np.zeros(0, np.uint8)
+    offsets = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, 4 * column.offset)
+    return np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+
+
+def _unpacked(column: pa.Array) -> pa.Array:
+    """The words of all stripes of a column, one after another."""
+    data = _bytes_of(column)
+    ends = np.flatnonzero(data == 32)
+    return _binary(data[data != 32], np.concatenate([[0], ends - np.arange(len(ends))]))
 
 
 def _merge(least: int):
@@ -222,25 +258,25 @@ def _merge(least: int):
 
     def merged(rows: pa.RecordBatch) -> tuple[pa.RecordBatch, pa.RecordBatch]:
         """All stripes but the last one merged and cut to frequent entries, and the last one merged so far."""
-        heads = [rows.column(i).to_pylist() for i in range(3)]
-        same = np.array([all(h[i] == h[i - 1] for h in heads) for i in range(1, rows.num_rows)], bool)
-        group = np.concatenate([[0], np.cumsum(~same)])
-        lists, counts = rows.column("nexts"), rows.column("counts").flatten().to_numpy()
-        coded = lists.flatten().dictionary_encode()
+        differs = np.zeros(rows.num_rows - 1, bool)
+        for i in range(3):
+            differs |= pc.not_equal(rows.column(i).slice(1), rows.column(i).slice(0, rows.num_rows - 1)).to_numpy(zero_copy_only=False)
+        at = np.concatenate([[0], np.flatnonzero(differs) + 1])
+        group = np.concatenate([[0], np.cumsum(differs)])
+        counts = _bytes_of(rows.column("counts")).view("<i8")
+        coded = _unpacked(rows.column("nexts")).dictionary_encode()
         n = max(len(coded.dictionary), 1)
-        keys = np.repeat(group, np.diff(lists.offsets.to_numpy())) * n + coded.indices.to_numpy().astype(np.int64)
+        entries = pc.binary_length(rows.column("counts")).to_numpy() // 8
+        keys = np.repeat(group, entries) * n + coded.indices.to_numpy().astype(np.int64)
         order = np.argsort(keys, kind="stable")
         starts = dense_bounds(keys[order])[:-1]
         counts = np.add.reduceat(counts[order], starts)
         keys = keys[order][starts]
-        at = np.concatenate([[0], np.flatnonzero(~same) + 1])
         edges = np.searchsorted(keys // n, np.arange(len(at) + 1))
         totals = np.add.reduceat(counts, edges[:-1])
-        empty = coded.dictionary.to_pylist()
-        empty = empty.index(b"") if b"" in empty else -1
-        last = edges[-2]
+        empty = pc.index(coded.dictionary, pa.scalar(b"", pa.binary())).as_py()
+        last, done = edges[-2], len(at) - 1
         shown = np.flatnonzero((counts[:last] >= least) & (keys[:last] % n != empty))
-        done = len(at) - 1
         offsets = pa.array(np.searchsorted(keys[shown] // n, np.arange(done + 1)).astype(np.int32))
         pick = pa.array(at[:done])
         out = pa.RecordBatch.from_arrays(
@@ -253,14 +289,10 @@ def _merge(least: int):
             ],
             schema=_MERGED,
         )
-        whole = pa.array(np.array([0, len(keys) - last], np.int32))
+        ended = pc.binary_join_element_wise(coded.dictionary.take(pa.array(keys[last:] % n)), pa.scalar(b"", pa.binary()), pa.scalar(b" ", pa.binary()))
+        whole = np.array([0, len(keys) - last])
         rest = pa.RecordBatch.from_arrays(
-            [
-                *(rows.column(i).take(pa.array(at[-1:])) for i in range(3)),
-                pa.ListArray.from_arrays(whole, coded.dictionary.take(pa.array(keys[last:] % n))),
-                pa.ListArray.from_arrays(whole, pa.array(counts[last:], pa.int64())),
-            ],
-            schema=_STRIPES,
+            [*(rows.column(i).take(pa.array(at[-1:])) for i in range(3)), _packed(ended, whole), _binary(counts[last:].astype("<i8").view(np.uint8), whole * 8)], schema=_STRIPES
         )
         return out, rest
 
@@ -276,7 +308,7 @@ def _merge(least: int):
                 yield out
         if rest is not None:
             # A stripe that equals no other ends the run.
-            end = pa.RecordBatch.from_arrays([pa.array([b""], pa.binary()), pa.array([b""], pa.binary()), pa.array([-1], pa.int32()), pa.array([[b""]], _STRIPES.field(3).type), pa.array([[0]], _STRIPES.field(4).type)], schema=_STRIPES)
+            end = pa.RecordBatch.from_arrays([pa.array([b""], pa.binary()), pa.array([b""], pa.binary()), pa.array([-1], pa.int32()), pa.array([b" "], pa.binary()), pa.array([bytes(8)], pa.binary())], schema=_STRIPES)
             yield merged(pa.Table.from_batches([rest, end]).combine_chunks().to_batches()[0])[0]
 
     return run
@@ -323,7 +355,7 @@ def stripes(docs: DataFrame, size: int, sieve: Sieve, least: int) -> DataFrame:
         for held in _read(batches):
             yield from _local_stripes(held, size, sieve)
 
-    sent = docs.mapInArrow(local, "lang binary, prefix binary, slice int, nexts array<binary>, counts array<long>")
+    sent = docs.mapInArrow(local, "lang binary, prefix binary, slice int, nexts binary, counts binary")
     keys = ["lang", "prefix", "slice"]
     return sent.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_merge(least), "lang binary, prefix binary, total long, nexts array<binary>, counts array<long>")
 

@@ -118,8 +118,8 @@ def test_words_are_counted_over_any_number_of_sendings(monkeypatch):
     texts = [prose(i, 30).encode() for i in range(20)]
     batch = pa.RecordBatch.from_arrays([pa.array([b"en"] * 20, pa.binary()), pa.array(texts, pa.binary())], ["lang", "text"])
     want = Counter(w for t in texts for w in t.split())
-    for flush in (1, 100, 10**6):
-        monkeypatch.setattr(collocations, "FLUSH_WORDS", flush)
+    for flush in (1, 1000, 10**6):
+        monkeypatch.setattr(collocations, "FLUSH_BYTES", flush)
         got = Counter()
         for some in collocations._count_words(iter([batch, batch])):
             for row in some.to_pylist():
@@ -127,11 +127,17 @@ def test_words_are_counted_over_any_number_of_sendings(monkeypatch):
         assert got == {w: 2 * n for w, n in want.items()}
 
 
-def test_long_texts_are_cut_at_white_space_only(monkeypatch):
-    monkeypatch.setattr(collocations, "TEXT_STEP", 16)
-    text = b"ab cd" * 20 + b" " + b"e" * 100 + b". F,g\n\nh " + b"i" * 50
-    whole = text.translate(collocations._TABLE).replace(b".", b" . ").split()
-    assert [w for some in collocations.words_of(text) for w in some] == whole
+@pytest.mark.parametrize("step", [1, 7, 16, 1000])
+def test_long_texts_are_cut_between_words_only(monkeypatch, step):
+    monkeypatch.setattr(collocations, "TEXT_STEP", step)
+    text = b"ab CD" * 20 + b" " + b"e" * 100 + b". F,g\n\nh\t!" + b"i" * 50 + b"?"
+    want = [(w, at) for at, piece in enumerate(re.split(rb"[.,;:!?\x0a-\x0d]", text.lower())) for w in re.split(rb"[ \t]+", piece) if w]
+    assert [(w, p) for some, piece in collocations.words_of(text) for w, p in zip(some.to_pylist(), piece.tolist(), strict=True)] == want
+    held = collocations.Held(b"en", [b"a b", b"", b"c.d", b"...", b"e f"])
+    runs = defaultdict(list)
+    for word, piece in zip(held.ids.tolist(), held.piece.tolist(), strict=True):
+        runs[piece].append(held.words[word].as_py())
+    assert list(runs.values()) == [[b"a", b"b"], [b"c"], [b"d"], [b"e", b"f"]]
 
 
 def test_stripes_merge_over_batches_of_any_size():
@@ -143,7 +149,7 @@ def test_stripes_merge_over_batches_of_any_size():
         for part in (0, 5):
             for _ in range(pick.randint(1, 9)):
                 entries = {pick.choice([b"", b"x%d" % part, b"y%d" % part]): pick.randint(1, 4) for _ in range(3)}
-                rows.append((b"en", prefix, part, list(entries), list(entries.values())))
+                rows.append((b"en", prefix, part, b"".join(w + b" " for w in entries), np.array(list(entries.values()), "<i8").tobytes()))
                 for word, n in entries.items():
                     want[prefix, word] += n
                     totals[prefix, part] += n
