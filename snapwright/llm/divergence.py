@@ -41,12 +41,13 @@ SHARD_ROWS, STEP = 500_000, 1 << 20
 
 
 def tagged_terms(text: Column, lang: Column) -> Column:
-    terms = F.filter(F.split(F.translate(text, _UPPER, _LOWER), _BETWEEN), lambda t: t != "")
+    terms = F.array_remove(F.split(F.translate(text, _UPPER, _LOWER), _BETWEEN), "")
     return F.transform(terms, lambda t: F.concat(lang, F.lit(_TAG), t))
 
 
 def group_counts(docs: DataFrame, min_docs: int, most_terms: int) -> DataFrame:
-    """lang, source, term, n: occurrences of kept terms; ``docs`` has lang, source and tagged terms."""
+    """lang, source, term, n, lang_n, first: occurrences of kept terms in a group and its language, one row of each term
+    marked; ``docs`` has lang, source and tagged terms."""
     estimate = docs.select(F.explode("terms").alias("t")).agg(F.approx_count_distinct("t", 0.02)).first()[0]
     if estimate > most_terms:
         return counts_by_term(docs, min_docs)
@@ -58,26 +59,36 @@ def counts_by_vector(docs: DataFrame, min_docs: int) -> DataFrame:
     folder = scratch(docs.sparkSession, "vectoriser")
     model.write().save(folder)
     tags = docs.sparkSession.read.parquet(f"{folder}/data").select(F.posexplode("vocabulary").alias("at", "tag"))
-    sparse = model.transform(docs).select("lang", "source", F.unwrap_udt("vector").alias("v"))
-    entries = sparse.select("lang", "source", F.explode(F.arrays_zip("v.indices", "v.values")).alias("e"))
-    sums = entries.groupBy("lang", "source", F.col("e.indices").alias("at")).agg(F.sum(F.col("e.values").cast("long")).alias("n"))
-    return sums.join(tags, "at").select("lang", "source", _term(F.col("tag")).alias("term"), "n")
+    sparse = model.transform(docs).select("source", F.unwrap_udt("vector").alias("v"))
+    entries = sparse.select("source", F.inline(F.arrays_zip("v.indices", "v.values"))).toDF("source", "at", "n")
+    # A place in the vector belongs to one term of one language.
+    sums = entries.groupBy("source", "at").agg(F.sum(F.col("n").cast("long")).alias("n"))
+    return _named(_with_lang(sums, "at").join(tags, "at"))
 
 
 def counts_by_term(docs: DataFrame, min_docs: int) -> DataFrame:
     kept = docs.select(F.explode(F.array_distinct("terms")).alias("tag")).groupBy("tag").count().filter(F.col("count") >= min_docs).select("tag")
-    sums = docs.select("lang", "source", F.explode("terms").alias("tag")).groupBy("lang", "source", "tag").agg(F.count("*").alias("n"))
-    return sums.join(kept, "tag").select("lang", "source", _term(F.col("tag")).alias("term"), "n")
+    sums = docs.select("source", F.explode("terms").alias("tag")).groupBy("source", "tag").agg(F.count("*").alias("n"))
+    return _named(_with_lang(sums.join(kept, "tag"), "tag"))
 
 
-def _term(tag: Column) -> Column:
-    return F.substring_index(tag, _TAG, -1)
+def _with_lang(sums: DataFrame, term: str) -> DataFrame:
+    """Adds the term's count in its language, and a mark on one row of each term."""
+    rows = Window.partitionBy(term)
+    return sums.withColumn("lang_n", F.sum("n").over(rows)).withColumn("first", F.row_number().over(rows.orderBy("source")) == 1)
+
+
+def _named(sums: DataFrame) -> DataFrame:
+    term = F.substring_index("tag", _TAG, -1)
+    lang = F.expr("substring(tag, 1, length(tag) - length(substring_index(tag, '\\0', -1)) - 1)")
+    return sums.select(lang.alias("lang"), "source", term.alias("term"), "n", "lang_n", "first")
 
 
 def share(count: Column, total: Column, kept: Column) -> Column:
     """1 + floor(10^9 (count + 2) / (total + 2 kept)), exactly."""
-    above, below = (count + 2).cast("decimal(20,0)") * F.lit(1_000_000_000), (total + 2 * kept).cast("decimal(20,0)")
-    return F.call_function("div", above, below) + 1
+    scale, below = F.lit(1_000_000_000), total + 2 * kept
+    wide = F.call_function("div", (count + 2).cast("decimal(20,0)") * scale, below.cast("decimal(20,0)"))
+    return F.when(count < 9_000_000_000, F.call_function("div", (count + 2) * scale, below)).otherwise(wide) + 1
 
 
 def distance(p: Column, q: Column) -> Column:
@@ -90,9 +101,8 @@ def divergence(docs: DataFrame, *, min_docs: int = 10, top_terms: int = 10, bloc
     texts = docs.select(whole_text("lang").alias("lang"), whole_text("source").alias("source"), whole_text("text").alias("text"))
     texts = staged(texts.select("lang", "source", tagged_terms(F.col("text"), F.col("lang")).alias("terms")), "terms")
     counts = staged(group_counts(texts, min_docs, most_terms), "counts")
-    totals = staged(counts.groupBy("lang", "term").agg(F.sum("n").alias("n")), "totals")
-    langs = totals.groupBy("lang").agg(F.sum("n").alias("lang_total"), F.count("*").alias("kept"))
     sizes = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
+    langs = counts.groupBy("lang").agg(F.sum("n").alias("lang_total"), F.count_if("first").alias("kept"))
     groups = texts.select("lang", "source").distinct().join(sizes, ["lang", "source"], "left").join(langs, "lang", "left")
     number = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
     groups = groups.fillna(0, ["total", "lang_total", "kept"]).withColumn("number", number)
@@ -100,12 +110,12 @@ def divergence(docs: DataFrame, *, min_docs: int = 10, top_terms: int = 10, bloc
     empty = F.when(F.col("kept") > 0, share(F.lit(0).cast("long"), F.col("total"), F.col("kept"))).otherwise(1)
     groups = staged(groups.withColumn("last", blocks).withColumn("p0", empty), "groups")
     shares = counts.join(groups, ["lang", "source"]).withColumn("p", share(F.col("n"), F.col("total"), F.col("kept")))
-    return _terms(shares, totals, top_terms).unionByName(_pairs(shares, groups, block))
+    pairs = _pairs(shares, groups, block, 1 + counts.count() // SHARD_ROWS)
+    return _terms(shares, top_terms).unionByName(pairs)
 
 
-def _terms(shares: DataFrame, totals: DataFrame, top: int) -> DataFrame:
-    whole = totals.withColumnRenamed("n", "lang_n")
-    both = shares.join(whole, ["lang", "term"]).withColumn("q", share(F.col("lang_n"), F.col("lang_total"), F.col("kept")))
+def _terms(shares: DataFrame, top: int) -> DataFrame:
+    both = shares.withColumn("q", share(F.col("lang_n"), F.col("lang_total"), F.col("kept")))
     more = both.filter("p > q").select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), distance(F.col("p"), F.col("q")).alias("value"))
     return _ranked(more).filter(F.col("rank") <= top)
 
@@ -114,8 +124,7 @@ def _ranked(rows: DataFrame) -> DataFrame:
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), F.asc("item"))))
 
 
-def _pairs(shares: DataFrame, groups: DataFrame, block: int) -> DataFrame:
-    shards = 1 + shares.count() // SHARD_ROWS
+def _pairs(shares: DataFrame, groups: DataFrame, block: int, shards: int) -> DataFrame:
     own = F.floor(F.col("number") / block).cast("int")
     with_other = F.explode(F.sequence(F.lit(0), F.col("last"))).alias("with")
     spot = ["lang", F.least(own, "with").alias("one"), F.greatest(own, "with").alias("other")]
