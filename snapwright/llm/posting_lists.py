@@ -1,8 +1,8 @@
 """Approximate nearest neighbours by inner product, over balanced posting lists.
 
 1. Fit. At most ``sample_rows`` vectors go to the driver. They are split again and again into balanced halves of a few
-   groups each (k-means whose cost grows with a group's size) until there is one group for ``list_rows`` rows of the
-   table, at most ``most_lists``. The centroids and a graph over them (nearest centroids plus a ring, so that all can be
+   groups each (k-means whose cost grows with a group's size) until there are twice as many groups as the root of the
+   table's rows, at most ``most_lists``. The centroids and a graph over them (nearest centroids plus a ring, so that all can be
    reached) are small and go to the tasks.
 2. Index. Every row walks the graph to its nearest centroids and joins the list of the nearest, and up to
    ``copies`` - 1 further ones whose centroid is at most ``border`` times as far: vectors at a border lie on both sides of it.
@@ -24,6 +24,7 @@ tables give an empty result. Other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -105,7 +106,7 @@ class Lists:
     width: int  # components of a vector
     scale: float  # largest component of any vector
     longest: float  # largest norm of any vector, after scaling
-    copies: int = 3
+    copies: int = 2
     border: float = 1.15
     ratio: float = float("inf")
     floor: float = 0.0  # a query nearer than this to a centroid asks as if it were this far
@@ -177,7 +178,7 @@ class Lists:
 
     def homes(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Lists that rows join, and which of them count."""
-        ids, far = self.walk(points, max(32, self.copies))
+        ids, far = self.walk(points, max(16, 4 * self.copies))
         ids, far = ids[:, : self.copies], far[:, : self.copies]
         return ids, np.isfinite(far) & (far <= self.border * far[:, :1])
 
@@ -200,7 +201,7 @@ class Lists:
         return asks
 
 
-def fit(vectors: DataFrame, *, k: int = 20, recall: float = 0.98, list_rows: int = 48, most_lists: int = 2048, sample_rows: int = 49_152, trials: int = 512, copies: int = 3, border: float = 1.15) -> Lists | None:
+def fit(vectors: DataFrame, *, k: int = 20, recall: float = 0.97, most_lists: int = 2048, sample_rows: int = 49_152, trials: int = 512, copies: int = 2, border: float = 1.15) -> Lists | None:
     """Centroids and search ratio for a table of ``usable`` rows; None where there is no row."""
     doubles = F.col("embedding").cast("array<double>")
     size = F.array_max(F.transform(doubles, F.abs))
@@ -224,7 +225,7 @@ def fit(vectors: DataFrame, *, k: int = 20, recall: float = 0.98, list_rows: int
     # A third of the sample is not fitted to: those rows stand for all others when the ratio is measured.
     kept = len(sample) // 3
     distinct = np.unique(points[kept:], axis=0)
-    count = int(min(most_lists, -(-found["n"] // list_rows), max(1, len(distinct) // 4)))
+    count = int(min(most_lists, 2 * math.isqrt(found["n"]), max(1, len(distinct) // 4)))
     lists = Lists(balanced_centres(distinct, count), width, scale, longest, copies, border)
     if kept > 1:
         near = min(-(-k * kept // found["n"]), kept - 1)
@@ -233,7 +234,7 @@ def fit(vectors: DataFrame, *, k: int = 20, recall: float = 0.98, list_rows: int
 
 
 def _measured(lists: Lists, points: np.ndarray, sample: np.ndarray, ids: np.ndarray, tried: int, k: int, recall: float) -> tuple[float, float, int]:
-    """The least distance to go by, the ratio at which lists hold ``recall`` of the sample's true neighbours, and how many lists that is at most."""
+    """The least distance to go by, the ratio at which lists hold ``recall`` of the sample's true neighbours, and how many lists that is for most queries."""
     homes, distances = [], []
     for at in range(0, len(points), 1024):
         far = _apart(points[at : at + 1024], lists.centres)
@@ -255,7 +256,8 @@ def _measured(lists: Lists, points: np.ndarray, sample: np.ndarray, ids: np.ndar
         reach = np.take_along_axis(far[rows, None, :], home[best], 2)
         needed.append(np.where(joined[best], reach, np.inf).min(2))
     ratio = float(np.quantile(np.concatenate(needed), recall)) * (1 + 1e-9)
-    return floor, ratio, int(1.5 * (far <= ratio).sum(1).max()) + 8
+    # A walk as broad as most queries need; the others measure all centroids.
+    return floor, ratio, int(1.1 * np.quantile((far <= ratio).sum(1), 0.9)) + 8
 
 
 def _groups(sizes: dict[int, int], group_rows: int) -> list[list[int]]:
