@@ -177,3 +177,20 @@ def test_a_second_run_sends_only_new_texts(spark, tmp_path):
     assert run(["a", "ccc", "bb", "ccc"]) == 3
     assert run(["a", None]) == 3
     assert run([]) == 3
+
+
+def test_hashed_encoder_equals_the_pattern_and_searches_no_ascii_text(monkeypatch):
+    import hashlib
+    import re
+
+    from snapwright.operators import embed as module
+
+    odd = ["", "a_b\x1fc\x85d", "ONE two\tTHREE 3", "Ünï_x ÀB", "İx ²½ é1", "one " * 30]
+    found = hashed_counts(odd, 64)
+    for text, vector in zip(odd, found, strict=True):
+        counts = np.zeros(64)
+        for token in re.findall(r"[^\W_]+", text.lower()):
+            counts[int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % 64] += 1
+        assert np.allclose(vector, counts / (np.sqrt(counts @ counts) or 1), atol=1e-12)
+    monkeypatch.setattr(module, "_TOKEN", None)
+    assert (hashed_counts(odd[2:3], 64) == found[2:3]).all()
