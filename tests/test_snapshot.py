@@ -195,3 +195,31 @@ def test_catalog_lookup(spark):
     assert catalog["a"] is catalog["a"] and "a" in catalog
     with pytest.raises(KeyError):
         catalog["b"]
+
+
+def test_a_full_build_rolls_up_nothing_that_no_row_needs(spark, monkeypatch):
+    from snapwright.plans import snapshot as module
+
+    seen = {}
+
+    def watched(name):
+        rollup = getattr(module, name)
+
+        def run(first, *rest):
+            seen[name] = sorted(map(tuple, first.collect()))
+            return rollup(first, *rest)
+
+        monkeypatch.setattr(module, name, run)
+
+    for name in ("category_arrays", "eligibility_arrays", "schedule_rollup"):
+        watched(name)
+    more = {
+        "categories_services": [{"service_id": 99, "category_id": 3}, {"category_id": 3}],
+        "eligibilities_services": [{"service_id": 4, "eligibility_id": 1}, {"service_id": -1, "eligibility_id": 2}],
+        "schedules": [{"id": 90}, {"id": 91, "service_id": 99}, {"id": 92, "resource_id": 99}, {"id": 93, "service_id": 4, "resource_id": 1}],
+        "schedule_days": [{"schedule_id": n, "day": "Monday", "opens_at": 900, "closes_at": 1000} for n in (90, 91, 92, 93)],
+    }
+    got = rows_of(build_snapshot(small_catalog(spark, **{name: ROWS[name] + rows for name, rows in more.items()})))
+    assert [row[0] for row in seen["category_arrays"]] == [1, 1, 1] and [row[0] for row in seen["eligibility_arrays"]] == [1, 1]
+    assert [row[0] for row in seen["schedule_rollup"]] == [1, 2, 3, 4, 5]
+    assert got == rows_of(build_snapshot(small_catalog(spark)))
