@@ -202,3 +202,36 @@ def test_command_line(spark, tmp_path, capsys):
     assert main(given)["status"] == "skipped"
     first, second = [json.loads(line) for line in capsys.readouterr().out.strip().splitlines()]
     assert first["total_rows"] == 15 and second["table"] == f"{tmp_path}/target"
+
+
+def test_what_finish_adds_is_made_once_per_row_as_rows_are_written(spark, table, monkeypatch):
+    from snapwright.sources import published
+
+    held, keep, made = [], published.stored, spark.sparkContext.accumulator(0)
+    monkeypatch.setattr(published, "stored", lambda df, name: held.append(df.columns) or keep(df, name))
+
+    @F.udf("string")
+    def text(i):
+        made.add(1)
+        return f"t{i}"
+
+    ids = spark.range(200).repartition(5)
+    commit = table.publish_all(ids, finish=lambda rows: rows.withColumn("text", text.asNondeterministic()("id")))
+    assert held == [["id"]] and made.value == 200 and commit.report["total_rows"] == 200
+    table.publish_changes(ids.filter("id < 3"), ids.filter("id = 9"), finish=lambda rows: rows.withColumn("text", F.lit("new")))
+    assert {r.id: r.text for r in table.read().collect()} == {i: "new" if i < 3 else f"t{i}" for i in range(200) if i != 9}
+
+
+def test_each_published_query_shows_the_tables_as_they_are(spark, tmp_path, sf_dir):
+    import os
+
+    from snapwright.plans.queries import QUERIES
+
+    folder = tmp_path / "tables"
+    folder.mkdir()
+    for name in os.listdir(sf_dir):
+        os.symlink(f"{sf_dir}/{name}", folder / name)
+    before = QUERIES["geo_box"](spark, str(folder)).count()
+    os.remove(folder / "part.parquet")
+    spark.read.parquet(f"{sf_dir}/part.parquet").filter("p_partkey < 20").write.parquet(str(folder / "part.parquet"))
+    assert QUERIES["geo_box"](spark, str(folder)).count() < before
