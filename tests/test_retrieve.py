@@ -152,3 +152,22 @@ def test_collection(spark, tmp_path):
     assert {r.doc_id for r in collection.similarity_search(asked.filter("query_id = 1"), 1).collect()} == {"c"}
     collection.delete()
     assert collection.documents().count() == 0
+
+
+def test_unit_vectors_take_little_more_room_than_themselves():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from snapwright.operators.retrieve import _unit
+
+    rows = np.arange(100_000 * 16, dtype=np.float32).reshape(-1, 16)
+    rows[3], rows[5, 2] = 0, np.nan
+    vectors = pa.ListArray.from_arrays(pa.array(np.arange(100_001, dtype=np.int32) * 16), pa.array(rows.ravel()))
+    tracemalloc.start()
+    found = _unit(vectors)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.5 * found.nbytes
+    assert not found[3].any() and not found[5].any() and np.allclose((found[6:] ** 2).sum(axis=1), 1)
+    assert (vectors.flatten().to_numpy()[:16] == rows[0]).all()
