@@ -186,3 +186,12 @@ def test_numbers_over_the_whole_table(spark):
     assert [(r["a"], r["id"]) for r in sorted(rows, key=lambda r: r["row_number"])] == [(r["a"], r["id"]) for r in want]
     assert sorted(r["row_number"] for r in rows) == list(range(1, 3001))
     assert numbered_globally(df.limit(0), [F.col("id")]).count() == 0
+
+
+def test_equal_schedules_share_their_slots(spark, tmp_path):
+    hours = F.expr("array(named_struct('day', 'Monday', 'open_mins', 540, 'close_mins', 600 + cast(id % 2 as int) * 60))")
+    many = spark.range(100).select(F.col("id").alias("key"), hours.alias("schedule"))
+    slots = OpenSlots.build(many, str(tmp_path / "s"), key="key")
+    # Two schedules, over the hours 9 and 10 and the hours 9 to 11.
+    assert slots._table.count() == 5
+    assert keys(slots.open_at("Monday", 555)) == list(range(100)) and keys(slots.open_at("Monday", 630)) == list(range(1, 100, 2))
