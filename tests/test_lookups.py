@@ -195,3 +195,17 @@ def test_equal_schedules_share_their_slots(spark, tmp_path):
     # Two schedules, over the hours 9 and 10 and the hours 9 to 11.
     assert slots._table.count() == 5
     assert keys(slots.open_at("Monday", 555)) == list(range(100)) and keys(slots.open_at("Monday", 630)) == list(range(1, 100, 2))
+
+
+def test_rows_are_made_once_for_their_numbers(spark):
+    from snapwright.plans.snapshot import numbered_globally
+
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(300).mapInArrow(count, "id long")
+    assert numbered_globally(rows, [F.col("id").desc()]).count() == 300 and made.value == 300
