@@ -141,3 +141,25 @@ def test_keyless_rows_are_spread(spark):
     spread = rows.select(joins._spread(F.col("k"), rows.columns).alias("s")).distinct().count()
     assert spread > 3000
     assert keep_listed(rows, (F.col("k"), spark.range(5))).isEmpty()
+
+
+def test_packed_branches_multiply_only_when_unpacked(spark, monkeypatch):
+    from snapwright.operators import joins
+
+    base = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (3, None), (None, "n")], "k long, v string")
+    first = spark.createDataFrame([(1, 5), (1, 5), (1, None), (2, 7), (None, 9)], "k long, x long")
+    second = spark.createDataFrame([(1, [1]), (1, None), (3, [2, 3]), (None, [4])], "k long, y array<int>")
+    plain = joins.fan_out(base, "k", [first, second], None)
+    for limit, kept in ((4096, 5), (2, 9)):
+        monkeypatch.setattr(joins, "PACK_ROWS", limit)
+        rows, unpack = joins.packed(base, "k", [first, second], [3, 2])
+        assert rows.count() == kept and unpack(rows).columns == plain.columns
+        assert sorted(map(str, unpack(rows).collect())) == sorted(map(str, plain.collect()))
+
+
+def test_many_hot_keys_are_found_once(spark):
+    from snapwright.operators.joins import find_hot, lookup_hot
+
+    rows = spark.range(100).selectExpr("id % 10 as k")
+    found = find_hot({"a": lookup_hot(rows, "k", 2)}, limit=3)
+    assert found["a"].inputFiles() and found["a"].count() == 10
