@@ -223,3 +223,18 @@ def test_a_full_build_rolls_up_nothing_that_no_row_needs(spark, monkeypatch):
     assert [row[0] for row in seen["category_arrays"]] == [1, 1, 1] and [row[0] for row in seen["eligibility_arrays"]] == [1, 1]
     assert [row[0] for row in seen["schedule_rollup"]] == [1, 2, 3, 4, 5]
     assert got == rows_of(build_snapshot(small_catalog(spark)))
+
+
+def test_a_packed_snapshot_holds_each_service_once(spark):
+    from snapwright.plans.snapshot import packed_snapshot
+
+    packed = packed_snapshot(small_catalog(spark))
+    whole = packed.whole()
+    assert packed.rows.count() == whole.select("service_id").distinct().count() < whole.count()
+    assert rows_of(whole) == rows_of(build_snapshot(small_catalog(spark)))
+
+
+def test_an_increment_is_built_once(spark, sf_dir):
+    from snapwright.plans.queries import QUERIES
+
+    assert any("/fresh/" in path for path in QUERIES["incremental_merge"](spark, sf_dir).inputFiles())
