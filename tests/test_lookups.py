@@ -61,6 +61,26 @@ def test_postings(spark, rows, tmp_path):
         postings.having_all("tags", [])
 
 
+def test_rows_of_equal_arrays_share_their_postings(spark, tmp_path):
+    lists = [["a", "b"], ["b", "a", None, "b"], ["", "a"], ["a"], [], None, [None], ["1:a"]]
+    many = spark.createDataFrame([(i, lists[i % 8], ["x"] if i % 8 == 3 else None) for i in range(4000)], "key long, tags array<string>, more array<string>").repartition(4)
+    postings = ArrayPostings.build(many, ["tags", "more"], str(tmp_path / "p"), key="key")
+    # Pairs of arrays that hold items: a and b; a and the empty text; a, and x beside it; 1:a.
+    assert spark.read.parquet(str(tmp_path / "p" / "postings")).count() == 2 + 2 + 2 + 1
+    for values in (["a"], ["b", "x"], [""], ["1:a"]):
+        assert keys(postings.having_any("tags", values)) == keys(many.filter(overlaps(F.col("tags"), values)))
+    assert keys(postings.having_all("tags", ["a", "b"])) == [i for i in range(4000) if i % 8 < 2]
+    assert keys(postings.having_any("more", ["x"])) == [i for i in range(4000) if i % 8 == 3]
+
+
+def test_postings_of_more_kinds_than_are_sent(spark, rows, tmp_path, monkeypatch):
+    from snapwright.operators import lookups
+
+    monkeypatch.setattr(lookups, "SENT_KINDS", 1)
+    postings = ArrayPostings.build(rows, ["tags"], str(tmp_path / "p"), key="key")
+    assert keys(postings.having_any("tags", ["a", "hot"])) == keys(rows.filter(overlaps(F.col("tags"), ["a", "hot"])))
+
+
 def test_only_asked_postings_are_read(spark, tmp_path):
     many = spark.range(40_000).select(F.col("id").alias("key"), F.array(F.format_string("v%05d", F.col("id") % 20_000)).alias("tags"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
