@@ -31,13 +31,13 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapwright.llm.common import dense_bounds, in_batches, prepare, staged, text_values, whole_text
 from snapwright.llm.components import connected
 
-#: Buckets of text hashes by which documents that are no candidates are left out.
+#: Words of 64 bits, by text hash, that tell which documents may be wanted; so many rows at most are broadcast.
 BUCKETS = 1 << 20
 _SPLIT = re.compile(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -388,6 +388,26 @@ def verified(members: DataFrame, forest: Forest) -> DataFrame:
     return members.select("spot", "side", "cid", "copies", "text").repartition("spot").sortWithinPartitions("spot", "cid").mapInArrow(run, FOUND)
 
 
+def _word(text_hash: Column) -> Column:
+    return F.pmod(text_hash, F.lit(BUCKETS))
+
+
+def _bit(text_hash: Column) -> Column:
+    return F.pmod(F.shiftright(text_hash, 20), F.lit(64)).cast("int")
+
+
+def possibly(docs: DataFrame, hashes: DataFrame, how: str) -> DataFrame:
+    """``docs`` whose text may have one of ``hashes`` (one column), or with ``left_anti`` those whose text has none of them.
+
+    The hashes become bits, at most ``BUCKETS`` words of them, whatever their number: their broadcast is bounded. A few
+    other texts share a bit, so an exact join has to follow.
+    """
+    one = F.col(hashes.columns[0])
+    bits = hashes.groupBy(_word(one).alias("__word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), _bit(one))).alias("__bits"))
+    own = F.xxhash64(whole_text("text"))
+    return docs.join(F.broadcast(bits), (_word(own) == F.col("__word")) & (F.call_function("getbit", F.col("__bits"), _bit(own)) == 1), how)
+
+
 def near_copies(docs: DataFrame, forest: Forest | None = None, *, kept: bool = False) -> DataFrame:
     """One row per document: doc_id, class_id (smallest id of its near-copy class), copy_id (smallest id with the same
     shingle set) and n_links (other documents it is similar to, copies included).
@@ -411,11 +431,8 @@ def near_copies(docs: DataFrame, forest: Forest | None = None, *, kept: bool = F
     placed = staged(placed, "candidates")
     sizes = staged(placed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > forest.block), "parts")
     text = docs.select(F.col("doc_id").cast("long").alias("id"), whole_text("text").alias("text"))
-    # Most documents are no candidates. They are left out by a bucket of their text's hash before any text is shuffled;
-    # there are at most ``BUCKETS`` buckets, whatever the number of candidates, so their broadcast is bounded.
-    bucket = lambda text_hash: F.pmod(text_hash, F.lit(BUCKETS)).alias("bucket")
-    buckets = F.broadcast(placed.select(bucket(F.col("text_hash"))).distinct())
-    text = text.join(buckets, bucket(F.xxhash64("text")) == F.col("bucket"), "left_semi")
+    # Most documents are no candidates. They are left out before any text is shuffled.
+    text = possibly(text, placed.select("text_hash"), "left_semi")
     found = placed.hint("merge").join(text, F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("text") == F.col("text_hash")))
     work = split_hot(found.select("cid", "part", "copies", "text"), "part", sizes, forest.block)
     found = staged(verified(work, forest), "verified")
@@ -449,11 +466,14 @@ def distinct_documents(docs: DataFrame, forest: Forest | None = None, of: Callab
     first = F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("text_hash") == F.col("kept.text_hash"))
     drop = staged(out.filter(~first).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct(), "dropped")
     key = [docs["doc_id"].cast("long").eqNullSafe(F.col("__id")), F.xxhash64(whole_text("text")) == F.col("__hash")]
-    kept = docs.join(drop, key, "left_anti")
     again = out.filter(first & (F.col("n_links") > 0)).groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
     again = staged(again.agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "repeated")
+    # Most documents stay as they are; only texts that may be listed are shuffled.
+    listed = drop.select("__hash").union(again.select("__hash"))
+    rest = possibly(docs, listed, "left_anti")
+    kept = possibly(docs, listed, "left_semi").join(drop, key, "left_anti")
     if again.isEmpty():
-        return kept
+        return rest.unionByName(kept)
     names = docs.columns
     repeated = kept.join(again, key).dropDuplicates(["__id", "__hash"]).select(*names)
-    return kept.join(again, key, "left_anti").unionByName(repeated)
+    return rest.unionByName(kept.join(again, key, "left_anti")).unionByName(repeated)

@@ -96,6 +96,25 @@ def test_one_stays_of_groups_with_null_or_repeated_ids(spark):
     assert kept.count((20, alone)) == 1 and kept.count((None, "!?")) == 2 and len(kept) == 7
 
 
+def test_only_texts_that_may_be_dropped_are_shuffled(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.createDataFrame([(i, prose(i, 30)) for i in range(400)] + [(500 + i, prose(i, 30)) for i in range(5)] + [(9, None)], "doc_id long, text string")
+    hashes = docs.filter("doc_id >= 500").select(F.xxhash64("text").alias("h"))
+    some, others = (jj.possibly(docs, hashes, how) for how in ("left_semi", "left_anti"))
+    assert {r["doc_id"] for r in some.collect()} >= {*range(5), *range(500, 505)} and some.count() <= 12
+    assert some.count() + others.count() == 406 and others.columns == docs.columns
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = jj.distinct_documents(docs)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r["doc_id"] for r in kept.collect()) == [*sorted([*range(400), 9])]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The other documents meet a bounded set of bits only.
+    assert "Union" in plan and plan.count("BroadcastHashJoin") == 2 and plan.count("SortMergeJoin") == 1
+
+
 def test_prefix_shortens_until_the_recall_is_reached():
     for trees, recall in ((16, 0.9999), (16, 0.99), (64, 0.9999)):
         forest = jj.Forest(trees=trees, recall=recall)
