@@ -1,17 +1,14 @@
 """How far the sources of each language differ, term by term and pair by pair.
 
-CountVectorizer makes an exact sparse vector of every document. Its terms carry their language as a tag, so one fit with
-``minDF`` and the largest vocabulary is one vectoriser per language: a document has terms of its own language only, and
-``minDF`` counts documents of that language. Vectors are summed by group, entry by entry, as Summarizer does, but sparsely.
+Tasks take texts apart and count the terms of each group exactly, in how many documents they occur and how often; these counts go
+to the terms, where they are summed by group, and a term stays if its language has it in ``min_docs`` documents.
 
 Smoothed shares of terms a group lacks are all alike (p0), so a pair of sources needs only the terms that one of the two
 has: value = V f(p0, q0), plus f(p, q0) - f(p0, q0) for what one has, which depends on p alone and is counted by distinct p,
 plus a correction for terms both have. Sources of a language form blocks of ``block``; a task holds one pair of blocks and
 a share of the terms, reads postings term by term and adds into one matrix, so no pair is ever a row before its sum is.
 
-A vectoriser's vocabulary lies on the driver and in every task. It is used while an estimate of all distinct terms (a
-sketch over all documents, a bound on those kept) is at most ``most_terms``; beyond that the same sums are grouped by the
-terms themselves, without vectors.
+No vocabulary is ever whole in one place: a task sends what it has counted when it holds ``most_terms`` terms of groups.
 
 NULL text, lang and source count as empty. Every row is a document, repeated ones too. A language without kept terms has
 pairs of value 0 and no terms; empty tables give no rows. Other columns are ignored. Ties go by the item's bytes.
@@ -19,74 +16,71 @@ pairs of value 0 and no terms; empty tables give no rows. Other columns are igno
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapwright.llm.common import dense_bounds, prepare, scratch, staged, whole_text
+from snapwright.llm.common import dense_bounds, prepare, staged, whole_text
 
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
-#: Parts a language from a term; no term holds it.
-_TAG = "\0"
+#: A-Z become small, what parts terms becomes a blank; all other bytes, those of longer characters among them, stay.
+_KINDS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
+_COUNTS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.binary()), ("n", pa.int64()), ("docs", pa.int64())])
 _SPOT = ["lang", "one", "other", "shard"]
 _SUMS = pa.schema([("lang", pa.string()), ("s", pa.int32()), ("t", pa.int32()), ("value", pa.int64())])
 #: Postings that a task counts on, and elements of a numpy step.
 SHARD_ROWS, STEP = 500_000, 1 << 20
 
 
-def tagged_terms(text: Column, lang: Column) -> Column:
-    terms = F.array_remove(F.split(text, _BETWEEN), "")
-    return F.transform(terms, lambda t: F.concat(lang, F.lit(_TAG), _lowered(t)))
+def terms_of(text: bytes) -> list[bytes]:
+    return text.translate(_KINDS).split()
 
 
-def _lowered(term: Column) -> Column:
-    # Only A-Z change. A term of one byte a character has no other letters, and lower() is several times faster on it.
-    return F.when(F.octet_length(term) == F.char_length(term), F.lower(term)).otherwise(F.translate(term, _UPPER, _LOWER))
-
-
-def group_counts(docs: DataFrame, min_docs: int, most_terms: int) -> DataFrame:
-    """lang, source, term, n, lang_n, first: occurrences of kept terms in a group and its language, one row of each term
-    marked; ``docs`` has lang, source and tagged terms."""
-    estimate = docs.select(F.explode("terms").alias("t")).agg(F.approx_count_distinct("t", 0.02)).first()[0]
-    if estimate > most_terms:
-        return counts_by_term(docs, min_docs)
-    return counts_by_vector(docs, min_docs)
-
-
-def counts_by_vector(docs: DataFrame, min_docs: int) -> DataFrame:
-    model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=2**31 - 1).fit(docs)
-    folder = scratch(docs.sparkSession, "vectoriser")
-    model.write().save(folder)
-    tags = docs.sparkSession.read.parquet(f"{folder}/data").select(F.posexplode("vocabulary").alias("at", "tag"))
-    sparse = model.transform(docs).select("source", F.unwrap_udt("vector").alias("v"))
-    entries = sparse.select("source", F.inline(F.arrays_zip("v.indices", "v.values"))).toDF("source", "at", "n")
-    # A place in the vector belongs to one term of one language.
-    sums = entries.groupBy("source", "at").agg(F.sum(F.col("n").cast("long")).alias("n"))
-    return _named(_with_lang(sums, "at").join(tags, "at"))
-
-
-def counts_by_term(docs: DataFrame, min_docs: int) -> DataFrame:
-    kept = docs.select(F.explode(F.array_distinct("terms")).alias("tag")).groupBy("tag").count().filter(F.col("count") >= min_docs).select("tag")
-    sums = docs.select("source", F.explode("terms").alias("tag")).groupBy("source", "tag").agg(F.count("*").alias("n"))
-    return _named(_with_lang(sums.join(kept, "tag"), "tag"))
+def _counted(most_terms: int):
+    def rows(held: dict[tuple[str, str], tuple[Counter, Counter]]) -> Iterator[pa.RecordBatch]:
+        langs, sources, terms, n, docs = [], [], [], [], []
+        for (lang, source), (often, seen) in held.items():
+            langs += [lang] * len(often)
+            sources += [source] * len(often)
+            terms += often.keys()
+            n += often.values()
+            docs += map(seen.__getitem__, often.keys())
+        columns = [pa.array(c, t.type) for c, t in zip((langs, sources, terms, n, docs), _COUNTS, strict=True)]
+        yield from pa.Table.from_arrays(columns, schema=_COUNTS).to_batches(max_chunksize=1 << 15)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = {}, 0
+        for batch in batches:
+            for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text")), strict=True):
+                if not (terms := terms_of(text)):
+                    continue
+                often, seen = held.setdefault((lang, source), (Counter(), Counter()))
+                size -= len(often)
+                often.update(terms)
+                seen.update(set(terms))
+                size += len(often)
+                if size >= most_terms:
+                    yield from rows(held)
+                    held, size = {}, 0
+        yield from rows(held)
 
-def _with_lang(sums: DataFrame, term: str) -> DataFrame:
-    """Adds the term's count in its language, and a mark on one row of each term."""
-    rows = Window.partitionBy(term)
-    return sums.withColumn("lang_n", F.sum("n").over(rows)).withColumn("first", F.row_number().over(rows.orderBy("source")) == 1)
+    return run
 
 
-def _named(sums: DataFrame) -> DataFrame:
-    term = F.substring_index("tag", _TAG, -1)
-    lang = F.expr("substring(tag, 1, length(tag) - length(substring_index(tag, '\\0', -1)) - 1)")
-    return sums.select(lang.alias("lang"), "source", term.alias("term"), "n", "lang_n", "first")
+def group_counts(docs: DataFrame, min_docs: int, most_terms: int) -> DataFrame:
+    """lang, source, term, n, lang_n, first: occurrences of kept terms in a group and its language, one row of each term
+    marked; ``docs`` has lang, source and text."""
+    texts = docs.select("lang", "source", F.col("text").cast("binary").alias("text"))
+    counted = texts.mapInArrow(_counted(most_terms), "lang string, source string, term binary, n long, docs long")
+    # All rows of a term meet in one place, so that sums by group and by language need no further shuffle.
+    sums = counted.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    rows = Window.partitionBy("lang", "term")
+    whole = sums.select("*", F.sum("docs").over(rows).alias("lang_docs"), F.sum("n").over(rows).alias("lang_n"), (F.min("source").over(rows) == F.col("source")).alias("first"))
+    return whole.filter(F.col("lang_docs") >= min_docs).select("lang", "source", F.col("term").cast("string").alias("term"), "n", "lang_n", "first")
 
 
 def share(count: Column, total: Column, kept: Column) -> Column:
@@ -100,11 +94,10 @@ def distance(p: Column, q: Column) -> Column:
     return F.call_function("div", (p - q) * (p - q), p + q)
 
 
-def divergence(docs: DataFrame, *, min_docs: int = 10, top_terms: int = 10, block: int = 256, most_terms: int = 4_000_000) -> DataFrame:
+def divergence(docs: DataFrame, *, min_docs: int = 10, top_terms: int = 10, block: int = 256, most_terms: int = 1_000_000) -> DataFrame:
     """lang, source, part, item, value, rank: every pair of sources of a language, and each source's most excessive terms."""
     prepare(docs.sparkSession)
     texts = docs.select(whole_text("lang").alias("lang"), whole_text("source").alias("source"), whole_text("text").alias("text"))
-    texts = staged(texts.select("lang", "source", tagged_terms(F.col("text"), F.col("lang")).alias("terms")), "terms")
     counts = staged(group_counts(texts, min_docs, most_terms), "counts")
     sizes = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     langs = counts.groupBy("lang").agg(F.sum("n").alias("lang_total"), F.count_if("first").alias("kept"))

@@ -60,6 +60,25 @@ def test_divergence_equals_plain_python(spark, settings):
     assert {tuple(r) for r in found} == diverged(rows, 4, 5)
 
 
+def test_terms_are_counted_in_tasks_and_sent_once(spark):
+    docs, rows = documents(spark)
+    texts = docs.select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source", "text")])
+    counts = divergence.group_counts(texts, 4, 1000)
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Generate" not in plan
+    want, seen = Counter(), Counter()
+    for _, text, lang, source in rows:
+        terms = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+        want.update((lang or "", source or "", t) for t in terms)
+        seen.update({(lang or "", t) for t in terms})
+    want = {k: n for k, n in want.items() if seen[k[0], k[2]] >= 4}
+    got = counts.collect()
+    assert {(r["lang"], r["source"], r["term"]): r["n"] for r in got} == want and len(got) == len(want)
+    assert sorted((r["lang"], r["term"]) for r in got if r["first"]) == sorted({(a, t) for a, _, t in want})
+    texts = [bytes(range(256)), "É\x00Straße İK\u2003x".encode(), b"", b" a  B\t"]
+    assert [divergence.terms_of(t) for t in texts[1:]] == [["É".encode(), "Straße".lower().encode(), "İk\u2003x".encode()], [], [b"a", b"b"]]
+
+
 def test_shares_hold_beyond_64_bits(spark):
     n = 9 * 10**15
     row = spark.range(1).select(divergence.share(F.lit(n), F.lit(2 * n), F.lit(7)).alias("p")).first()
