@@ -163,3 +163,27 @@ def test_many_hot_keys_are_found_once(spark):
     rows = spark.range(100).selectExpr("id % 10 as k")
     found = find_hot({"a": lookup_hot(rows, "k", 2)}, limit=3)
     assert found["a"].inputFiles() and found["a"].count() == 10
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_only_counted_sides_are_broadcast(spark):
+    # To the optimizer all of these are small enough to be sent to the driver.
+    rows = spark.range(100).select((F.col("id") % 20).alias("k"), F.col("id").alias("v"))
+    other = spark.range(15).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    few = {"few": other.select("k")}
+    small, large = broadcast_if_small(few)["few"], broadcast_if_small(few, max_rows=14)["few"]
+    assert "BroadcastHashJoin" in plan_of(keep_listed(rows, (F.col("k"), small)))
+    hot = find_hot({"x": lookup_hot(rows, "k", 2)}, limit=3)["x"]
+    joined = [
+        keep_listed(rows, (F.col("k"), large)), rows.join(large, "k", "left_semi"), without_keys(rows, other, "k"), unbridged(rows, other, "k"),
+        grid_join(rows, other, "k", None), fan_out(rows, "k", [other], None), joins.packed(other, "k", [rows], [5])[0],
+        joins.packed(other, "k", [rows], [joins.PACK_ROWS + 1])[0], rows.join(hot, F.col("k") == F.col("hot_key"), "left"),
+        grid_hot(key_counts(rows, "k"), key_counts(other, "k"), "k", 1),
+    ]
+    for df in joined:
+        assert "SortMergeJoin" in plan_of(df) and "Broadcast" not in plan_of(df)
+    assert counted(joined[0]) == counted(keep_listed(rows, (F.col("k"), small)))
+    assert joined[2].count() == 25 and joined[4].count() == 75 and joined[5].count() == 100

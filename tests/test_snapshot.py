@@ -238,3 +238,21 @@ def test_an_increment_is_built_once(spark, sf_dir):
     from snapwright.plans.queries import QUERIES
 
     assert any("/fresh/" in path for path in QUERIES["incremental_merge"](spark, sf_dir).inputFiles())
+
+
+def test_tables_that_grow_are_not_broadcast_by_the_size_of_their_files(spark, sf_dir):
+    from snapwright.operators.rollups import document_text, schedule_rollup
+    from snapwright.plans.snapshot import linked_addresses, resource_wide
+    from snapwright.sources.fixtures import fixture_catalog
+
+    cat = fixture_catalog(spark, sf_dir)
+    plan_of = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    small = small_catalog(spark)
+    made = [
+        cat["services"], cat["documents"], schedule_rollup(small["schedules"], small["schedule_days"]), document_text(small["documents_services"], small["documents"]),
+        linked_addresses(small["addresses_services"], small["addresses"]), resource_wide(small["resources"], small["phones"]),
+    ]
+    for df in made:
+        assert "SortMergeJoin" in plan_of(df) and "BroadcastHashJoin" not in plan_of(df)
+    # A small table of programs is counted and sent.
+    assert "BroadcastHashJoin" in plan_of(build_snapshot(small))
