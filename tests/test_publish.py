@@ -235,3 +235,20 @@ def test_each_published_query_shows_the_tables_as_they_are(spark, tmp_path, sf_d
     os.remove(folder / "part.parquet")
     spark.read.parquet(f"{sf_dir}/part.parquet").filter("p_partkey < 20").write.parquet(str(folder / "part.parquet"))
     assert QUERIES["geo_box"](spark, str(folder)).count() < before
+
+
+def test_many_replaced_ids_are_not_sent_to_every_task(spark, table, monkeypatch):
+    from snapwright.sources import published
+
+    monkeypatch.setattr(published, "BROADCAST_ROWS", 3)
+    plan = lambda: table.read()._jdf.queryExecution().executedPlan().toString()
+    table.publish_all(frame(spark, [(i, "old") for i in range(9)]))
+    table.publish_changes(frame(spark, [(1, "new")]), ids(spark, 2))
+    assert "BroadcastHashJoin" in plan() and table.latest().segments[1]["gone"] == 2
+    table.publish_changes(frame(spark, [(3, "new")]), ids(spark, 4))
+    assert "SortMergeJoin" in plan() and "Broadcast" not in plan()
+    assert content(table) == [(0, "old"), (1, "new"), (3, "new"), *[(i, "old") for i in range(5, 9)]]
+    for i in range(MERGE_AFTER):
+        table.publish_changes(frame(spark, [(5, f"turn {i}")]), ids(spark))
+    assert len(table.latest().segments) == MERGE_AFTER and all(s["gone"] for s in table.latest().segments[1:])
+    assert content(table)[3:5] == [(5, f"turn {MERGE_AFTER - 1}"), (6, "old")]
