@@ -229,3 +229,17 @@ def test_rows_are_made_once_for_their_numbers(spark):
 
     rows = spark.range(300).mapInArrow(count, "id long")
     assert numbered_globally(rows, [F.col("id").desc()]).count() == 300 and made.value == 300
+
+
+def test_many_kinds_are_not_sent_to_every_task(spark, rows, tmp_path, monkeypatch):
+    from snapwright.operators import lookups
+
+    postings = ArrayPostings.build(rows, ["tags"], str(tmp_path / "p"), key="key")
+    slots = OpenSlots.build(rows, str(tmp_path / "s"), key="key")
+    asked = lambda: (postings.having_any("tags", ["a"]), slots.open_at("Monday", 945))
+    plan_of = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    small = asked()
+    monkeypatch.setattr(lookups, "SENT_KINDS", 2)
+    for few, many in zip(small, asked(), strict=True):
+        assert "BroadcastHashJoin" in plan_of(few) and "BroadcastHashJoin" not in plan_of(many)
+        assert keys(few) == keys(many)
