@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapwright.operators.embed import EncoderFactory, embed
-from snapwright.operators.joins import BROADCAST_ROWS
+from snapwright.operators.joins import BROADCAST_ROWS, sent_if
 from snapwright.operators.retrieve import nearest
 from snapwright.sources.published import PublishedTable
 
@@ -57,8 +57,7 @@ class Collection:
         asked = embed(queries.select("query_id", "text"), "text", self.factory, dimension=self.dimension)
         hits = nearest(stored, asked, k, vec_id="doc_id", query_vector="embedding").withColumnRenamed("vec_id", "doc_id")
         # At most k hits per query: few enough to go to the documents rather than shuffle those.
-        if queries.count() * k <= BROADCAST_ROWS:
-            hits = F.broadcast(hits)
+        hits = sent_if(queries.count() * k <= BROADCAST_ROWS, hits)
         return hits.join(stored.select("doc_id", "text", "metadata"), "doc_id")
 
     def delete(self) -> None:

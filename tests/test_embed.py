@@ -194,3 +194,19 @@ def test_hashed_encoder_equals_the_pattern_and_searches_no_ascii_text(monkeypatc
         assert np.allclose(vector, counts / (np.sqrt(counts @ counts) or 1), atol=1e-12)
     monkeypatch.setattr(module, "_TOKEN", None)
     assert (hashed_counts(odd[2:3], 64) == found[2:3]).all()
+
+
+def test_vectors_and_hits_are_not_broadcast_uncounted(spark, monkeypatch):
+    from snapwright.operators import search as module
+
+    plan_of = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    got = embed_distinct(texts(spark, "a", "bb", "a", None), "text", fixed_length(3), dimension=3)
+    assert "SortMergeJoin" in plan_of(got) and "Broadcast" not in plan_of(got)
+    rows = embed(texts(spark, "a b", "b c", "d"), "text", encoder("hashed", dimension=8), dimension=8).withColumnRenamed("id", "snapshot_key")
+    queries = spark.createDataFrame([(1, "a b"), (2, "d")], "query_id long, text string")
+    ask = lambda: module.search(rows, queries, 1, factory=encoder("hashed", dimension=8), dimension=8)
+    few = ask()
+    monkeypatch.setattr(module, "BROADCAST_ROWS", 1)
+    many = ask()
+    assert "BroadcastHashJoin" in plan_of(few) and "BroadcastHashJoin" not in plan_of(many)
+    assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
